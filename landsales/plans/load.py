@@ -41,17 +41,20 @@ class LoadResult:
     seconds: dict[str, float] = field(default_factory=dict)
 
 
-def pending_markers(spark: SparkSession, manifest: DataFrame, wanted: list[str]) -> list[str]:
-    """K5: wanted markers absent from the manifest, in the given order.
+def pending_frame(spark: SparkSession, manifest: DataFrame, wanted: list[str]) -> DataFrame:
+    """K5: wanted markers absent from the manifest, with their wanted order.
 
     The wanted list is the caller's (a handful of file names); the manifest is
     a Spark table, compared by ``left_anti``.
     """
+    want = spark.createDataFrame([(m, i) for i, m in enumerate(wanted)], "filename string, ord int")
+    return want.join(manifest.select("filename"), "filename", "left_anti")
+
+
+def pending_markers(spark: SparkSession, manifest: DataFrame, wanted: list[str]) -> list[str]:
     if not wanted:
         return []
-    want = spark.createDataFrame([(m, i) for i, m in enumerate(wanted)], "filename string, ord int")
-    todo = want.join(manifest.select("filename"), "filename", "left_anti")
-    return [r.filename for r in todo.orderBy("ord").collect()]
+    return [r.filename for r in pending_frame(spark, manifest, wanted).orderBy("ord").collect()]
 
 
 def _manifest_rows(spark: SparkSession, markers: list[str]) -> DataFrame:
