@@ -25,17 +25,33 @@ CENTRES_MARKER = "communes-geo.json"
 
 @dataclass
 class DriverSnapshot:
+    spark: SparkSession
+    work: str
     landing: str
     years: list[int]
     centres: str
     outlines: str
     store: Store            # all years in one load
-    split_store: Store      # years <= split, then all years (two loads)
     split_year: int
+    _split: Store | None = None
+
+    @property
+    def split_store(self) -> Store:
+        """Years <= split year, then all years: two incremental loads (built
+        on first use; only the incremental-load queries read it)."""
+        with _LOCK:
+            if self._split is None:
+                root = f"{self.work}/split"
+                centres = [CentreSource(CENTRES_MARKER, self.centres, json_array=False)]
+                early = [y for y in self.years if y <= self.split_year]
+                load(self.spark, root, self.landing, early, centres, log=_quiet)
+                load(self.spark, root, self.landing, self.years, centres, log=_quiet)
+                self._split = Store(self.spark, root)
+            return self._split
 
 
 _CACHE: dict[tuple[str, str], DriverSnapshot] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 
 
 def _quiet(_msg: str) -> None:
@@ -52,12 +68,8 @@ def snapshot_for(spark: SparkSession, sf_dir: str, split_year: int = 1998) -> Dr
         info = stage_landing(spark, sf_dir, landing)
         centres = [CentreSource(CENTRES_MARKER, info["centres"], json_array=False)]
         load(spark, f"{work}/store", landing, info["years"], centres, log=_quiet)
-        early = [y for y in info["years"] if y <= split_year]
-        load(spark, f"{work}/split", landing, early, centres, log=_quiet)
-        load(spark, f"{work}/split", landing, info["years"], centres, log=_quiet)
-        snap = DriverSnapshot(landing, info["years"], info["centres"], info["outlines"],
-                              Store(spark, f"{work}/store"), Store(spark, f"{work}/split"),
-                              split_year)
+        snap = DriverSnapshot(spark, work, landing, info["years"], info["centres"], info["outlines"],
+                              Store(spark, f"{work}/store"), split_year)
         _CACHE[key] = snap
         return snap
 

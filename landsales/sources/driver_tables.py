@@ -11,6 +11,8 @@ convention shared with the DuckDB oracle in ``landsales.plans.oracle``.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,9 +119,14 @@ def stage_landing(spark: SparkSession, sf_dir: str, landing: str) -> dict:
     rows = adapter_raw_rows(spark, sf_dir).persist()
     try:
         years = sorted(r[0] for r in rows.select("_year").distinct().collect() if r[0] is not None)
-        for year in years:
+
+        def write_year(year: int) -> None:
             (rows.where(F.col("_year") == year).drop("_year")
              .write.mode("overwrite").options(**CSV_WRITE).csv(f"{landing}/{year_marker(year)}"))
+
+        # One Spark job per year, submitted together so they share the cluster.
+        with ThreadPoolExecutor(max_workers=max(1, len(years))) as pool:
+            list(pool.map(write_year, years))
     finally:
         rows.unpersist()
     centres = f"{landing}/communes-geo.json"

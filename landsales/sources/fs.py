@@ -73,3 +73,26 @@ def write_text_atomic(uri: str, text: str) -> None:
     with fs.open_output_stream(tmp) as handle:
         handle.write(text.encode("utf-8"))
     fs.move(tmp, path)
+
+
+def first_line(uri: str) -> str | None:
+    """First line of a file, or of the first data file of a folder (files
+    starting with '_' or '.' are bookkeeping and skipped)."""
+    fs, path = _resolve(uri)
+    info = fs.get_file_info(path)
+    if info.type == pafs.FileType.NotFound:
+        return None
+    if info.type == pafs.FileType.Directory:
+        data = sorted(i.path for i in fs.get_file_info(pafs.FileSelector(path, recursive=True))
+                      if i.type == pafs.FileType.File and not i.base_name.startswith(("_", ".")))
+        if not data:
+            return None
+        path = data[0]
+    with fs.open_input_stream(path) as handle:
+        chunk = b""
+        while b"\n" not in chunk:
+            block = handle.read(65536)
+            if not block:
+                break
+            chunk += block
+    return chunk.split(b"\n", 1)[0].decode("utf-8").rstrip("\r")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landsales.schemas import RAW_COLUMNS
-from landsales.sources.fs import list_dir
+from landsales.sources.fs import first_line, list_dir
 
 CORRUPT = "_corrupt_record"
 
@@ -56,6 +56,14 @@ def _reader(spark: SparkSession, quote: str | None):
 
 
 def file_header(spark: SparkSession, path: str, quote: str | None = None) -> list[str]:
+    """Column names from the file's first line (read on the driver: one line).
+
+    Falls back to Spark's own header parsing for quoted headers."""
+    line = first_line(path)
+    if line is None:
+        raise FileNotFoundError(path)
+    if quote is None or quote == "" or quote not in line:
+        return line.split("|")
     return _reader(spark, quote).csv(path).columns
 
 
