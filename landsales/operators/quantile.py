@@ -34,12 +34,18 @@ PER_OCTAVE = 64
 SUB_BUCKETS = 65536
 
 
+# A selected bucket range with at most this many distinct values is ranked
+# directly (one task sorts it); larger ranges are refined once more.
+FINAL_ROWS = 1 << 17
+
+
 @dataclass(frozen=True)
 class Percentile:
     n: int
     lo: object = None
     hi: object = None
     frac: float = 0.0
+    total: object = None    # sum of x * w, when asked for
 
 
 def _octave_key(xd: Column) -> Column:
@@ -60,7 +66,7 @@ def _locate(hist: list[tuple[int, int]], rank: int, offset: int) -> tuple[int, i
 
 
 def percentile_cont(values: DataFrame, value: str, weight: str | None = None,
-                    q: float = 0.5) -> Percentile:
+                    q: float = 0.5, with_total: bool = False) -> Percentile:
     w = F.col(weight) if weight else F.lit(1)
     compressed = (values.where(F.col(value).isNotNull())
                   .groupBy(F.col(value).alias("x"))
@@ -69,23 +75,35 @@ def percentile_cont(values: DataFrame, value: str, weight: str | None = None,
     xd = F.col("x").cast("double")
     keyed = compressed.withColumn("k1", _octave_key(xd)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        h1 = [(r.k1, r.w) for r in keyed.groupBy("k1").agg(F.sum("w").alias("w")).collect()]
+        aggs = [F.sum("w").alias("w"), F.count(F.lit(1)).alias("rows")]
+        if with_total:
+            aggs.append(F.sum(F.col("x") * F.col("w")).alias("xw"))
+        hist = keyed.groupBy("k1").agg(*aggs).collect()
+        h1 = [(r.k1, r.w) for r in hist]
         n = sum(cnt for _, cnt in h1)
+        total = None
+        if with_total and hist:
+            parts = [r.xw for r in hist if r.xw is not None]
+            total = sum(parts[1:], parts[0]) if parts else None
         if n == 0:
-            return Percentile(0)
+            return Percentile(0, total=total)
         pos = (n - 1) * q
         r_lo, r_hi = math.floor(pos), math.ceil(pos)
         k1_lo, off1 = _locate(h1, r_lo, 0)
         k1_hi, _ = _locate(h1, r_hi, 0)
         slice1 = keyed.where(F.col("k1").between(k1_lo, k1_hi))
-
-        mn, mx = slice1.agg(F.min(xd), F.max(xd)).first()
-        k2 = (F.floor((xd - F.lit(mn)) / F.lit(mx - mn) * SUB_BUCKETS) if mx > mn else F.lit(0))
-        slice1 = slice1.withColumn("k2", k2)
-        h2 = [(r.k2, r.w) for r in slice1.groupBy("k2").agg(F.sum("w").alias("w")).collect()]
-        k2_lo, off2 = _locate(h2, r_lo, off1)
-        k2_hi, _ = _locate(h2, r_hi, off1)
-        slice2 = slice1.where(F.col("k2").between(k2_lo, k2_hi)).select("x", "w")
+        slice_rows = sum(r.rows for r in hist if k1_lo <= r.k1 <= k1_hi)
+
+        if slice_rows <= FINAL_ROWS:
+            slice2, off2 = slice1.select("x", "w"), off1
+        else:
+            mn, mx = slice1.agg(F.min(xd), F.max(xd)).first()
+            k2 = (F.floor((xd - F.lit(mn)) / F.lit(mx - mn) * SUB_BUCKETS) if mx > mn else F.lit(0))
+            slice1 = slice1.withColumn("k2", k2)
+            h2 = [(r.k2, r.w) for r in slice1.groupBy("k2").agg(F.sum("w").alias("w")).collect()]
+            k2_lo, off2 = _locate(h2, r_lo, off1)
+            k2_hi, _ = _locate(h2, r_hi, off1)
+            slice2 = slice1.where(F.col("k2").between(k2_lo, k2_hi)).select("x", "w")
 
         # The final slice is tiny; its running sum runs in one task.
         before = F.sum("w").over(Window.orderBy("x")) - F.col("w") + F.lit(off2)
@@ -102,7 +120,7 @@ def percentile_cont(values: DataFrame, value: str, weight: str | None = None,
                 return r.x
         raise AssertionError("rank not found")
 
-    return Percentile(n, at(r_lo), at(r_hi), pos - r_lo)
+    return Percentile(n, at(r_lo), at(r_hi), pos - r_lo, total)
 
 
 def median_double(values: DataFrame, value: str, weight: str | None = None) -> float | None:
@@ -114,14 +132,18 @@ def median_double(values: DataFrame, value: str, weight: str | None = None) -> f
     return lo + (hi - lo) * p.frac
 
 
-def median_decimal(values: DataFrame, value: str, scale: int,
-                   weight: str | None = None) -> Decimal | None:
-    """Exact median of a decimal column, interpolated in units of the last
-    digit and truncated toward zero (the result keeps the input's scale)."""
-    p = percentile_cont(values, value, weight)
+def decimal_median_of(p: Percentile, scale: int) -> Decimal | None:
+    """Median of a decimal column from its percentile parts, interpolated in
+    units of the last digit and truncated toward zero (same scale)."""
     if p.n == 0:
         return None
     unit = 10 ** scale
     lo_u, hi_u = int(p.lo * unit), int(p.hi * unit)
     mid_u = lo_u + int((hi_u - lo_u) * p.frac)
     return Decimal(mid_u).scaleb(-scale)
+
+
+def median_decimal(values: DataFrame, value: str, scale: int,
+                   weight: str | None = None) -> Decimal | None:
+    """Exact median of a decimal column (see ``decimal_median_of``)."""
+    return decimal_median_of(percentile_cont(values, value, weight), scale)

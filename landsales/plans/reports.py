@@ -12,11 +12,14 @@ decimal(15,2).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landsales.operators import pairs as P
-from landsales.operators.quantile import median_decimal, median_double
+from landsales.operators.quantile import decimal_median_of, median_double, percentile_cont
 
 Tables = dict[str, DataFrame]
 
@@ -36,21 +39,30 @@ def sale_premises(t: Tables, year: int | None = None, property_type: str | None
     return P.pairs(t, year, property_type)
 
 
+KPI_SCHEMA = T.StructType([
+    T.StructField("nb_ventes", T.LongType(), False),
+    T.StructField("volume_total_eur", T.DecimalType(38, 2)),
+    T.StructField("prix_median_eur", T.DecimalType(15, 2)),
+    T.StructField("prix_m2_median_eur", T.DoubleType()),
+])
+
+
 def kpi(t: Tables, year: int | None = None, property_type: str | None = None) -> DataFrame:
     """Sales, total value, median sale price (distinct sales) and median
-    price per m2 (pairs). Always exactly one row."""
+    price per m2 (pairs). Always exactly one row.
+
+    Two distributed passes feed the row: the distinct qualifying sales,
+    compressed by value, give the count, the total and the exact median in one
+    histogram job; the pair distribution (distinct value x distinct surface
+    per parcel, with multiplicities) gives the exact price-per-m2 median.
+    """
     spt = P.sale_parcel_types(t, year, property_type)
     sales = spt.select("id_mutation", "valeur_fonciere").distinct()
-    med_price = median_decimal(sales, "valeur_fonciere", 2)
+    price = percentile_cont(sales, "valeur_fonciere", with_total=True)
     med_m2 = median_double(P.pair_ratio_weights(t, year, property_type), "ratio", "weight")
-    return sales.agg(
-        F.count(F.lit(1)).alias("nb_ventes"),
-        F.sum("valeur_fonciere").cast("decimal(38,2)").alias("volume_total_eur"),
-    ).select(
-        "nb_ventes", "volume_total_eur",
-        F.lit(med_price).cast("decimal(15,2)").alias("prix_median_eur"),
-        F.lit(med_m2).cast("double").alias("prix_m2_median_eur"),
-    )
+    total = price.total.quantize(Decimal("0.01")) if price.total is not None else None
+    row = (price.n, total, decimal_median_of(price, 2), med_m2)
+    return sales.sparkSession.createDataFrame([row], KPI_SCHEMA)
 
 
 def price_evolution(t: Tables) -> DataFrame:

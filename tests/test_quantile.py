@@ -39,3 +39,16 @@ def test_weights_and_random(spark):
         df = spark.createDataFrame(list(zip(vals, w)), "v double, w long")
         expanded = [v for v, k in zip(vals, w) for _ in range(k)]
         assert median_double(df, "v", "w") == _ref(expanded)
+
+
+def test_refinement_level_is_exact(spark, monkeypatch):
+    import landsales.operators.quantile as Q
+    monkeypatch.setattr(Q, "FINAL_ROWS", 1)
+    rnd = random.Random(11)
+    vals = [rnd.uniform(100.0, 101.0) for _ in range(4000)] + [rnd.uniform(1, 1e6) for _ in range(400)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    assert median_double(df, "v") == _ref(vals)
+    dvals = [Decimal(rnd.randint(10000, 10100)) / 100 for _ in range(3001)]
+    ddf = spark.createDataFrame([(d,) for d in dvals], "v decimal(15,2)")
+    s = sorted(dvals)
+    assert median_decimal(ddf, "v", 2) == s[1500]
