@@ -83,33 +83,47 @@ def load(spark: SparkSession, store_root: str, landing: str, years: list[int],
         log("[SUCCESS] up to date, nothing to ingest")
         return LoadResult(snapshot=published["snapshot"])
 
-    batch = state["next"]
-    result = LoadResult(snapshot=0)
-    loaded_markers: list[str] = []
-
     paths = collect_year_files(landing, todo_years, log) if todo_years else {}
     if todo_years and not paths and not todo_centres:
         raise RuntimeError("no raw file available, aborting; nothing was published")
 
+    geo = None
+    if todo_centres:
+        geo = first_source_wins([read_commune_centres(spark, c.path, c.json_array)
+                                 for c in todo_centres])
+    raw = read_raw_files(spark, list(paths.values()), quote) if paths else None
+    markers = [c.marker for c in todo_centres] + [year_marker(y) for y in paths]
+    result = append_batch(spark, store, visible, raw, geo, markers, log)
+    result.years = sorted(paths)
+    result.centre_markers = [c.marker for c in todo_centres]
+    return result
+
+
+def append_batch(spark: SparkSession, store: Store, visible: list[int], raw: DataFrame | None,
+                 centres: DataFrame | None, markers: list[str], log=print) -> LoadResult:
+    """Clean, derive, append by key and publish one batch (K1, K2, K4, K6).
+
+    ``raw`` holds raw text rows (with a ``_rejected`` flag), ``centres`` the
+    (code_commune, latitude, longitude) rows; either may be None. Replaying a
+    batch is harmless: every table is appended by key, existing rows win.
+    """
+    batch = store.state()["next"]
+    result = LoadResult(snapshot=0)
+    manifest = store.table("elt_file", visible)
+
     # Independent table writes of this load, run as concurrent Spark jobs
     # (they share the executors; each only reads its own inputs).
     writes: list[tuple[str, DataFrame]] = []
-    if todo_centres:
-        frames = [read_commune_centres(spark, c.path, c.json_array) for c in todo_centres]
-        geo = first_source_wins(frames)
-        writes.append(("commune_geo", new_rows(geo, store.table("commune_geo", visible),
+    if centres is not None:
+        writes.append(("commune_geo", new_rows(centres, store.table("commune_geo", visible),
                                                PUBLISHED["commune_geo"], KEYS["commune_geo"],
                                                "commune_geo")))
-        loaded_markers += [c.marker for c in todo_centres]
-        result.centre_markers = [c.marker for c in todo_centres]
-
     clean = None
-    if paths:
+    if raw is not None:
         t0 = time.monotonic()
         obs = Observation("raw")
-        raw = read_raw_files(spark, list(paths.values()), quote).observe(
-            obs, F.count(F.lit(1)).alias("rows"),
-            F.sum(F.col("_rejected").cast("long")).alias("rejected"))
+        raw = raw.observe(obs, F.count(F.lit(1)).alias("rows"),
+                          F.sum(F.col("_rejected").cast("long")).alias("rejected"))
         # The clean rows feed five entities: parse, hash and cache them once
         # (one pass that also yields the K9 raw-row counts).
         clean = clean_rows(raw).persist(StorageLevel.MEMORY_AND_DISK)
@@ -122,8 +136,6 @@ def load(spark: SparkSession, store_root: str, landing: str, years: list[int],
         for name in ENTITY_TABLES:
             writes.append((name, new_rows(built[name], store.table(name, visible), PUBLISHED[name],
                                           KEYS[name], name)))
-        loaded_markers += [year_marker(y) for y in paths]
-        result.years = sorted(paths)
 
     def write(item: tuple[str, DataFrame]) -> tuple[str, float]:
         t1 = time.monotonic()
@@ -139,11 +151,10 @@ def load(spark: SparkSession, store_root: str, landing: str, years: list[int],
         if clean is not None:
             clean.unpersist()
     result.seconds["transform_publish"] = time.monotonic() - t0
-    if paths:
-        log(f"loaded {result.raw_rows:,} raw rows ({result.rejected_rows:,} rejected) "
-            f"for years {result.years}")
+    if raw is not None:
+        log(f"loaded {result.raw_rows:,} raw rows ({result.rejected_rows:,} rejected)")
 
-    fresh = new_rows(_manifest_rows(spark, loaded_markers), manifest, PUBLISHED["elt_file"],
+    fresh = new_rows(_manifest_rows(spark, markers), manifest, PUBLISHED["elt_file"],
                      KEYS["elt_file"], "elt_file")
     store.write_batch("elt_file", fresh, batch)
     published = store.publish(visible + [batch], batch + 1)
