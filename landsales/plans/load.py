@@ -12,7 +12,6 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +22,8 @@ from landsales.operators.keyed import new_rows
 from landsales.schemas import ENTITY_TABLES, KEYS, PUBLISHED
 from landsales.sources.geo import first_source_wins, read_commune_centres
 from landsales.sources.raw_files import collect_year_files, read_raw_files, year_marker
+from landsales.session import new_work_dir
+from landsales.sources import fs
 from landsales.store import Store
 
 
@@ -118,16 +119,19 @@ def append_batch(spark: SparkSession, store: Store, visible: list[int], raw: Dat
         writes.append(("commune_geo", new_rows(centres, store.table("commune_geo", visible),
                                                PUBLISHED["commune_geo"], KEYS["commune_geo"],
                                                "commune_geo")))
-    clean = None
+    staging = None
     if raw is not None:
         t0 = time.monotonic()
         obs = Observation("raw")
         raw = raw.observe(obs, F.count(F.lit(1)).alias("rows"),
                           F.sum(F.col("_rejected").cast("long")).alias("rejected"))
-        # The clean rows feed five entities: parse, hash and cache them once
-        # (one pass that also yields the K9 raw-row counts).
-        clean = clean_rows(raw).persist(StorageLevel.MEMORY_AND_DISK)
-        clean.write.format("noop").mode("overwrite").save()
+        # The clean rows feed five entities: parse and hash them once into a
+        # staged Parquet table in the shared checkpoint folder (one pass that
+        # also yields the K9 counts). Each entity then reads only its columns,
+        # and a lost executor re-reads files instead of re-parsing raw text.
+        staging = new_work_dir(spark, "staging")
+        clean_rows(raw).write.mode("overwrite").parquet(staging)
+        clean = spark.read.parquet(staging)
         result.seconds["load"] = time.monotonic() - t0
         metrics = obs.get
         result.raw_rows = int(metrics.get("rows") or 0)
@@ -148,8 +152,8 @@ def append_batch(spark: SparkSession, store: Store, visible: list[int], raw: Dat
             for name, secs in pool.map(write, writes):
                 result.seconds[f"publish_{name}"] = secs
     finally:
-        if clean is not None:
-            clean.unpersist()
+        if staging is not None:
+            fs.delete_tree(staging)
     result.seconds["transform_publish"] = time.monotonic() - t0
     if raw is not None:
         log(f"loaded {result.raw_rows:,} raw rows ({result.rejected_rows:,} rejected)")

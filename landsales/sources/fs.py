@@ -96,3 +96,10 @@ def first_line(uri: str) -> str | None:
                 break
             chunk += block
     return chunk.split(b"\n", 1)[0].decode("utf-8").rstrip("\r")
+
+
+def delete_tree(uri: str) -> None:
+    """Remove a folder this package created for its own scratch data."""
+    fs, path = _resolve(uri)
+    if fs.get_file_info(path).type != pafs.FileType.NotFound:
+        fs.delete_dir(path)
