@@ -50,10 +50,17 @@ def pending_frame(spark: SparkSession, manifest: DataFrame, wanted: list[str]) -
     The wanted list is the caller's (a handful of file names); the manifest is
     a Spark table, compared by ``left_anti``.
     """
-    want = spark.createDataFrame([(m, i) for i, m in enumerate(wanted)], "filename string, ord int")
+    want = unnest(spark, wanted).select(F.col("value").alias("filename"), F.col("pos").alias("ord"))
     return want.join(manifest.select("filename"), "filename", "left_anti")
 
 
+def unnest(spark: SparkSession, names: list[str]) -> DataFrame:
+    """Rows (pos, value) from a bound list, built JVM-side (no Python
+    data path), like SQL ``unnest`` of a list parameter."""
+    arr = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
+    return spark.range(1).select(F.posexplode(arr).alias("pos", "value"))
+
+
 def pending_markers(spark: SparkSession, manifest: DataFrame, wanted: list[str]) -> list[str]:
     if not wanted:
         return []
@@ -62,8 +69,8 @@ def pending_markers(spark: SparkSession, manifest: DataFrame, wanted: list[str])
 
 def _manifest_rows(spark: SparkSession, markers: list[str]) -> DataFrame:
     """S8 + K4: one manifest row per marker, load time defaulted to now."""
-    names = spark.createDataFrame([(m,) for m in markers], "filename string")
-    return names.select("filename", F.current_timestamp().alias("loaded_at"))
+    return unnest(spark, markers).select(F.col("value").alias("filename"),
+                                         F.current_timestamp().alias("loaded_at"))
 
 
 def load(spark: SparkSession, store_root: str, landing: str, years: list[int],
