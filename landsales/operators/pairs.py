@@ -58,13 +58,24 @@ def parcel_types(t: dict[str, DataFrame], property_type: str | None = None) -> D
 def sale_parcel_types(t: dict[str, DataFrame], year: int | None = None,
                       property_type: str | None = None) -> DataFrame:
     """One row per (sale, parcel, type) that has at least one pair, with the
-    sale's pair sum of value/surface and its pair count on that parcel/type."""
+    sale's pair sum of value/surface and its pair count on that parcel/type.
+
+    A published snapshot carries this relation as a derived table; then it is
+    only scanned, with the year and type filters pushed to Parquet.
+    """
+    if "sale_parcel_types" in t:
+        spt = t["sale_parcel_types"]
+        if year is not None:
+            spt = spt.where(F.col("annee") == F.lit(year))
+        if property_type is not None:
+            spt = spt.where(F.col("type_local") == F.lit(property_type))
+        return spt
     sp = sale_parcels(t, year)
     pt = parcel_types(t, property_type)
     return sp.join(pt, "id_parcelle").select(
         "id_mutation", "annee", "valeur_fonciere", "id_parcelle", "code_commune", "type_local",
         (_dbl("valeur_fonciere") * F.col("inv_surf")).alias("pair_sum"),
-        F.col("n_prem").alias("pair_n"))
+        F.col("n_prem").cast("long").alias("pair_n"))
 
 
 def pairs(t: dict[str, DataFrame], year: int | None = None,
@@ -77,14 +88,36 @@ def pairs(t: dict[str, DataFrame], year: int | None = None,
         "code_commune")
 
 
+def parcel_sale_values(t: dict[str, DataFrame]) -> DataFrame:
+    """Qualifying sales per (parcel, year, value), with their count ``a``."""
+    return (sale_parcels(t).groupBy("id_parcelle", "annee", "valeur_fonciere")
+            .agg(F.count(F.lit(1)).alias("a")))
+
+
+def parcel_surfaces(t: dict[str, DataFrame]) -> DataFrame:
+    """Qualifying premises per (parcel, type, surface), with their count ``b``."""
+    prem = qualifying_premises(t).join(t["parcelle"].select("id_parcelle"), "id_parcelle", "left_semi")
+    return (prem.groupBy("id_parcelle", "type_local", "surface_reelle_bati")
+            .agg(F.count(F.lit(1)).alias("b")))
+
+
 def pair_ratio_weights(t: dict[str, DataFrame], year: int | None = None,
                        property_type: str | None = None) -> DataFrame:
     """(ratio = value/surface, weight = number of pairs with that value and
-    surface on a parcel): the pair distribution with equal values merged."""
-    sv = (sale_parcels(t, year).groupBy("id_parcelle", "valeur_fonciere")
-          .agg(F.count(F.lit(1)).alias("a")))
-    ps = (qualifying_premises(t, property_type).join(t["parcelle"].select("id_parcelle"), "id_parcelle", "left_semi")
-          .groupBy("id_parcelle", "surface_reelle_bati").agg(F.count(F.lit(1)).alias("b")))
+    surface on a parcel): the pair distribution with equal values merged.
+
+    Per parcel it joins distinct sale values with distinct surfaces (not
+    sales with premises); the join output is aggregated by ratio in the same
+    stage, and AQE splits a parcel whose partition is skewed.
+    """
+    psv = t["parcel_sale_values"] if "parcel_sale_values" in t else parcel_sale_values(t)
+    psf = t["parcel_surfaces"] if "parcel_surfaces" in t else parcel_surfaces(t)
+    if year is not None:
+        psv = psv.where(F.col("annee") == F.lit(year))
+    if property_type is not None:
+        psf = psf.where(F.col("type_local") == F.lit(property_type))
+    sv = psv.groupBy("id_parcelle", "valeur_fonciere").agg(F.sum("a").alias("a"))
+    ps = psf.groupBy("id_parcelle", "surface_reelle_bati").agg(F.sum("b").alias("b"))
     return sv.join(ps, "id_parcelle").select(
         (_dbl("valeur_fonciere") / _dbl("surface_reelle_bati")).alias("ratio"),
         (F.col("a") * F.col("b")).alias("weight"))

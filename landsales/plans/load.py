@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landsales.functions.cleaning import clean_rows
-from landsales.operators import entities
+from landsales.operators import entities, pairs
 from landsales.operators.keyed import new_rows
 from landsales.schemas import ENTITY_TABLES, KEYS, PUBLISHED
 from landsales.sources.geo import first_source_wins, read_commune_centres
@@ -168,7 +168,20 @@ def append_batch(spark: SparkSession, store: Store, visible: list[int], raw: Dat
     fresh = new_rows(_manifest_rows(spark, markers), manifest, PUBLISHED["elt_file"],
                      KEYS["elt_file"], "elt_file")
     store.write_batch("elt_file", fresh, batch)
-    published = store.publish(visible + [batch], batch + 1)
+
+    # Derived tables of the new snapshot, recomputed from all its rows: new
+    # premises change the per-parcel statistics of older sales too.
+    t0 = time.monotonic()
+    new_tables = store.tables(visible + [batch])
+    builders = {"sale_parcel_types": pairs.sale_parcel_types,
+                "parcel_sale_values": pairs.parcel_sale_values,
+                "parcel_surfaces": pairs.parcel_surfaces}
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        paths = pool.map(lambda kv: (kv[0], store.write_derived(kv[0], kv[1](new_tables), batch)),
+                         builders.items())
+        derived = dict(paths)
+    result.seconds["derive"] = time.monotonic() - t0
+    published = store.publish(visible + [batch], batch + 1, derived)
     result.snapshot = published["snapshot"]
     return result
 

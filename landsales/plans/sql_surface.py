@@ -121,6 +121,9 @@ def register(spark: SparkSession, tables: dict[str, DataFrame]) -> list[str]:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     for name, body in BASE_VIEWS.items():
+        if name == "ls_sale_parcel_types" and "sale_parcel_types" in tables:
+            tables["sale_parcel_types"].createOrReplaceTempView(name)   # derived, materialised
+            continue
         spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS {body}")
     for name, (params, returns, body) in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) "

@@ -112,3 +112,30 @@ OUTLINE_SCHEMA = T.StructType([
 
 def empty_table(spark, name: str):
     return spark.createDataFrame([], PUBLISHED[name])
+
+
+# Derived per-snapshot tables (recomputed at each publication, never appended).
+DERIVED = {
+    "sale_parcel_types": T.StructType([
+        T.StructField("id_mutation", T.StringType()),
+        T.StructField("annee", T.ShortType()),
+        T.StructField("valeur_fonciere", T.DecimalType(15, 2)),
+        T.StructField("id_parcelle", T.StringType()),
+        T.StructField("code_commune", T.StringType()),
+        T.StructField("type_local", T.StringType()),
+        T.StructField("pair_sum", T.DoubleType()),
+        T.StructField("pair_n", T.LongType()),
+    ]),
+    "parcel_sale_values": T.StructType([
+        T.StructField("id_parcelle", T.StringType()),
+        T.StructField("annee", T.ShortType()),
+        T.StructField("valeur_fonciere", T.DecimalType(15, 2)),
+        T.StructField("a", T.LongType()),
+    ]),
+    "parcel_surfaces": T.StructType([
+        T.StructField("id_parcelle", T.StringType()),
+        T.StructField("type_local", T.StringType()),
+        T.StructField("surface_reelle_bati", T.DecimalType(10, 2)),
+        T.StructField("b", T.LongType()),
+    ]),
+}

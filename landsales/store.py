@@ -3,7 +3,8 @@
 Layout under ``root``::
 
     tables/<table>/batch=<n>/part-*.parquet   one folder per load, never rewritten
-    _CURRENT.json                              {"snapshot": s, "batches": [..], "next": n}
+    derived/<n>/<table>/part-*.parquet         tables derived from the snapshot publishing batch n
+    _CURRENT.json                              {"snapshot": s, "batches": [..], "next": n, "derived": {..}}
 
 A load writes only its *new* rows, into a batch number no snapshot lists yet,
 then replaces ``_CURRENT.json`` in one step. Readers list the table folder and
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landsales.schemas import PUBLISHED, empty_table
+from landsales.schemas import DERIVED, PUBLISHED, empty_table
 from landsales.sources import fs
 
 POINTER = "_CURRENT.json"
@@ -31,6 +32,8 @@ BATCH = "batch"
 # Optional sort of a table's rows inside each written file: row-group min/max
 # statistics then let year filters skip most row groups.
 SORT_WITHIN = {"mutation": ["annee"]}
+SORT_WITHIN_DERIVED = {"sale_parcel_types": ["annee", "type_local"],
+                       "parcel_sale_values": ["annee"], "parcel_surfaces": ["type_local"]}
 
 
 class Store:
@@ -45,11 +48,19 @@ class Store:
             return {"snapshot": 0, "batches": [], "next": 1}
         return json.loads(text)
 
-    def publish(self, batches: list[int], next_batch: int) -> dict:
-        """K6: switch readers to a new snapshot in one atomic step."""
+    def publish(self, batches: list[int], next_batch: int,
+                derived: dict[str, str] | None = None) -> dict:
+        """K6: switch readers to a new snapshot in one atomic step.
+
+        ``derived`` maps derived-table names to the folders computed for this
+        snapshot; when omitted the previous snapshot's are kept (same data).
+        """
         old = self.state()
+        if derived is None:
+            derived = old.get("derived", {}) if batches else {}
         new = {"snapshot": old["snapshot"] + 1, "batches": sorted(batches),
-               "next": max(next_batch, old["next"]), "published_at": time.time()}
+               "next": max(next_batch, old["next"]), "derived": derived,
+               "published_at": time.time()}
         fs.write_text_atomic(f"{self.root}/{POINTER}", json.dumps(new))
         return new
 
@@ -76,5 +87,22 @@ class Store:
             out = out.sortWithinPartitions(*SORT_WITHIN[name])
         out.write.mode("overwrite").parquet(f"{self.table_path(name)}/{BATCH}={batch}")
 
+    def derived_path(self, name: str, batch: int) -> str:
+        return f"{self.root}/derived/{batch}/{name}"
+
+    def write_derived(self, name: str, rows: DataFrame, batch: int) -> str:
+        """Write a derived table for the snapshot that publishes ``batch``."""
+        path = self.derived_path(name, batch)
+        out = rows.select(*DERIVED[name].names)
+        if name in SORT_WITHIN_DERIVED:
+            out = out.sortWithinPartitions(*SORT_WITHIN_DERIVED[name])
+        out.write.mode("overwrite").parquet(path)
+        return path
+
     def tables(self, batches: list[int] | None = None) -> dict[str, DataFrame]:
-        return {name: self.table(name, batches) for name in PUBLISHED}
+        """Published tables; for the current snapshot also its derived tables."""
+        out = {name: self.table(name, batches) for name in PUBLISHED}
+        if batches is None:
+            for name, path in self.state().get("derived", {}).items():
+                out[name] = self.spark.read.schema(DERIVED[name]).parquet(path)
+        return out
