@@ -12,6 +12,7 @@ decimal(15,2).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -58,8 +59,12 @@ def kpi(t: Tables, year: int | None = None, property_type: str | None = None) ->
     """
     spt = P.sale_parcel_types(t, year, property_type)
     sales = spt.select("id_mutation", "valeur_fonciere").distinct()
-    price = percentile_cont(sales, "valeur_fonciere", with_total=True)
-    med_m2 = median_double(P.pair_ratio_weights(t, year, property_type), "ratio", "weight")
+    ratios = P.pair_ratio_weights(t, year, property_type)
+    # The two selections are independent: submit them as concurrent jobs.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_price = pool.submit(percentile_cont, sales, "valeur_fonciere", None, 0.5, True)
+        f_m2 = pool.submit(median_double, ratios, "ratio", "weight")
+        price, med_m2 = f_price.result(), f_m2.result()
     total = price.total.quantize(Decimal("0.01")) if price.total is not None else None
     row = (price.n, total, decimal_median_of(price, 2), med_m2)
     return sales.sparkSession.createDataFrame([row], KPI_SCHEMA)
