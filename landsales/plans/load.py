@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from landsales.functions.cleaning import clean_rows
 from landsales.operators import entities, pairs
