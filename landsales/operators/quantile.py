@@ -10,9 +10,10 @@ histogram refinement):
 2. histogram x by a monotone key (64 buckets per power of two); the driver
    receives only the histogram and finds the buckets holding the two ranks
    the interpolation needs;
-3. inside those buckets, histogram again by 65,536 equal-width sub-buckets;
-4. rank the few remaining distinct values with a window and return the <= 2
-   rows at the target ranks.
+3. while the selected buckets hold more than ``FINAL_ROWS`` distinct values,
+   histogram them again by 65,536 equal-width sub-buckets;
+4. rank the remaining (at most ``FINAL_ROWS``) distinct values with a window
+   and return the <= 2 rows at the target ranks.
 
 What reaches the driver is bounded by the bucket counts, never by the data.
 Interpolation follows the source engine: position ``(n - 1) * q``, result
@@ -37,6 +38,7 @@ SUB_BUCKETS = 65536
 # A selected bucket range with at most this many distinct values is ranked
 # directly (one task sorts it); larger ranges are refined once more.
 FINAL_ROWS = 1 << 17
+MAX_LEVELS = 8
 
 
 @dataclass(frozen=True)
@@ -94,16 +96,26 @@ def percentile_cont(values: DataFrame, value: str, weight: str | None = None,
         slice1 = keyed.where(F.col("k1").between(k1_lo, k1_hi))
         slice_rows = sum(r.rows for r in hist if k1_lo <= r.k1 <= k1_hi)
 
-        if slice_rows <= FINAL_ROWS:
-            slice2, off2 = slice1.select("x", "w"), off1
-        else:
-            mn, mx = slice1.agg(F.min(xd), F.max(xd)).first()
-            k2 = (F.floor((xd - F.lit(mn)) / F.lit(mx - mn) * SUB_BUCKETS) if mx > mn else F.lit(0))
-            slice1 = slice1.withColumn("k2", k2)
-            h2 = [(r.k2, r.w) for r in slice1.groupBy("k2").agg(F.sum("w").alias("w")).collect()]
-            k2_lo, off2 = _locate(h2, r_lo, off1)
-            k2_hi, _ = _locate(h2, r_hi, off1)
-            slice2 = slice1.where(F.col("k2").between(k2_lo, k2_hi)).select("x", "w")
+        # Refine with equal-width sub-buckets of the selected value range until
+        # the slice left for the single-task ranking is small. Each pass keeps
+        # at most two adjacent sub-buckets; distinct doubles in a range narrower
+        # than their spacing fall in different sub-buckets, so this ends.
+        current, off, level = slice1.select("x", "w"), off1, 0
+        while slice_rows > FINAL_ROWS and level < MAX_LEVELS:
+            mn, mx = current.agg(F.min(xd), F.max(xd)).first()
+            if not mx > mn:
+                break
+            kk = F.least(F.floor((xd - F.lit(mn)) / F.lit(mx - mn) * SUB_BUCKETS), F.lit(SUB_BUCKETS - 1))
+            keyed_k = current.withColumn("kk", kk)
+            h = keyed_k.groupBy("kk").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("rows")).collect()
+            hk = [(r.kk, r.w) for r in h]
+            kk_lo, new_off = _locate(hk, r_lo, off)
+            kk_hi, _ = _locate(hk, r_hi, off)
+            off = new_off
+            slice_rows = sum(r.rows for r in h if kk_lo <= r.kk <= kk_hi)
+            current = keyed_k.where(F.col("kk").between(kk_lo, kk_hi)).select("x", "w")
+            level += 1
+        slice2, off2 = current, off
 
         # The final slice is tiny; its running sum runs in one task.
         before = F.sum("w").over(Window.orderBy("x")) - F.col("w") + F.lit(off2)
