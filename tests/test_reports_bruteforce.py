@@ -113,3 +113,19 @@ def test_layers(tables, spark):
     assert set(b) == {"01", "02"}
     mv = Ly.map_view(tables).first()
     assert mv.communes == 2 and mv.latitude == (46.0 + 49.5) / 2
+
+
+def test_null_departement_group(spark):
+    com = [("01001", "A", "01", "01000"), ("99", "NODEPT", None, "")]
+    mut = [("m1", 2022, None, "Vente", D("100000")), ("m2", 2022, None, "Vente", D("300000"))]
+    link = [("m1", "p1"), ("m2", "p2")]
+    loc = [("l1", "Maison", D("50"), 3, "p1"), ("l2", "Maison", D("100"), 3, "p2")]
+    par = [("p1", "01001"), ("p2", "99")]
+    geo = [("01001", 46.0, 5.0), ("99", 40.0, 1.0)]
+    data = {"mutation": mut, "mutation_parcelle": link, "local": loc, "parcelle": par,
+            "commune": com, "commune_geo": geo}
+    t = {n: spark.createDataFrame(rows, PUBLISHED[n]) for n, rows in data.items()}
+    got = {r.dept: tuple(r)[1:] for r in R.map_departements(t).collect()}
+    assert got["01"] == (1, 100000.0, 2000.0, 46.0, 5.0)
+    assert got[None] == (1, 300000.0, None, None, None)
+    assert [r[0] for r in R.filter_departements(t).collect()] == ["01", None]
