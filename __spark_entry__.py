@@ -18,6 +18,7 @@ from landsales.plans import layers as Ly
 from landsales.plans import reports as R
 from landsales.plans.driver_snapshot import CENTRES_MARKER, snapshot_for, year_files
 from landsales.plans.load import pending_frame, table_counts
+from landsales.plans.sql_surface import register
 from landsales.plans.oracle_sql import (EMPTY_YEAR, KPI_TYPE, KPI_YEAR, SPLIT_YEAR, TOP_DEPT,
                                         oracle_queries)
 from landsales.schemas import RAW_COLUMNS
@@ -65,6 +66,28 @@ def _choropleth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer.drop("geometry")
 
 
+def _sql(statement: str):
+    """A report through the SQL surface (views + SQL table functions)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        register(spark, _tables(spark, sf_dir))
+        return spark.sql(statement)
+    return run
+
+
+# SQL-surface twins of DataFrame reports: key -> (statement, key of the twin).
+SQL_TWINS = {
+    "sql_price_evolution": ("SELECT * FROM v_prix_m2_evolution", "price_evolution"),
+    "sql_sales_per_year": ("SELECT * FROM v_mutations_par_annee", "sales_per_year"),
+    "sql_type_shares_year": (f"SELECT * FROM repartition_types(p_annee => {KPI_YEAR})", "type_shares_year"),
+    "sql_top_communes_dept": (f"SELECT * FROM top_communes(p_departement => '{TOP_DEPT}', "
+                              f"p_annee => {KPI_YEAR})", "top_communes_dept"),
+    "sql_map_communes_dept": (f"SELECT * FROM carte_communes(p_annee => {KPI_YEAR}, "
+                              f"p_departement => '{TOP_DEPT}')", "map_communes_dept"),
+    "sql_map_departements": ("SELECT * FROM carte_departements()", "map_departements"),
+    "sql_sale_premises": ("SELECT * FROM v_vente_local", "sale_premises"),
+}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the sales KPI over the whole sf0.001 snapshot (one row)."""
     return R.kpi(_tables(spark, FLAGSHIP_SF))
@@ -111,8 +134,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["badges"] = _report(Ly.badges)
     q["commune_bubbles"] = _report(Ly.commune_bubbles, None, TOP_DEPT)
     q["map_view"] = _report(Ly.map_view, None, TOP_DEPT)
+    for key, (statement, _twin) in SQL_TWINS.items():
+        q[key] = _sql(statement)
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries()
+    oracle = oracle_queries()
+    for key, (_statement, twin) in SQL_TWINS.items():
+        oracle[key] = oracle[twin]
+    return oracle
