@@ -8,7 +8,6 @@ as in tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,12 +67,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/landsales/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str | None:
-    """Filesystem path for ``file:`` URIs and bare paths, else ``None``."""
-    if path.startswith("file:"):
-        return path[len("file:"):].replace("///", "/", 1) if path.startswith("file:///") else path[len("file:"):]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)

@@ -124,3 +124,12 @@ def test_no_file_aborts(spark, work):
     with pytest.raises(RuntimeError, match="no raw file"):
         L.load(spark, f"{work}/x", f"{work}/empty", [2030], log=lambda m: None)
     assert Store(spark, f"{work}/x").state()["batches"] == []
+
+
+def test_keyed_union_whole_table(spark):
+    from landsales.operators.keyed import keyed_union
+    schema, keys = PUBLISHED["mutation_parcelle"], KEYS["mutation_parcelle"]
+    existing = spark.createDataFrame([("m1", "p1")], schema)
+    batch = spark.createDataFrame([("m1", "p1"), ("m1", "p2"), ("m1", "p2")], schema)
+    rows = sorted(tuple(r) for r in keyed_union(existing, batch, schema, keys, "mp").collect())
+    assert rows == [("m1", "p1"), ("m1", "p2")]
