@@ -1,0 +1,160 @@
+"""Exact median of value/surface over (sale, premises) pairs, without
+expanding the pairs of hot parcels.
+
+Pairs live inside parcels: a parcel with distinct sale values V and distinct
+surfaces S contributes |V| x |S| (weighted) ratios. Parcels where that product
+is at most ``CAP`` are expanded (bounded work per parcel). Hot parcels are
+never expanded; for them the number of pairs below a ratio threshold t is
+
+    sum over surfaces s (weight b) of  b * #values v < t * s   (weights a)
+
+computed with running sums inside fine value buckets of each parcel (a
+bucket spans 1/4096 of a power of two, so the rows of one window partition
+are bounded by the value grid, not by the parcel's size), plus bucket offsets
+from a per-parcel running sum over its buckets.
+
+Selection: start from the band [min ratio, max ratio], count pairs below K
+thresholds splitting the band (expanded ratios + hot-parcel counts), keep the
+sub-band holding the two target ranks, repeat. When the band is narrow and
+holds at most ``FINAL`` pairs, its hot-parcel pairs are listed through an
+equi-join on (parcel, value bucket) and everything in the band is ranked
+exactly. Interpolation as ``percentile_cont``: lo + (hi - lo) * frac.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from landsales.operators.quantile import median_double
+
+CAP = 1 << 16          # max distinct values x distinct surfaces expanded per parcel
+FINAL = 1 << 17        # max pairs ranked in the final band
+K = 32                 # thresholds per level
+G = 4096               # value buckets per power of two
+MAX_LEVELS = 40
+
+
+def _bucket(x):
+    return F.floor(F.log2(x) * G).cast("long")
+
+
+def _hot_counts(hv: DataFrame, hs: DataFrame, thresholds: list[float]) -> list[int]:
+    """Pairs with ratio < t for each threshold, over the hot parcels."""
+    if not thresholds:
+        return []
+    arr = F.array(*[F.lit(t) * F.col("s") for t in thresholds])
+    q = hs.select("id_parcelle", F.col("w"), F.posexplode(arr).alias("k", "x"))
+    u = (hv.select("id_parcelle", "x", "w", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("k"))
+         .unionByName(q.select("id_parcelle", "x", "w", F.lit(0).alias("kind"), "k"))
+         .withColumn("g", _bucket(F.col("x"))))
+    vw = F.when(F.col("kind") == 1, F.col("w")).otherwise(F.lit(0))
+    per_bucket = u.groupBy("id_parcelle", "g").agg(F.sum(vw).alias("vt"))
+    offsets = per_bucket.select(
+        "id_parcelle", "g",
+        (F.sum("vt").over(Window.partitionBy("id_parcelle").orderBy("g")) - F.col("vt")).alias("goff"))
+    # queries sort before values at equal x: counts are strict (v < t*s)
+    win = (Window.partitionBy("id_parcelle", "g").orderBy("x", "kind")
+           .rowsBetween(Window.unboundedPreceding, -1))
+    ranked = u.withColumn("below", F.coalesce(F.sum(vw).over(win), F.lit(0)))
+    hits = (ranked.where(F.col("kind") == 0).join(offsets, ["id_parcelle", "g"])
+            .groupBy("k").agg(F.sum(F.col("w") * (F.col("goff") + F.col("below"))).alias("c")))
+    got = {r.k: int(r.c) for r in hits.collect()}
+    return [got.get(i, 0) for i in range(len(thresholds))]
+
+
+def _hot_band_pairs(hv: DataFrame, hs: DataFrame, lo: float, hi: float) -> DataFrame:
+    """(ratio, weight) of hot-parcel pairs with lo <= ratio < hi, listed via
+    an equi-join on (parcel, value bucket)."""
+    span = F.sequence(_bucket(F.lit(lo) * F.col("s")), _bucket(F.lit(hi) * F.col("s")))
+    q = hs.select("id_parcelle", "s", F.col("w").alias("b"), F.explode(span).alias("g"))
+    v = hv.select("id_parcelle", "x", F.col("w").alias("a"), _bucket(F.col("x")).alias("g"))
+    # Same predicate as the counts (v < t * s), so every pair falls in exactly
+    # one of: below the band, in it, above it.
+    inside = (F.col("x") >= F.lit(lo) * F.col("s")) & (F.col("x") < F.lit(hi) * F.col("s"))
+    return v.join(q, ["id_parcelle", "g"]).where(inside).select(
+        (F.col("x") / F.col("s")).alias("ratio"), (F.col("a") * F.col("b")).alias("weight"))
+
+
+def _thresholds(lo: float, hi: float) -> list[float]:
+    if lo > 0 and hi / lo > 2:
+        ts = [lo * (hi / lo) ** (i / K) for i in range(1, K)]
+    else:
+        ts = [lo + (hi - lo) * i / K for i in range(1, K)]
+    return sorted({t for t in ts if lo < t < hi})
+
+
+def pair_ratio_median(sale_values: DataFrame, surfaces: DataFrame) -> float | None:
+    """``sale_values``: (id_parcelle, valeur_fonciere, a); ``surfaces``:
+    (id_parcelle, surface_reelle_bati, b), both with positive values."""
+    sv = sale_values.select("id_parcelle", F.col("valeur_fonciere").cast("double").alias("x"),
+                            F.col("a").cast("long").alias("w"))
+    ss = surfaces.select("id_parcelle", F.col("surface_reelle_bati").cast("double").alias("s"),
+                         F.col("b").cast("long").alias("w"))
+    sizes = (sv.groupBy("id_parcelle").agg(F.count(F.lit(1)).alias("nv"))
+             .join(ss.groupBy("id_parcelle").agg(F.count(F.lit(1)).alias("ns")), "id_parcelle"))
+    hot = sizes.where(F.col("nv") * F.col("ns") > CAP).select("id_parcelle")
+    if hot.limit(1).count() == 0:
+        expanded = sv.join(ss.withColumnRenamed("w", "wb"), "id_parcelle").select(
+            (F.col("x") / F.col("s")).alias("ratio"), (F.col("w") * F.col("wb")).alias("weight"))
+        return median_double(expanded, "ratio", "weight")
+
+    normal_sv = sv.join(hot, "id_parcelle", "left_anti")
+    expanded = (normal_sv.join(ss.withColumnRenamed("w", "wb"), "id_parcelle")
+                .select((F.col("x") / F.col("s")).alias("ratio"),
+                        (F.col("w") * F.col("wb")).alias("weight"))
+                .groupBy("ratio").agg(F.sum("weight").alias("weight"))
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    hv = sv.join(hot, "id_parcelle", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+    hs = ss.join(hot, "id_parcelle", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        e = expanded.agg(F.sum("weight"), F.min("ratio"), F.max("ratio")).first()
+        per_parcel = (hv.groupBy("id_parcelle").agg(F.sum("w").alias("A"), F.min("x").alias("vmin"),
+                                                    F.max("x").alias("vmax"))
+                      .join(hs.groupBy("id_parcelle").agg(F.sum("w").alias("B"), F.min("s").alias("smin"),
+                                                          F.max("s").alias("smax")), "id_parcelle"))
+        h = per_parcel.agg(F.sum(F.col("A") * F.col("B")), F.min(F.col("vmin") / F.col("smax")),
+                           F.max(F.col("vmax") / F.col("smin"))).first()
+        n = int(e[0] or 0) + int(h[0] or 0)
+        lo = min(x for x in (e[1], h[1]) if x is not None)
+        hi = math.nextafter(max(x for x in (e[2], h[2]) if x is not None), math.inf)
+        pos = (n - 1) * 0.5
+        r_lo, r_hi = math.floor(pos), math.ceil(pos)
+        below, inside = 0, n                      # pairs < lo, pairs in [lo, hi)
+        for _ in range(MAX_LEVELS):
+            narrow = lo > 0 and math.log2(hi / lo) * G <= 64
+            if inside <= FINAL and narrow:
+                break
+            ts = _thresholds(lo, hi)
+            if not ts:
+                break
+            ce = expanded.agg(*[F.sum(F.when(F.col("ratio") < t, F.col("weight")).otherwise(0))
+                                for t in ts]).first()
+            ch = _hot_counts(hv, hs, ts)
+            cum = [below] + [int(ce[i] or 0) + ch[i] for i in range(len(ts))] + [below + inside]
+            edges = [lo] + ts + [hi]
+            j_lo = max(i for i in range(len(edges) - 1) if cum[i] <= r_lo)
+            j_hi = max(i for i in range(len(edges) - 1) if cum[i] <= r_hi)
+            lo, hi = edges[j_lo], edges[j_hi + 1]
+            below, inside = cum[j_lo], cum[j_hi + 1] - cum[j_lo]
+        band = (expanded.where((F.col("ratio") >= lo) & (F.col("ratio") < hi))
+                .unionByName(_hot_band_pairs(hv, hs, lo, hi))
+                .groupBy("ratio").agg(F.sum("weight").alias("w")))
+        start = F.sum("w").over(Window.orderBy("ratio")) - F.col("w") + F.lit(below)
+        rows = band.withColumn("before", start).where(
+            (F.col("before") <= r_hi) & (F.col("before") + F.col("w") > r_lo)).collect()
+    finally:
+        for df in (expanded, hv, hs):
+            df.unpersist()
+
+    def at(rank):
+        for r in rows:
+            if r.before <= rank < r.before + r.w:
+                return r.ratio
+        raise AssertionError("rank not found in the final band")
+
+    a, b = at(r_lo), at(r_hi)
+    return a + (b - a) * (pos - r_lo)

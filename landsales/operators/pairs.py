@@ -101,15 +101,10 @@ def parcel_surfaces(t: dict[str, DataFrame]) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("b")))
 
 
-def pair_ratio_weights(t: dict[str, DataFrame], year: int | None = None,
-                       property_type: str | None = None) -> DataFrame:
-    """(ratio = value/surface, weight = number of pairs with that value and
-    surface on a parcel): the pair distribution with equal values merged.
-
-    Per parcel it joins distinct sale values with distinct surfaces (not
-    sales with premises); the join output is aggregated by ratio in the same
-    stage, and AQE splits a parcel whose partition is skewed.
-    """
+def pair_ratio_inputs(t: dict[str, DataFrame], year: int | None = None,
+                      property_type: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Per parcel: distinct sale values with counts ``a`` and distinct
+    surfaces with counts ``b``, after the year and type filters."""
     psv = t["parcel_sale_values"] if "parcel_sale_values" in t else parcel_sale_values(t)
     psf = t["parcel_surfaces"] if "parcel_surfaces" in t else parcel_surfaces(t)
     if year is not None:
@@ -118,6 +113,17 @@ def pair_ratio_weights(t: dict[str, DataFrame], year: int | None = None,
         psf = psf.where(F.col("type_local") == F.lit(property_type))
     sv = psv.groupBy("id_parcelle", "valeur_fonciere").agg(F.sum("a").alias("a"))
     ps = psf.groupBy("id_parcelle", "surface_reelle_bati").agg(F.sum("b").alias("b"))
+    return sv, ps
+
+
+def pair_ratio_weights(t: dict[str, DataFrame], year: int | None = None,
+                       property_type: str | None = None) -> DataFrame:
+    """(ratio = value/surface, weight = number of pairs with that value and
+    surface on a parcel): the pair distribution with equal values merged.
+    Expands distinct values x distinct surfaces per parcel; the KPI uses
+    ``pair_median.pair_ratio_median`` instead, which does not expand hot
+    parcels."""
+    sv, ps = pair_ratio_inputs(t, year, property_type)
     return sv.join(ps, "id_parcelle").select(
         (_dbl("valeur_fonciere") / _dbl("surface_reelle_bati")).alias("ratio"),
         (F.col("a") * F.col("b")).alias("weight"))

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landsales.operators import pairs as P
-from landsales.operators.quantile import decimal_median_of, median_double, percentile_cont
+from landsales.operators.pair_median import pair_ratio_median
+from landsales.operators.quantile import decimal_median_of, percentile_cont
 
 Tables = dict[str, DataFrame]
 
@@ -54,16 +55,17 @@ def kpi(t: Tables, year: int | None = None, property_type: str | None = None) ->
 
     Two distributed passes feed the row: the distinct qualifying sales,
     compressed by value, give the count, the total and the exact median in one
-    histogram job; the pair distribution (distinct value x distinct surface
-    per parcel, with multiplicities) gives the exact price-per-m2 median.
+    histogram job; the per-parcel value and surface counts give the exact
+    price-per-m2 median over pairs (``pair_median``: hot parcels are counted,
+    never expanded).
     """
     spt = P.sale_parcel_types(t, year, property_type)
     sales = spt.select("id_mutation", "valeur_fonciere").distinct()
-    ratios = P.pair_ratio_weights(t, year, property_type)
+    sv, ps = P.pair_ratio_inputs(t, year, property_type)
     # The two selections are independent: submit them as concurrent jobs.
     with ThreadPoolExecutor(max_workers=2) as pool:
         f_price = pool.submit(percentile_cont, sales, "valeur_fonciere", None, 0.5, True)
-        f_m2 = pool.submit(median_double, ratios, "ratio", "weight")
+        f_m2 = pool.submit(pair_ratio_median, sv, ps)
         price, med_m2 = f_price.result(), f_m2.result()
     total = price.total.quantize(Decimal("0.01")) if price.total is not None else None
     row = (price.n, total, decimal_median_of(price, 2), med_m2)
