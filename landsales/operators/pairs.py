@@ -11,8 +11,8 @@ never materialise pairs. Per parcel and property type they carry
 
 and a sale's pair statistics follow exactly:  sum of value/surface over its
 pairs = value * inv_surf, number of pairs = n_prem. Only the listing of pairs
-itself (R0) and the exact pair median expand them, and the median only as
-(distinct value x distinct surface) per parcel with multiplicities.
+itself (R0) lists them; the exact pair median (``pair_median``) works from
+per-parcel value and surface counts.
 """
 
 from __future__ import annotations
@@ -114,16 +114,3 @@ def pair_ratio_inputs(t: dict[str, DataFrame], year: int | None = None,
     sv = psv.groupBy("id_parcelle", "valeur_fonciere").agg(F.sum("a").alias("a"))
     ps = psf.groupBy("id_parcelle", "surface_reelle_bati").agg(F.sum("b").alias("b"))
     return sv, ps
-
-
-def pair_ratio_weights(t: dict[str, DataFrame], year: int | None = None,
-                       property_type: str | None = None) -> DataFrame:
-    """(ratio = value/surface, weight = number of pairs with that value and
-    surface on a parcel): the pair distribution with equal values merged.
-    Expands distinct values x distinct surfaces per parcel; the KPI uses
-    ``pair_median.pair_ratio_median`` instead, which does not expand hot
-    parcels."""
-    sv, ps = pair_ratio_inputs(t, year, property_type)
-    return sv.join(ps, "id_parcelle").select(
-        (_dbl("valeur_fonciere") / _dbl("surface_reelle_bati")).alias("ratio"),
-        (F.col("a") * F.col("b")).alias("weight"))
