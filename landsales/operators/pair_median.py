@@ -87,16 +87,29 @@ def _thresholds(lo: float, hi: float) -> list[float]:
     return sorted({t for t in ts if lo < t < hi})
 
 
-def pair_ratio_median(sale_values: DataFrame, surfaces: DataFrame) -> float | None:
+def hot_parcels(sale_values: DataFrame, surfaces: DataFrame) -> DataFrame:
+    """Parcels whose distinct values x distinct surfaces exceed ``CAP``.
+
+    Computed on unfiltered inputs it is a superset of the hot parcels of any
+    year/type filter (filters only remove values), so a snapshot can carry it.
+    """
+    nv = sale_values.groupBy("id_parcelle").agg(F.countDistinct("valeur_fonciere").alias("nv"))
+    ns = surfaces.groupBy("id_parcelle").agg(F.countDistinct("surface_reelle_bati").alias("ns"))
+    return (nv.join(ns, "id_parcelle").where(F.col("nv") * F.col("ns") > CAP)
+            .select("id_parcelle"))
+
+
+def pair_ratio_median(sale_values: DataFrame, surfaces: DataFrame,
+                      hot: DataFrame | None = None) -> float | None:
     """``sale_values``: (id_parcelle, valeur_fonciere, a); ``surfaces``:
-    (id_parcelle, surface_reelle_bati, b), both with positive values."""
+    (id_parcelle, surface_reelle_bati, b), both with positive values.
+    ``hot``: parcels to count instead of expanding (default: computed)."""
+    if hot is None:
+        hot = hot_parcels(sale_values, surfaces)
     sv = sale_values.select("id_parcelle", F.col("valeur_fonciere").cast("double").alias("x"),
                             F.col("a").cast("long").alias("w"))
     ss = surfaces.select("id_parcelle", F.col("surface_reelle_bati").cast("double").alias("s"),
                          F.col("b").cast("long").alias("w"))
-    sizes = (sv.groupBy("id_parcelle").agg(F.count(F.lit(1)).alias("nv"))
-             .join(ss.groupBy("id_parcelle").agg(F.count(F.lit(1)).alias("ns")), "id_parcelle"))
-    hot = sizes.where(F.col("nv") * F.col("ns") > CAP).select("id_parcelle")
     if hot.limit(1).count() == 0:
         expanded = sv.join(ss.withColumnRenamed("w", "wb"), "id_parcelle").select(
             (F.col("x") / F.col("s")).alias("ratio"), (F.col("w") * F.col("wb")).alias("weight"))

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from landsales.functions.cleaning import clean_rows
 from landsales.operators import entities, pairs
 from landsales.operators.keyed import new_rows
-from landsales.schemas import ENTITY_TABLES, KEYS, PUBLISHED
+from landsales.operators.pair_median import hot_parcels
+from landsales.schemas import DERIVED, ENTITY_TABLES, KEYS, PUBLISHED
 from landsales.sources.geo import first_source_wins, read_commune_centres
 from landsales.sources.raw_files import collect_year_files, read_raw_files, year_marker
 from landsales.session import new_work_dir
@@ -179,6 +180,12 @@ def append_batch(spark: SparkSession, store: Store, visible: list[int], raw: Dat
         paths = pool.map(lambda kv: (kv[0], store.write_derived(kv[0], kv[1](new_tables), batch)),
                          builders.items())
         derived = dict(paths)
+    # Parcels too busy to expand in the exact pair median (usually none).
+    with_counts = {**new_tables, **{n: spark.read.schema(DERIVED[n]).parquet(p)
+                                    for n, p in derived.items()}}
+    derived["hot_parcels"] = store.write_derived(
+        "hot_parcels", hot_parcels(with_counts["parcel_sale_values"], with_counts["parcel_surfaces"]),
+        batch)
     result.seconds["derive"] = time.monotonic() - t0
     published = store.publish(visible + [batch], batch + 1, derived)
     result.snapshot = published["snapshot"]

@@ -65,7 +65,7 @@ def kpi(t: Tables, year: int | None = None, property_type: str | None = None) ->
     # The two selections are independent: submit them as concurrent jobs.
     with ThreadPoolExecutor(max_workers=2) as pool:
         f_price = pool.submit(percentile_cont, sales, "valeur_fonciere", None, 0.5, True)
-        f_m2 = pool.submit(pair_ratio_median, sv, ps)
+        f_m2 = pool.submit(pair_ratio_median, sv, ps, t.get("hot_parcels"))
         price, med_m2 = f_price.result(), f_m2.result()
     total = price.total.quantize(Decimal("0.01")) if price.total is not None else None
     row = (price.n, total, decimal_median_of(price, 2), med_m2)

@@ -132,6 +132,9 @@ DERIVED = {
         T.StructField("valeur_fonciere", T.DecimalType(15, 2)),
         T.StructField("a", T.LongType()),
     ]),
+    "hot_parcels": T.StructType([
+        T.StructField("id_parcelle", T.StringType()),
+    ]),
     "parcel_surfaces": T.StructType([
         T.StructField("id_parcelle", T.StringType()),
         T.StructField("type_local", T.StringType()),

@@ -38,3 +38,13 @@ def test_pair_median_exact(spark, monkeypatch, cap, final):
     dsv = spark.createDataFrame(sv, "id_parcelle string, valeur_fonciere decimal(15,2), a long")
     dss = spark.createDataFrame(ss, "id_parcelle string, surface_reelle_bati decimal(10,2), b long")
     assert PM.pair_ratio_median(dsv, dss) == _brute(sv, ss)
+
+
+def test_given_hot_superset_is_exact(spark):
+    rnd = random.Random(9)
+    sv = [(f"p{p}", Decimal(rnd.randint(100000, 900000)), rnd.randint(1, 2)) for p in range(4) for _ in range(6)]
+    ss = [(f"p{p}", Decimal(rnd.choice([20, 35, 50, 75])), 1) for p in range(4) for _ in range(3)]
+    dsv = spark.createDataFrame(sv, "id_parcelle string, valeur_fonciere decimal(15,2), a long")
+    dss = spark.createDataFrame(ss, "id_parcelle string, surface_reelle_bati decimal(10,2), b long")
+    every = dsv.select("id_parcelle").distinct()
+    assert PM.pair_ratio_median(dsv, dss, every) == _brute(sv, ss)
