@@ -1,4 +1,4 @@
-"""The parametrised reports over a published snapshot.
+"""The parametrised reports over a published snapshot.
 
 Every report takes the snapshot's tables (``dict`` name -> DataFrame, see
 ``Store.tables``) and optional parameters; a parameter left as ``None`` means
@@ -69,7 +69,11 @@ def kpi(t: Tables, year: int | None = None, property_type: str | None = None) ->
         price, med_m2 = f_price.result(), f_m2.result()
     total = price.total.quantize(Decimal("0.01")) if price.total is not None else None
     row = (price.n, total, decimal_median_of(price, 2), med_m2)
-    return sales.sparkSession.createDataFrame([row], KPI_SCHEMA)
+    # One row of literals, built JVM-side in the KPI schema.
+    return sales.sparkSession.range(1).select(*[
+        F.lit(v).cast(f.dataType).alias(f.name) if v is not None
+        else F.lit(None).cast(f.dataType).alias(f.name)
+        for v, f in zip(row, KPI_SCHEMA.fields)])
 
 
 def price_evolution(t: Tables) -> DataFrame:
