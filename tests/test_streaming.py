@@ -24,3 +24,14 @@ def test_stream_matches_batch_and_skips_seen_files(spark, work):
     assert ingest_available(spark, land, streamed.root, ckpt, log=lambda m: None) == 1
     assert streamed.table("mutation").count() == 4
     assert "valeursfoncieres-2024.txt" in {r.filename for r in streamed.table("elt_file").collect()}
+
+
+def test_one_file_per_micro_batch(spark, work):
+    land = _landing(work)
+    streamed = Store(spark, f"{work}/one_by_one")
+    runs = ingest_available(spark, land, streamed.root, f"{work}/ckpt1", max_files_per_trigger=1,
+                            log=lambda m: None)
+    assert runs == 2 and len(streamed.state()["batches"]) == 2
+    batch = Store(spark, f"{work}/batch1")
+    L.load(spark, batch.root, land, [2022, 2023], log=lambda m: None)
+    assert _snapshot(streamed) == _snapshot(batch)
