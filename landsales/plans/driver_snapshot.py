@@ -91,8 +91,8 @@ def snapshot_for(spark: SparkSession, sf_dir: str, split_year: int = 1998) -> Dr
         # process, is found through an atomically written pointer file.
         pointer = f"{checkpoint_root(spark)}/landsales/driver-{_fingerprint(sf_dir)}.json"
         done = fs.read_text(pointer)
-        if done:
-            info = json.loads(done)
+        info = json.loads(done) if done else None
+        if info and fs.exists(f"{info['work']}/store/_CURRENT.json"):
             work = info["work"]
         else:
             work = new_work_dir(spark, "driver")
