@@ -48,3 +48,13 @@ def test_given_hot_superset_is_exact(spark):
     dss = spark.createDataFrame(ss, "id_parcelle string, surface_reelle_bati decimal(10,2), b long")
     every = dsv.select("id_parcelle").distinct()
     assert PM.pair_ratio_median(dsv, dss, every) == _brute(sv, ss)
+
+
+def test_identical_ratios_degenerate_band(spark, monkeypatch):
+    monkeypatch.setattr(PM, "CAP", 0)
+    monkeypatch.setattr(PM, "FINAL", 2)
+    sv = [("p0", Decimal("1000.00"), 3), ("p0", Decimal("2000.00"), 2), ("p1", Decimal("500.00"), 4)]
+    ss = [("p0", Decimal("10.00"), 2), ("p0", Decimal("20.00"), 1), ("p1", Decimal("5.00"), 3)]
+    dsv = spark.createDataFrame(sv, "id_parcelle string, valeur_fonciere decimal(15,2), a long")
+    dss = spark.createDataFrame(ss, "id_parcelle string, surface_reelle_bati decimal(10,2), b long")
+    assert PM.pair_ratio_median(dsv, dss) == _brute(sv, ss)
