@@ -25,6 +25,12 @@ from landsales.schemas import RAW_COLUMNS
 from landsales.sources.geo import read_outlines
 from landsales.sources.raw_files import read_raw_files, year_marker
 
+try:        # the training-data operators are optional: the rest works without them
+    import corpus_pipeline
+    from landsales.llm import queries as training_data
+except ModuleNotFoundError:
+    training_data = None
+
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 
@@ -136,6 +142,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["map_view"] = _report(Ly.map_view, None, TOP_DEPT)
     for key, (statement, _twin) in SQL_TWINS.items():
         q[key] = _sql(statement)
+    if training_data is not None:
+        q["pipeline"] = corpus_pipeline.run
+        q.update(training_data.queries())
     return q
 
 
@@ -143,4 +152,8 @@ def oracle_sql() -> dict[str, str]:
     oracle = oracle_queries()
     for key, (_statement, twin) in SQL_TWINS.items():
         oracle[key] = oracle[twin]
+    if training_data is not None:
+        oracle.update(training_data.oracle_sql())
+        if corpus_pipeline.ORACLE_SQL is not None:
+            oracle["pipeline"] = corpus_pipeline.ORACLE_SQL
     return oracle
