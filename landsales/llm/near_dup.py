@@ -10,13 +10,15 @@ sets, which is the plain Jaccard where all weights are equal, and doesn't change
 when a whole text is repeated.
 
 Texts of equal word sequence are one node, named by their least doc_id. Nodes
-that share a band of slots meet in a bucket. A bucket's nodes are compared with
-few pivots a round, never all with all: first each node with the least node it
-meets, then, in buckets that still hold more than one component, with pivots
-from the other components. A pair whose sketches agree enough is checked on the
-whole texts. A pivot has met its whole bucket and leaves it; rounds go on until
-every bucket's rest is one component, so no pair of different components in a
-bucket is left uncompared. Components are the classes.
+that share a band of slots meet in a bucket. First every node is compared with
+the least node it meets, and linked nodes become components. In each bucket that
+still holds several components, all nodes outside its least component are
+queries against the whole bucket, in blocks of bounded size: once by sketch
+bytes, which leaves the few nodes with a likely partner, then by the exact
+similarity of their whole texts. No pair is written out: a task hands on one link
+for every two components it joins. So every pair of a bucket that isn't yet
+connected is compared, and a hot bucket costs blocks, not rows. Components of all
+links are the classes.
 
 Defined results: texts without words (null, empty) are alone in their class;
 rows with a null doc_id have a null class; rows that repeat a doc_id share its
@@ -27,6 +29,7 @@ of an id's different texts); an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, BAND_SLOTS = 24, 5
 SLOTS = BANDS * BAND_SLOTS
+BLOCK_ROWS, BLOCK_BYTES = 2048, 8 << 20   # of a bucket compared in one task
 AGREE = 0.62              # share of equal sketch bytes before texts are compared (0.8 less 4.5 deviations)
 U = np.uint64
 
@@ -201,6 +205,117 @@ def _checked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _blocks(members: DataFrame, payload: str, block_rows: int, compare, schema: str) -> DataFrame:
+    """Compare, in every bucket of several components, the nodes outside its least
+    component with all its nodes.
+
+    members: bucket, id, root and the payload. A bucket of n rows and m bytes is dealt
+    to k * k blocks, k = max(n / block_rows, m / BLOCK_BYTES): block (i, j) holds share
+    i of the queries and share j of the nodes. ``compare(ids, roots, payload, queries,
+    nodes)`` gets the rows of one block and yields rows of the schema."""
+    size = F.octet_length(payload)
+    open_buckets = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.greatest(
+        F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum(size) / BLOCK_BYTES)).cast("int").alias("k")).where("lo < hi")
+    share = F.pmod(F.xxhash64("id"), F.col("k")).cast("int")
+    is_query = F.col("root") != F.col("lo")
+    numbers = F.sequence(F.lit(0), F.col("k") - 1)
+    as_node = F.transform(numbers, lambda i: F.struct(
+        i.alias("i"), F.col("share").alias("j"), F.lit(True).alias("node"),
+        (F.col("is_query") & (i == F.col("share"))).alias("query")))
+    as_query = F.transform(F.filter(numbers, lambda j: F.col("is_query") & (j != F.col("share"))), lambda j: F.struct(
+        F.col("share").alias("i"), j.alias("j"), F.lit(False).alias("node"), F.lit(True).alias("query")))
+    rows = members.join(open_buckets, "bucket").withColumns({"share": share, "is_query": is_query}) \
+        .withColumn("at", F.explode(F.concat(as_node, as_query))) \
+        .select("bucket", "at.i", "at.j", "id", "root", "at.query", "at.node", payload)
+    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "id")
+    names = [field.split()[0] for field in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in chain(batches, (None,)):
+            if batch is not None:
+                held.append(batch)
+                if sum(b.num_rows for b in held) < 2:
+                    continue
+            table = pa.Table.from_batches(held).combine_chunks() if held else None
+            if table is None or not table.num_rows:
+                held = []
+                continue
+            keys = np.stack([table.column(k).to_numpy() for k in range(3)])
+            starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+            stops = np.r_[starts[1:], table.num_rows]
+            if batch is not None:            # the last block may go on in the next batch
+                starts, stops = starts[:-1], stops[:-1]
+                held = table.slice(stops[-1] if len(stops) else 0).to_batches()
+            ids, roots = table.column(3).to_numpy(), table.column(4).to_numpy()
+            query, node = (table.column(k).to_numpy().astype(bool) for k in (5, 6))
+            column = table.column(7).combine_chunks()
+            found = []
+            for a, b in zip(starts.tolist(), stops.tolist()):
+                if b - a > 1:
+                    found += compare(ids[a:b], roots[a:b], column.slice(a, b - a), query[a:b], node[a:b], keys[0, a])
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=names)
+            if batch is None:
+                return
+
+    return rows.mapInArrow(run, schema)
+
+
+def _close_nodes(ids, roots, sketch, query, node, bucket) -> list[tuple]:
+    """(bucket, id) of both sides of pairs whose sketches agree enough."""
+    cells = utf8(sketch)[0].reshape(-1, SLOTS)
+    queries, nodes = np.flatnonzero(query), np.flatnonzero(node)
+    close = np.zeros(len(ids), bool)
+    step = max(1, (8 << 20) // (SLOTS * max(1, len(nodes))))
+    for a in range(0, len(queries), step):
+        part = queries[a:a + step]
+        agree = (cells[part][:, None, :] == cells[nodes][None, :, :]).sum(axis=2) >= AGREE * SLOTS
+        agree &= roots[part][:, None] != roots[nodes][None, :]
+        close[part] |= agree.any(axis=1)
+        close[nodes] |= agree.any(axis=0)
+    return [(bucket, i) for i in ids[close].tolist()]
+
+
+def _linked_nodes(ids, roots, texts, query, node, bucket, similarity) -> list[tuple]:
+    """(a, b) of alike nodes that join two components this block hasn't joined yet: fewer
+    links than the block has components, which join the same ones as all its links.
+
+    The overlap of two normalised weight vectors bounds their probability Jaccard from
+    above; where all weights are 1 it gives the value itself."""
+    data, offsets = utf8(texts)
+    keys, weights, bounds = shingles(*words(data, offsets, ALNUM))
+    vocabulary, place = np.unique(keys, return_inverse=True)
+    sizes = np.diff(bounds)
+    totals = np.add.reduceat(weights, bounds[:-1])
+    share = weights / np.repeat(totals, sizes)
+    unit = totals == sizes
+    mine = np.zeros(len(vocabulary))
+    found, joined = [], {}
+
+    def top(root):
+        while root in joined:
+            root = joined[root]
+        return root
+
+    for q in np.flatnonzero(query).tolist():
+        own = slice(bounds[q], bounds[q + 1])
+        mine[place[own]] = share[own]
+        overlap = np.add.reduceat(np.minimum(mine[place], share), bounds[:-1])
+        mine[place[own]] = 0
+        common = overlap * np.maximum(sizes[q], sizes)
+        value = np.where(unit & unit[q], common / (sizes[q] + sizes - common), np.where(overlap >= similarity - 1e-9, 2, 0))
+        alike = np.flatnonzero(node & (roots != roots[q]) & (value >= similarity - 1e-9))
+        for y in alike.tolist():
+            if top(roots[q]) == top(roots[y]):
+                continue
+            other = slice(bounds[y], bounds[y + 1])
+            if value[y] <= 1.5 or probability_jaccard(keys[own], weights[own], keys[other], weights[other]) >= similarity - 1e-9:
+                joined[top(roots[q])] = top(roots[y])
+                found.append((max(ids[q], ids[y]), min(ids[q], ids[y])))
+    return found
+
+
 def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
     return pairs.where(F.col(x) != F.col(y)) \
         .select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct()
@@ -229,38 +344,21 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         .where("least < most").select("bucket", "least")
     members = stored(meets.join(shared, "bucket"), "near-members")
 
-    # first round: every node with the least node it meets anywhere
+    # first every node with the least node it meets anywhere
     pairs = _ordered(members.groupBy("id").agg(F.min("least").alias("pivot")), "id", "pivot")
-    links = _compare(pairs, nodes, texts, similarity)
-    members, pivots = members.drop("least"), 2
-    while True:
-        roots = components(links)
-        members = members.join(roots, "id", "left") \
-            .select("bucket", "id", F.coalesce("root", "id").alias("root"))
-        open_buckets = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
-            .where("lo < hi").select("bucket")
-        members = stored(members.join(open_buckets, "bucket", "left_semi"), "near-members")
-        if members.isEmpty():
-            break
-        # up to ``pivots`` nodes a bucket, of components with large labels first: these are the small ones
-        share = F.pmod(F.xxhash64("root"), F.lit(pivots))
-        chosen = members.groupBy("bucket", share.alias("share")).agg(F.max(F.struct("root", "id")).alias("p")) \
-            .select("bucket", F.col("p.id").alias("pivot"), F.col("p.root").alias("pivot_root"))
-        chosen = stored(chosen, "near-pivots")
-        met = members.join(chosen, "bucket").where("root <> pivot_root")
-        found = _compare(_ordered(met, "id", "pivot"), nodes, texts, similarity)
-        links = stored(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(found), "near-links")
-        members = members.join(chosen.select("bucket", F.col("pivot").alias("id")), ["bucket", "id"], "left_anti") \
-            .select("bucket", "id")
-        pivots *= 4
+    likely = stored(_alike(pairs, nodes), "near-pairs")
+    roots = components(_checked(likely, texts, similarity))
+    # then, in buckets of several components, all that isn't connected yet, in blocks
+    members = stored(members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
+                     .join(nodes.select("id", "bytes"), "id"), "near-rooted")
+    close = stored(_blocks(members, "bytes", BLOCK_ROWS, _close_nodes, "bucket long, id long").distinct(), "near-close")
+    members = members.drop("bytes").join(close, ["bucket", "id"], "left_semi").join(texts, "id")
+    found = _blocks(members, "text", BLOCK_ROWS, lambda *x: _linked_nodes(*x, similarity), "a long, b long")
+    linked = stored(found.distinct(), "near-links")
+    roots = components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(linked))
     everything = roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(
         copies.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     final = components(everything)
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     return ids.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
         .select("doc_id", F.coalesce("root", "doc_id").alias("class_id"))
-
-
-def _compare(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    likely = stored(_alike(pairs, nodes), "near-pairs")
-    return stored(_checked(likely, texts, similarity), "near-links")
