@@ -111,9 +111,10 @@ def archive(records: list[bytes]) -> Iterator[bytes]:
     """The parts of a file: the dictionary's frame if one could be trained, then the records."""
     samples = [r[:SAMPLE_BYTES] for r in records[::max(1, len(records) // SAMPLE_RECORDS)]]
     dictionary = None
-    if sum(map(len, samples)) >= 8 * DICT_BYTES and len(samples) >= 16:
+    size = min(DICT_BYTES, sum(map(len, samples)) // 8)
+    if size >= 1024 and len(samples) >= 16:
         try:
-            dictionary = zstandard.train_dictionary(DICT_BYTES, samples)
+            dictionary = zstandard.train_dictionary(size, samples)
         except zstandard.ZstdError:
             dictionary = None           # too uniform to train on
     if dictionary is not None:
