@@ -132,6 +132,8 @@ def pair_ratio_median(sale_values: DataFrame, surfaces: DataFrame,
         h = per_parcel.agg(F.sum(F.col("A") * F.col("B")), F.min(F.col("vmin") / F.col("smax")),
                            F.max(F.col("vmax") / F.col("smin"))).first()
         n = int(e[0] or 0) + int(h[0] or 0)
+        if n == 0:                                # no pair selected: the median is NULL
+            return None
         # Widen by a relative 1e-12 (far above double rounding) so that every
         # pair satisfies lo * s <= x < hi * s as well as lo <= x / s < hi.
         lo = min(x for x in (e[1], h[1]) if x is not None) * (1 - 1e-12)

@@ -92,7 +92,7 @@ def load(spark: SparkSession, store_root: str, landing: str, years: list[int],
         return LoadResult(snapshot=published["snapshot"])
 
     paths = collect_year_files(landing, todo_years, log) if todo_years else {}
-    if todo_years and not paths and not todo_centres:
+    if todo_years and not paths:
         raise RuntimeError("no raw file available, aborting; nothing was published")
 
     geo = None

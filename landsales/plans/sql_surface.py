@@ -51,9 +51,9 @@ SELECT annee, type_local AS type_bien, round(sum(s) / sum(n), 0) AS prix_m2_moye
 FROM (SELECT annee, type_local, id_mutation, sum(pair_sum) AS s, sum(pair_n) AS n
       FROM ls_sale_parcel_types WHERE annee IS NOT NULL AND type_local IS NOT NULL
       GROUP BY annee, type_local, id_mutation)
-GROUP BY annee, type_local""",
+GROUP BY annee, type_local ORDER BY annee, type_bien""",
     "v_mutations_par_annee": """
-SELECT annee, count(*) AS mutations FROM mutation WHERE annee IS NOT NULL GROUP BY annee""",
+SELECT annee, count(*) AS mutations FROM mutation WHERE annee IS NOT NULL GROUP BY annee ORDER BY annee""",
 }
 
 

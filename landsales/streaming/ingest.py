@@ -26,16 +26,17 @@ from pyspark.sql import types as T
 from landsales.plans.load import append_batch
 from landsales.schemas import RAW_COLUMNS
 from landsales.sources.fs import first_line, list_dir
-from landsales.sources.raw_files import RAW_FILE_WORD
+from landsales.sources.raw_files import CORRUPT, RAW_FILE_WORD
 from landsales.store import Store
 
 
 def _marker(path: str) -> str:
-    """Manifest name of a streamed file: its own name, or the name of the
-    ``*.txt`` folder it sits in (files written by a distributed writer)."""
+    """Manifest name of a streamed file: its own name, with its folder's if it is one
+    part of a ``*.txt`` folder. A part never claims the whole year: a batch load still
+    reads the folder, and appending by key makes that harmless."""
     parent, name = os.path.split(path.rstrip("/"))
     folder = os.path.basename(parent)
-    return folder if folder.endswith(".txt") else name
+    return f"{folder}/{name}" if folder.endswith(".txt") else name
 
 
 def _header(landing: str) -> list[str]:
@@ -52,15 +53,17 @@ def raw_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | N
     missing = [c for c in RAW_COLUMNS if c not in header]
     if missing:
         raise ValueError(f"landing files lack required column(s) {missing}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
+                          + [T.StructField(CORRUPT, T.StringType())])
     reader = (spark.readStream.schema(schema).option("sep", "|").option("header", True)
-              .option("quote", "").option("enforceSchema", False))
+              .option("quote", "").option("enforceSchema", False)
+              .option("columnNameOfCorruptRecord", CORRUPT))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(f"{landing.rstrip('/')}/*{RAW_FILE_WORD}*.txt")
     return stream.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS],
-                         F.lit(False).alias("_rejected"),
-                         F.input_file_name().alias("_file"))
+                         F.col(CORRUPT).isNotNull().alias("_rejected"),
+                         F.col("_metadata.file_path").alias("_file"))
 
 
 def ingest_available(spark: SparkSession, landing: str, store_root: str, checkpoint: str,

@@ -58,3 +58,10 @@ def test_identical_ratios_degenerate_band(spark, monkeypatch):
     dsv = spark.createDataFrame(sv, "id_parcelle string, valeur_fonciere decimal(15,2), a long")
     dss = spark.createDataFrame(ss, "id_parcelle string, surface_reelle_bati decimal(10,2), b long")
     assert PM.pair_ratio_median(dsv, dss) == _brute(sv, ss)
+
+
+def test_empty_selection_with_hot_parcels_is_null(spark):
+    sales = spark.createDataFrame([], "id_parcelle string, valeur_fonciere decimal(15,2), a long")
+    surfaces = spark.createDataFrame([("p", 10, 1)], "id_parcelle string, surface_reelle_bati int, b long")
+    hot = spark.createDataFrame([("p",)], "id_parcelle string")
+    assert PM.pair_ratio_median(sales, surfaces, hot) is None

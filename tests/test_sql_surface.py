@@ -32,3 +32,11 @@ def test_sql_functions_match_dataframe_reports(spark):
     ]
     for sql, df in pairs:
         assert _rows(spark.sql(sql)) == _rows(df), sql
+
+
+def test_views_keep_their_order(spark):
+    register(spark, snapshot_for(spark, SF).store.tables())
+    years = [r.annee for r in spark.sql("SELECT * FROM v_mutations_par_annee").collect()]
+    assert years == sorted(years)
+    keys = [(r.annee, r.type_bien) for r in spark.sql("SELECT * FROM v_prix_m2_evolution").collect()]
+    assert keys == sorted(keys)

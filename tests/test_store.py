@@ -126,6 +126,16 @@ def test_no_file_aborts(spark, work):
     assert Store(spark, f"{work}/x").state()["batches"] == []
 
 
+def test_pending_centres_do_not_hide_missing_raw_files(spark, work):
+    os.makedirs(f"{work}/empty", exist_ok=True)
+    with open(f"{work}/geo.json", "w") as handle:
+        handle.write('[{"codeInsee": "69001", "latitude_mairie": 45.0, "longitude_mairie": 4.0}]')
+    with pytest.raises(RuntimeError, match="no raw file"):
+        L.load(spark, f"{work}/y", f"{work}/empty", [2022], [L.CentreSource("geo.json", f"{work}/geo.json")],
+               log=lambda m: None)
+    assert Store(spark, f"{work}/y").state()["snapshot"] == 0
+
+
 def test_keyed_union_whole_table(spark):
     from landsales.operators.keyed import keyed_union
     schema, keys = PUBLISHED["mutation_parcelle"], KEYS["mutation_parcelle"]
