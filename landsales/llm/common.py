@@ -11,7 +11,17 @@ from pyspark.sql import types as T
 from landsales.session import new_work_dir
 
 
+BATCH_ROWS = 1000          # rows of an Arrow batch: long texts make the default of 10,000 large
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -19,6 +29,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below spark.checkpoint.dir and read it back: the lineage ends
     at files every executor can read, so a lost executor costs no recomputation."""
     spark = df.sparkSession
+    _bound_batches(spark)
     path = new_work_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
