@@ -6,7 +6,7 @@ yearly `|`-delimited raw files, a commune-centre JSON file and a département
 outline GeoJSON. Work grows with the driver's tables; nothing is invented.
 
 The mapping (which driver column feeds which raw column) is a fixed test
-convention shared with the DuckDB oracle in ``landsales.plans.oracle``.
+convention shared with the DuckDB oracle in ``landsales.plans.oracle_sql``.
 """
 
 from __future__ import annotations
