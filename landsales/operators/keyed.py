@@ -15,19 +15,21 @@ from pyspark.sql import types as T
 
 def conform(batch: DataFrame, schema: T.StructType, keys: list[str], table: str) -> DataFrame:
     """Select the table's columns by name and cast them; NULL keys raise."""
-    cols = []
-    for field in schema.fields:
-        c = F.col(field.name).cast(field.dataType)
-        if field.name in keys:
-            c = F.when(c.isNull(), F.raise_error(F.lit(f"{table}: NULL key {field.name}"))).otherwise(c)
-        cols.append(c.alias(field.name))
-    return batch.select(*cols)
+    rows = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    for key in keys:
+        # a filter, not a changed key column: the batch keeps its partitioning by key
+        missing = F.raise_error(F.lit(f"{table}: NULL key {key}")).cast("boolean")
+        rows = rows.where(F.when(F.col(key).isNull(), missing).otherwise(F.lit(True)))
+    return rows
 
 
 def new_rows(batch: DataFrame, existing_keys: DataFrame, schema: T.StructType,
-             keys: list[str], table: str) -> DataFrame:
-    """Rows of ``batch`` to append: one per key, keys not yet published."""
-    unique = conform(batch, schema, keys, table).dropDuplicates(keys)
+             keys: list[str], table: str, distinct_keys: bool = False) -> DataFrame:
+    """Rows of ``batch`` to append: one per key, keys not yet published.
+    ``distinct_keys``: the batch already has one row per key, as the entities have."""
+    unique = conform(batch, schema, keys, table)
+    if not distinct_keys:
+        unique = unique.dropDuplicates(keys)
     return unique.join(existing_keys.select(*keys), on=keys, how="left_anti")
 
 

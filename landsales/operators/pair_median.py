@@ -15,7 +15,7 @@ from a per-parcel running sum over its buckets.
 
 Selection: start from the band [min ratio, max ratio], count pairs below K
 thresholds splitting the band (expanded ratios + hot-parcel counts), keep the
-sub-band holding the two target ranks, repeat. When the band is narrow and
+sub-band holding the two target ranks (one each where they part), repeat. When the band is narrow and
 holds at most ``FINAL`` pairs, its hot-parcel pairs are listed through an
 equi-join on (parcel, value bucket) and everything in the band is ranked
 exactly. Interpolation as ``percentile_cont``: lo + (hi - lo) * frac.
@@ -35,7 +35,6 @@ CAP = 1 << 16          # max distinct values x distinct surfaces expanded per pa
 FINAL = 1 << 17        # max pairs ranked in the final band
 K = 32                 # thresholds per level
 G = 4096               # value buckets per power of two
-MAX_LEVELS = 40
 
 
 def _bucket(x):
@@ -140,29 +139,33 @@ def pair_ratio_median(sale_values: DataFrame, surfaces: DataFrame,
         hi = max(x for x in (e[2], h[2]) if x is not None) * (1 + 1e-12)
         pos = (n - 1) * 0.5
         r_lo, r_hi = math.floor(pos), math.ceil(pos)
-        below, inside = 0, n                      # pairs < lo, pairs in [lo, hi)
-        for _ in range(MAX_LEVELS):
-            narrow = lo > 0 and math.log2(hi / lo) * G <= 64
-            if inside <= FINAL and narrow:
-                break
-            ts = _thresholds(lo, hi)
-            if not ts:
-                break
-            ce = expanded.agg(*[F.sum(F.when(F.col("ratio") < t, F.col("weight")).otherwise(0))
-                                for t in ts]).first()
-            ch = _hot_counts(hv, hs, ts)
-            cum = [below] + [int(ce[i] or 0) + ch[i] for i in range(len(ts))] + [below + inside]
-            edges = [lo] + ts + [hi]
-            j_lo = max(i for i in range(len(edges) - 1) if cum[i] <= r_lo)
-            j_hi = max(i for i in range(len(edges) - 1) if cum[i] <= r_hi)
-            lo, hi = edges[j_lo], edges[j_hi + 1]
-            below, inside = cum[j_lo], cum[j_hi + 1] - cum[j_lo]
-        band = (expanded.where((F.col("ratio") >= lo) & (F.col("ratio") < hi))
-                .unionByName(_hot_band_pairs(hv, hs, lo, hi))
-                .groupBy("ratio").agg(F.sum("weight").alias("w")))
-        start = F.sum("w").over(Window.orderBy("ratio")) - F.col("w") + F.lit(below)
-        rows = band.withColumn("before", start).where(
-            (F.col("before") <= r_hi) & (F.col("before") + F.col("w") > r_lo)).collect()
+
+        def ranked(ranks: list[int], lo: float, hi: float, below: int, inside: int) -> list:
+            """Rows at the ranks; ``below`` pairs are < lo, ``inside`` ones in [lo, hi). Every
+            pass keeps one sub-band, so the loop ends at the latest with one value."""
+            while inside > FINAL or lo <= 0 or math.log2(hi / lo) * G > 64:
+                ts = _thresholds(lo, hi)
+                if not ts:
+                    break
+                ce = expanded.agg(*[F.sum(F.when(F.col("ratio") < t, F.col("weight")).otherwise(0))
+                                    for t in ts]).first()
+                ch = _hot_counts(hv, hs, ts)
+                cum = [below] + [int(ce[i] or 0) + ch[i] for i in range(len(ts))] + [below + inside]
+                edges = [lo] + ts + [hi]
+                at = [max(i for i in range(len(edges) - 1) if cum[i] <= rank) for rank in ranks]
+                if at[0] != at[-1]:
+                    return [row for rank, i in zip(ranks, at)
+                            for row in ranked([rank], edges[i], edges[i + 1], cum[i], cum[i + 1] - cum[i])]
+                i = at[0]
+                lo, hi, below, inside = edges[i], edges[i + 1], cum[i], cum[i + 1] - cum[i]
+            band = (expanded.where((F.col("ratio") >= lo) & (F.col("ratio") < hi))
+                    .unionByName(_hot_band_pairs(hv, hs, lo, hi))
+                    .groupBy("ratio").agg(F.sum("weight").alias("w")))
+            start = F.sum("w").over(Window.orderBy("ratio")) - F.col("w") + F.lit(below)
+            return band.withColumn("before", start).where(
+                (F.col("before") <= ranks[-1]) & (F.col("before") + F.col("w") > ranks[0])).collect()
+
+        rows = ranked(sorted({r_lo, r_hi}), lo, hi, 0, n)
     finally:
         for df in (expanded, hv, hs):
             df.unpersist()

@@ -47,12 +47,12 @@ def sale_parcels(t: dict[str, DataFrame], year: int | None = None) -> DataFrame:
 
 def parcel_types(t: dict[str, DataFrame], property_type: str | None = None) -> DataFrame:
     """Per (parcel, type): premises count and sum of 1/surface, with the
-    parcel's commune. Joined to ``parcelle`` before grouping so both steps
-    share one hash partitioning on id_parcelle."""
-    prem = qualifying_premises(t, property_type).join(t["parcelle"], "id_parcelle")
-    return (prem.groupBy("id_parcelle", "code_commune", "type_local")
-            .agg(F.count(F.lit(1)).alias("n_prem"),
-                 F.sum(F.lit(1.0) / _dbl("surface_reelle_bati")).alias("inv_surf")))
+    parcel's commune. Grouped before the join: a busy parcel's premises are
+    combined map-side and never shuffled one by one."""
+    per_type = (qualifying_premises(t, property_type).groupBy("id_parcelle", "type_local")
+                .agg(F.count(F.lit(1)).alias("n_prem"),
+                     F.sum(F.lit(1.0) / _dbl("surface_reelle_bati")).alias("inv_surf")))
+    return per_type.join(t["parcelle"], "id_parcelle")
 
 
 def sale_parcel_types(t: dict[str, DataFrame], year: int | None = None,
@@ -96,9 +96,9 @@ def parcel_sale_values(t: dict[str, DataFrame]) -> DataFrame:
 
 def parcel_surfaces(t: dict[str, DataFrame]) -> DataFrame:
     """Qualifying premises per (parcel, type, surface), with their count ``b``."""
-    prem = qualifying_premises(t).join(t["parcelle"].select("id_parcelle"), "id_parcelle", "left_semi")
-    return (prem.groupBy("id_parcelle", "type_local", "surface_reelle_bati")
-            .agg(F.count(F.lit(1)).alias("b")))
+    per_surface = (qualifying_premises(t).groupBy("id_parcelle", "type_local", "surface_reelle_bati")
+                   .agg(F.count(F.lit(1)).alias("b")))
+    return per_surface.join(t["parcelle"].select("id_parcelle"), "id_parcelle", "left_semi")
 
 
 def pair_ratio_inputs(t: dict[str, DataFrame], year: int | None = None,

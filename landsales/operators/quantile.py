@@ -10,10 +10,11 @@ histogram refinement):
 2. histogram x by a monotone key (64 buckets per power of two); the driver
    receives only the histogram and finds the buckets holding the two ranks
    the interpolation needs;
-3. while the selected buckets hold more than ``FINAL_ROWS`` distinct values,
-   histogram them again by 65,536 equal-width sub-buckets;
+3. while the selected bucket holds more than ``FINAL_ROWS`` distinct values,
+   histogram it again by 65,536 equal-width sub-buckets;
 4. rank the remaining (at most ``FINAL_ROWS``) distinct values with a window
-   and return the <= 2 rows at the target ranks.
+   and return the <= 2 rows at the target ranks. Ranks that fall in two
+   buckets need no ranking: the values are one's largest and the other's least.
 
 What reaches the driver is bounded by the bucket counts, never by the data.
 Interpolation follows the source engine: position ``(n - 1) * q``, result
@@ -38,7 +39,6 @@ SUB_BUCKETS = 65536
 # A selected bucket range with at most this many distinct values is ranked
 # directly (one task sorts it); larger ranges are refined once more.
 FINAL_ROWS = 1 << 17
-MAX_LEVELS = 8
 
 
 @dataclass(frozen=True)
@@ -67,6 +67,12 @@ def _locate(hist: list[tuple[int, int]], rank: int, offset: int) -> tuple[int, i
     raise AssertionError("rank outside histogram")
 
 
+def _neighbours(buckets: DataFrame, key: str, lower: int, upper: int) -> tuple:
+    """The values of two successive ranks in different buckets."""
+    return tuple(buckets.agg(F.max(F.when(F.col(key) == lower, F.col("x"))).alias("lo"),
+                             F.min(F.when(F.col(key) == upper, F.col("x"))).alias("hi")).first())
+
+
 def percentile_cont(values: DataFrame, value: str, weight: str | None = None,
                     q: float = 0.5, with_total: bool = False) -> Percentile:
     w = F.col(weight) if weight else F.lit(1)
@@ -93,15 +99,15 @@ def percentile_cont(values: DataFrame, value: str, weight: str | None = None,
         r_lo, r_hi = math.floor(pos), math.ceil(pos)
         k1_lo, off1 = _locate(h1, r_lo, 0)
         k1_hi, _ = _locate(h1, r_hi, 0)
-        slice1 = keyed.where(F.col("k1").between(k1_lo, k1_hi))
-        slice_rows = sum(r.rows for r in hist if k1_lo <= r.k1 <= k1_hi)
+        if k1_lo != k1_hi:
+            return Percentile(n, *_neighbours(keyed, "k1", k1_lo, k1_hi), pos - r_lo, total)
+        slice_rows = sum(r.rows for r in hist if r.k1 == k1_lo)
 
         # Refine with equal-width sub-buckets of the selected value range until
-        # the slice left for the single-task ranking is small. Each pass keeps
-        # at most two adjacent sub-buckets; distinct doubles in a range narrower
-        # than their spacing fall in different sub-buckets, so this ends.
-        current, off, level = slice1.select("x", "w"), off1, 0
-        while slice_rows > FINAL_ROWS and level < MAX_LEVELS:
+        # the slice left for the single-task ranking is small. The least and the
+        # largest value never share a sub-bucket, so every pass drops rows.
+        current, off = keyed.where(F.col("k1") == k1_lo).select("x", "w"), off1
+        while slice_rows > FINAL_ROWS:
             mn, mx = current.agg(F.min(xd), F.max(xd)).first()
             if not mx > mn:
                 break
@@ -111,10 +117,11 @@ def percentile_cont(values: DataFrame, value: str, weight: str | None = None,
             hk = [(r.kk, r.w) for r in h]
             kk_lo, new_off = _locate(hk, r_lo, off)
             kk_hi, _ = _locate(hk, r_hi, off)
+            if kk_lo != kk_hi:
+                return Percentile(n, *_neighbours(keyed_k, "kk", kk_lo, kk_hi), pos - r_lo, total)
             off = new_off
-            slice_rows = sum(r.rows for r in h if kk_lo <= r.kk <= kk_hi)
-            current = keyed_k.where(F.col("kk").between(kk_lo, kk_hi)).select("x", "w")
-            level += 1
+            slice_rows = sum(r.rows for r in h if r.kk == kk_lo)
+            current = keyed_k.where(F.col("kk") == kk_lo).select("x", "w")
         slice2, off2 = current, off
 
         # The final slice is tiny; its running sum runs in one task.

@@ -3,7 +3,8 @@
 Mirrors the reference run: choose what is not yet in the manifest (K5), read
 centres (S5, K3) and the yearly raw files (S1-S4), clean and derive entities
 (F*, E*), append by key (K1, K2), record the manifest (K4), then publish the
-snapshot in one switch (K6). Nothing new still republishes (K7).
+snapshot in one switch (K6). Nothing new still republishes; every run points the
+session's views and table functions at the current snapshot (K7).
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from landsales.functions.cleaning import clean_rows
 from landsales.operators import entities, pairs
 from landsales.operators.keyed import new_rows
 from landsales.operators.pair_median import hot_parcels
-from landsales.schemas import DERIVED, ENTITY_TABLES, KEYS, PUBLISHED
+from landsales.plans.sql_surface import register_views
+from landsales.schemas import ENTITY_TABLES, KEYS, PUBLISHED
 from landsales.sources.geo import first_source_wins, read_commune_centres
 from landsales.sources.raw_files import collect_year_files, read_raw_files, year_marker
 from landsales.session import new_work_dir
@@ -88,6 +90,7 @@ def load(spark: SparkSession, store_root: str, landing: str, years: list[int],
 
     if not todo_years and not todo_centres:
         published = store.publish(visible, state["next"])
+        register_views(spark, store)
         log("[SUCCESS] up to date, nothing to ingest")
         return LoadResult(snapshot=published["snapshot"])
 
@@ -102,6 +105,7 @@ def load(spark: SparkSession, store_root: str, landing: str, years: list[int],
     raw = read_raw_files(spark, list(paths.values()), quote) if paths else None
     markers = [c.marker for c in todo_centres] + [year_marker(y) for y in paths]
     result = append_batch(spark, store, visible, raw, geo, markers, log)
+    register_views(spark, store)
     result.years = sorted(paths)
     result.centre_markers = [c.marker for c in todo_centres]
     return result
@@ -115,6 +119,7 @@ def append_batch(spark: SparkSession, store: Store, visible: list[int], raw: Dat
     (code_commune, latitude, longitude) rows; either may be None. Replaying a
     batch is harmless: every table is appended by key, existing rows win.
     """
+    store.begin()
     batch = store.state()["next"]
     result = LoadResult(snapshot=0)
     manifest = store.table("elt_file", visible)
@@ -146,7 +151,7 @@ def append_batch(spark: SparkSession, store: Store, visible: list[int], raw: Dat
         built = entities.derive(clean)
         for name in ENTITY_TABLES:
             writes.append((name, new_rows(built[name], store.table(name, visible), PUBLISHED[name],
-                                          KEYS[name], name)))
+                                          KEYS[name], name, distinct_keys=True)))
 
     def write(item: tuple[str, DataFrame]) -> tuple[str, float]:
         t1 = time.monotonic()
@@ -181,11 +186,9 @@ def append_batch(spark: SparkSession, store: Store, visible: list[int], raw: Dat
                          builders.items())
         derived = dict(paths)
     # Parcels too busy to expand in the exact pair median (usually none).
-    with_counts = {**new_tables, **{n: spark.read.schema(DERIVED[n]).parquet(p)
-                                    for n, p in derived.items()}}
+    counts = {name: store.read_derived(name, path) for name, path in derived.items()}
     derived["hot_parcels"] = store.write_derived(
-        "hot_parcels", hot_parcels(with_counts["parcel_sale_values"], with_counts["parcel_surfaces"]),
-        batch)
+        "hot_parcels", hot_parcels(counts["parcel_sale_values"], counts["parcel_surfaces"]), batch)
     result.seconds["derive"] = time.monotonic() - t0
     published = store.publish(visible + [batch], batch + 1, derived)
     result.snapshot = published["snapshot"]

@@ -121,16 +121,21 @@ def _per_place(spt: DataFrame, place: str) -> DataFrame:
         _mean(F.sum("s"), F.sum("n")).alias("prix_m2"))
 
 
+def _in_departement(spt: DataFrame, com: DataFrame,
+                    departement: str | None) -> tuple[DataFrame, DataFrame]:
+    """Both sides restricted to one département before anything is shuffled."""
+    if departement is None:
+        return spt, com
+    com = com.where(F.col("code_departement") == F.lit(departement))
+    return spt.join(com.select("code_commune"), "code_commune", "left_semi"), com
+
+
 def top_communes(t: Tables, departement: str | None = None, year: int | None = None,
                  k: int = 10) -> DataFrame:
     """Top communes by distinct sales; mean sale price and mean price per
-    m2 over pairs. The year filters both; the département filters after the
-    join to communes. Ties on the count are broken by commune code."""
-    per = _per_place(P.sale_parcel_types(t, year), "code_commune")
-    com = t["commune"]
-    if departement is not None:
-        com = com.where(F.col("code_departement") == F.lit(departement))
-    joined = per.join(com, "code_commune")
+    m2 over pairs. The year filters both. Ties on the count are broken by commune code."""
+    spt, com = _in_departement(P.sale_parcel_types(t, year), t["commune"], departement)
+    joined = _per_place(spt, "code_commune").join(com, "code_commune")
     return (joined.select(
                 "code_commune",
                 F.col("nom_commune").alias("commune"),
@@ -144,13 +149,10 @@ def top_communes(t: Tables, departement: str | None = None, year: int | None = N
 
 def map_communes(t: Tables, year: int | None = None, departement: str | None = None) -> DataFrame:
     """Per commune name and centre: distinct sales and mean sale price."""
-    spt = P.sale_parcel_types(t, year)
+    spt, com = _in_departement(P.sale_parcel_types(t, year), t["commune"], departement)
     per = (spt.select("code_commune", "id_mutation", "valeur_fonciere").distinct()
            .groupBy("code_commune").agg(F.count(F.lit(1)).alias("n"),
                                         F.sum("valeur_fonciere").alias("v")))
-    com = t["commune"]
-    if departement is not None:
-        com = com.where(F.col("code_departement") == F.lit(departement))
     placed = per.join(t["commune_geo"], "code_commune").join(com, "code_commune")
     return (placed.groupBy("nom_commune", "latitude", "longitude")
             .agg(F.sum("n").alias("nb_ventes"), F.sum("v").alias("v"))

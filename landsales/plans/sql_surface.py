@@ -33,9 +33,11 @@ SELECT l.id_parcelle, p.code_commune, l.type_local, l.surface_reelle_bati
 FROM local l JOIN parcelle p ON l.id_parcelle = p.id_parcelle
 WHERE l.surface_reelle_bati > 0""",
     "ls_parcel_types": """
-SELECT id_parcelle, code_commune, type_local, count(*) AS n_prem,
-       sum(1.0D / cast(surface_reelle_bati AS double)) AS inv_surf
-FROM ls_premises GROUP BY id_parcelle, code_commune, type_local""",
+SELECT g.id_parcelle, p.code_commune, g.type_local, g.n_prem, g.inv_surf
+FROM (SELECT id_parcelle, type_local, count(*) AS n_prem,
+             sum(1.0D / cast(surface_reelle_bati AS double)) AS inv_surf
+      FROM local WHERE surface_reelle_bati > 0 GROUP BY id_parcelle, type_local) g
+JOIN parcelle p ON g.id_parcelle = p.id_parcelle""",
     "ls_sale_parcels": """
 SELECT s.id_mutation, s.annee, s.valeur_fonciere, mp.id_parcelle
 FROM ls_sales s JOIN mutation_parcelle mp ON s.id_mutation = mp.id_mutation""",
@@ -71,29 +73,32 @@ FROM g ORDER BY nb_transactions DESC, type_bien"""),
     "top_communes": ("p_departement STRING DEFAULT NULL, p_annee INT DEFAULT NULL",
                      "commune STRING, dept STRING, nb_ventes BIGINT, prix_moyen_eur DOUBLE, prix_m2_moyen DOUBLE",
                      """
-WITH per_sale AS (SELECT code_commune, id_mutation, valeur_fonciere, sum(pair_sum) AS s, sum(pair_n) AS n
-                  FROM ls_sale_parcel_types WHERE p_annee IS NULL OR annee = p_annee
-                  GROUP BY code_commune, id_mutation, valeur_fonciere),
+WITH per_sale AS (SELECT s.code_commune, s.id_mutation, s.valeur_fonciere,
+                         sum(s.pair_sum) AS s, sum(s.pair_n) AS n
+                  FROM ls_sale_parcel_types s JOIN commune c ON s.code_commune = c.code_commune
+                  WHERE (p_annee IS NULL OR s.annee = p_annee)
+                    AND (p_departement IS NULL OR c.code_departement = p_departement)
+                  GROUP BY s.code_commune, s.id_mutation, s.valeur_fonciere),
 per AS (SELECT code_commune, count(*) AS nb_ventes, sum(valeur_fonciere) AS v, sum(s) / sum(n) AS pm
         FROM per_sale GROUP BY code_commune)
 SELECT c.nom_commune AS commune, c.code_departement AS dept, per.nb_ventes,
        round(cast(per.v AS double) / cast(per.nb_ventes AS double), 0) AS prix_moyen_eur,
        round(per.pm, 0) AS prix_m2_moyen
 FROM per JOIN commune c ON per.code_commune = c.code_commune
-WHERE p_departement IS NULL OR c.code_departement = p_departement
 ORDER BY per.nb_ventes DESC, c.code_commune LIMIT 10"""),
     "carte_communes": ("p_annee INT DEFAULT NULL, p_departement STRING DEFAULT NULL",
                        "commune STRING, latitude DOUBLE, longitude DOUBLE, nb_ventes BIGINT, prix_moyen_eur DOUBLE",
                        """
 WITH per AS (SELECT code_commune, count(*) AS n, sum(valeur_fonciere) AS v
-             FROM (SELECT DISTINCT code_commune, id_mutation, valeur_fonciere FROM ls_sale_parcel_types
-                   WHERE p_annee IS NULL OR annee = p_annee)
+             FROM (SELECT DISTINCT s.code_commune, s.id_mutation, s.valeur_fonciere
+                   FROM ls_sale_parcel_types s JOIN commune c ON s.code_commune = c.code_commune
+                   WHERE (p_annee IS NULL OR s.annee = p_annee)
+                     AND (p_departement IS NULL OR c.code_departement = p_departement))
              GROUP BY code_commune)
 SELECT c.nom_commune AS commune, g.latitude, g.longitude, sum(per.n) AS nb_ventes,
        round(cast(sum(per.v) AS double) / cast(sum(per.n) AS double), 0) AS prix_moyen_eur
 FROM per JOIN commune_geo g ON per.code_commune = g.code_commune
 JOIN commune c ON per.code_commune = c.code_commune
-WHERE p_departement IS NULL OR c.code_departement = p_departement
 GROUP BY c.nom_commune, g.latitude, g.longitude"""),
     "carte_departements": ("p_annee INT DEFAULT NULL",
                            "dept STRING, nb_ventes BIGINT, prix_moyen_eur DOUBLE, prix_m2_moyen DOUBLE, "

@@ -28,6 +28,7 @@ from landsales.sources import fs
 
 POINTER = "_CURRENT.json"
 BATCH = "batch"
+EMPTY = {"snapshot": 0, "batches": [], "next": 1}
 
 # Optional sort of a table's rows inside each written file: row-group min/max
 # statistics then let year filters skip most row groups.
@@ -44,9 +45,16 @@ class Store:
     # --- snapshot pointer ---------------------------------------------------
     def state(self) -> dict:
         text = fs.read_text(f"{self.root}/{POINTER}")
-        if text is None:
-            return {"snapshot": 0, "batches": [], "next": 1}
-        return json.loads(text)
+        if text is not None:
+            return json.loads(text)
+        if fs.exists(f"{self.root}/tables"):      # never take a lost pointer for an empty store
+            raise RuntimeError(f"{self.root} holds tables but no {POINTER}; restore it before reading or loading")
+        return dict(EMPTY)
+
+    def begin(self) -> None:
+        """Give a new store its pointer before the first batch is written."""
+        if fs.read_text(f"{self.root}/{POINTER}") is None:
+            fs.write_text_atomic(f"{self.root}/{POINTER}", json.dumps(self.state()))
 
     def publish(self, batches: list[int], next_batch: int,
                 derived: dict[str, str] | None = None) -> dict:
@@ -87,22 +95,23 @@ class Store:
             out = out.sortWithinPartitions(*SORT_WITHIN[name])
         out.write.mode("overwrite").parquet(f"{self.table_path(name)}/{BATCH}={batch}")
 
-    def derived_path(self, name: str, batch: int) -> str:
-        return f"{self.root}/derived/{batch}/{name}"
-
     def write_derived(self, name: str, rows: DataFrame, batch: int) -> str:
-        """Write a derived table for the snapshot that publishes ``batch``."""
-        path = self.derived_path(name, batch)
+        """Write a derived table for the snapshot that publishes ``batch``; returns its
+        place below the root, so that a copied store reads its own files."""
+        path = f"derived/{batch}/{name}"
         out = rows.select(*DERIVED[name].names)
         if name in SORT_WITHIN_DERIVED:
             out = out.sortWithinPartitions(*SORT_WITHIN_DERIVED[name])
-        out.write.mode("overwrite").parquet(path)
+        out.write.mode("overwrite").parquet(f"{self.root}/{path}")
         return path
 
+    def read_derived(self, name: str, path: str) -> DataFrame:
+        return self.spark.read.schema(DERIVED[name]).parquet(f"{self.root}/{path}")
+
     def tables(self, batches: list[int] | None = None) -> dict[str, DataFrame]:
         """Published tables; for the current snapshot also its derived tables."""
         out = {name: self.table(name, batches) for name in PUBLISHED}
         if batches is None:
             for name, path in self.state().get("derived", {}).items():
-                out[name] = self.spark.read.schema(DERIVED[name]).parquet(path)
+                out[name] = self.read_derived(name, path)
         return out
