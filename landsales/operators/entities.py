@@ -1,6 +1,6 @@
 """The five deduplicated entity tables derived from clean rows.
 
-Each is one hash aggregation on the entity key. Spark aggregates map-side
+Each is one aggregation on the entity key (sorted where ``max`` runs over text). Spark aggregates map-side
 first, so a key that holds a large share of the rows is reduced to one row per
 task before the shuffle. ``any_value`` of the source engine returns the first
 non-NULL value; ``max`` also ignores NULLs and is deterministic, so it is
