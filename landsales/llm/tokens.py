@@ -4,13 +4,17 @@ Both vocabularies split a text before every white-space run that follows other
 characters, and never join ids over such a place. A text is therefore cut into
 units (white space, then the characters up to the next white space), each
 distinct unit is encoded once per task, and the ids are the units' ids in order.
-Texts with control characters U+001C-U+001F (white space to Python only) or
-with the strings of special tokens are encoded whole.
+Texts with control characters U+001C-U+001F (white space to Python only), with
+the strings of special tokens, or, for a vocabulary that lower-cases, not in NFC
+before and after lower-casing are encoded whole. For such a vocabulary a unit of
+Latin letters is one word to the library, so its model encodes it directly.
 """
 
 from __future__ import annotations
 
 import re
+import struct
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -18,8 +22,8 @@ import numpy as np
 CACHE_UNITS = 400_000     # units in the young half of a worker's cache; units not met again leave with the old half
 _PUNCTUATION = frozenset(".,;:!?")
 _UNIT = re.compile(r"\s*\S+|\s+")
-_BARE = re.compile(r"\S+")
 _CONTROL = re.compile("[\x1c-\x1f]")
+_LAST_LETTER = "\u024f"    # letters up to here are in NFC, and letters to every Unicode version
 
 
 class Encoder:
@@ -27,21 +31,41 @@ class Encoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
         special = {t.content: n for n, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.mark, self.mark_id = next(iter(special.items()), (None, None))
-        # a vocabulary with word ends drops white space: its units are bare words
-        self.unit = _BARE if getattr(self.tokenizer.model, "end_of_word_suffix", None) else _UNIT
-        self.folds = self.unit is _BARE          # that vocabulary lower-cases, letter by letter
+        # a vocabulary with word ends drops white space: its units are bare words. It lower-cases, letter by letter
+        self.folds = bool(getattr(self.tokenizer.model, "end_of_word_suffix", None))
+        if self.folds:
+            spelled = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            self.letters = {n: spelled(chr(n))[0][0] for n in range(0x80, ord(_LAST_LETTER) + 1)}
+            self.model = self.tokenizer.model
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one word of lower-case Latin letters."""
+        ids = [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _learn(self, units: list[str]) -> None:
-        """Encode new units in one call: a special token between them parts them exactly."""
+        """Encode new units: words of Latin letters by the model, all others in one call,
+        where a special token between them parts them exactly."""
+        if self.folds:
+            others = []
+            for unit in units:
+                if unit.isalpha() and max(unit) <= _LAST_LETTER:
+                    self.young[unit] = self._word(unit)
+                else:
+                    others.append(unit)
+            units = others
+        if not units:
+            return
         if self.mark is None:
             made = [self.whole(unit) for unit in units]
         else:
@@ -85,7 +109,14 @@ class Encoder:
             return self.whole(text)
         if len(self.young) > CACHE_UNITS:
             self.old, self.young = self.young, {}
-        units = self.unit.findall(text)
+        if self.folds:
+            low = text.lower()
+            if self.special is not None and self.special.search(low) or not text.isascii() and not (
+                    unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low)):
+                return self.whole(text)
+            units = (text if "Σ" in text else low).split()
+        else:
+            units = _UNIT.findall(text)
         made = list(map(self.young.get, units))
         if None in made:
             self._resolve({unit for unit, ids in zip(units, made) if ids is None})

@@ -82,7 +82,8 @@ def test_globs_against_regular_expressions():
 def test_tokens_equal_whole_text_encoding():
     import public_tokenizers
     from tokenizers import Tokenizer
-    odd = ["a\n  b", " x\u0085y ", "it's  don't 123!!", "<|endoftext|> z", "a\x1cb", " ΣΑΣ İs.", "word. Word, WORD!", "", " \n"]
+    odd = ["a\n  b", " x\u0085y ", "it's  don't 123!!", "<|endoftext|> z", "a\x1cb", " ΣΑΣ İs.", "word. Word, WORD!", "", " \n",
+           "<|ENDOFTEXT|> a", "J\u030c x", "\u0130x I\u0307", "caf\u0065\u0301, \u0152uf ª º ǅ ŉ ß ſ", "É" * 300 + ".", "中文, ابج."]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         path = public_tokenizers.path(name)
         plain, ours = Tokenizer.from_file(path), tokens.Encoder(path)
