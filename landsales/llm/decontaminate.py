@@ -2,18 +2,21 @@
 scored by Smith-Waterman alignment.
 
 Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lowered.
-Every window of consecutive test-item n-grams keeps the one that fewest
-training documents contain, so each stretch of an item has a seed however often
-its passage was copied. A seed's place in a text fixes a diagonal; the stretch
-of text around it is aligned with the whole item (word matches +1, changed,
-added and dropped words -1), many pairs at a time.
+An alignment (word matches +1, changed, added and dropped words -1) of score s
+has at most one more run of matches than errors, so at least s - 1 pairs of
+adjacent words match. Of an item's pairs that some document holds, all but the
+``need - 2`` found in most documents are therefore seeds: every leak has one,
+wherever it was edited. A seed's place in a text fixes a diagonal; the stretch
+of text that an alignment through it can reach is aligned with the whole item if
+it holds ``need - 1`` pairs of the item, many stretches at a time. The result is
+that of Smith-Waterman on all pairs of documents and items.
 
 Items are handled in blocks of a bounded number of words: a block's n-grams are
 broadcast and all documents are read once per block, so a benchmark of any size
 is matched whole with bounded memory.
 
-Defined results: null or empty texts and items of fewer words than an n-gram
-give no hit; a hit of a row with a null doc_id has a null doc_id; rows that
+Defined results: null or empty texts and items of fewer than ``SHORTEST``
+words give no hit; a hit of a row with a null doc_id has a null doc_id; rows that
 repeat a doc_id or item_id count as one (the best score stays); empty tables
 give no hits.
 """
@@ -31,12 +34,13 @@ from pyspark.sql import functions as F
 from landsales.llm.common import stored
 from landsales.llm.kernels import ALNUM, grams, slices, utf8, words
 
-GRAM = 3                    # words of a seed
-SEED_WINDOW = 5             # consecutive n-grams of an item, one of them is a seed
+GRAM = 2                    # words of a seed
+SHORTEST = 3                # words an item must have
 MIN_SHARE, MIN_WORDS = 0.4, 7   # score >= share of the item's words, and at least so many
 LONG_RUN = 16               # a score that is a leak whatever the item's length
 BLOCK_WORDS = 1 << 20       # item words broadcast at once
-PAIRS = 512                 # passages aligned together
+PAIRS = 512                 # passages aligned together,
+PASSAGE_WORDS = 1 << 22     # of at most so many words, or one
 FILTER_BITS = 22
 U = np.uint64
 
@@ -103,60 +107,75 @@ class Block:
         self.offset = self.place - first[self.item]
         self.seeds = Seeds(np.unique(self.gram))
         self.number = np.searchsorted(self.seeds.hashes, self.gram)
-
-    def rare(self, counts: np.ndarray, window: int = SEED_WINDOW) -> Block:
-        """Keep, of every window of an item's n-grams, the one in fewest documents."""
-        keep = np.zeros(len(self.place), bool)
-        # rank by document count, ties by hash, so neighbouring windows keep the same n-gram
-        rank = np.empty(len(self.gram), np.int64)
-        rank[np.lexsort((self.gram, counts[self.number]))] = np.arange(len(self.gram))
-        starts = np.flatnonzero(np.r_[True, self.item[1:] != self.item[:-1]]) if len(self.item) else []
-        for a, b in zip(starts, np.r_[starts[1:], len(self.item)] if len(self.item) else []):
-            for k in range(a, max(a + 1, b - window + 1)):
-                keep[k + int(np.argmin(rank[k:min(k + window, b)]))] = True
-        for name in ("place", "gram", "item", "offset"):
-            setattr(self, name, getattr(self, name)[keep])
-        self.seeds = Seeds(np.unique(self.gram))
-        order = np.argsort(self.gram, kind="stable")
-        for name in ("place", "gram", "item", "offset"):
-            setattr(self, name, getattr(self, name)[order])
-        self.range = np.searchsorted(self.gram, self.seeds.hashes), \
-            np.searchsorted(self.gram, self.seeds.hashes, side="right")
+        size = first[1:] - first[:-1]
+        self.need = np.minimum(np.maximum(np.ceil(MIN_SHARE * size), MIN_WORDS), LONG_RUN).astype(np.int64)
+
+    def rare(self, counts: np.ndarray) -> Block:
+        """Make seeds of every item's n-grams but the ``need - 2`` in most documents; n-grams
+        that no document holds go first."""
+        held = counts[self.number] > 0
+        item, number, offset = self.item[held], self.number[held], self.offset[held]
+        order = np.lexsort((offset, -counts[number], item))
+        item, number, offset = item[order], number[order], offset[order]
+        place = np.arange(len(item)) - np.searchsorted(item, item)     # 0: in most documents
+        seed = (place >= self.need[item] - 2) & (self.first[item + 1] - self.first[item] >= SHORTEST)
+        self.pairs = np.unique(item * len(self.seeds.hashes) + number)
+        item, number, offset = item[seed], number[seed], offset[seed]
+        order = np.argsort(number, kind="stable")
+        self.item, self.offset = item[order], offset[order]
+        self.range = np.searchsorted(number[order], np.arange(len(self.seeds.hashes) + 1))
+        del self.place, self.gram, self.number
         return self
 
+    def _enough(self, at: np.ndarray, number: np.ndarray, item: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Does the stretch hold as many n-grams of the item as its score needs?"""
+        out = np.zeros(len(item), bool)
+        low, high = np.searchsorted(at, begin), np.searchsorted(at, stop)
+        for a, b in slices(np.r_[0, np.cumsum(high - low)], 1 << 20):
+            times = (high - low)[a:b]
+            which = np.repeat(np.arange(a, b), times)
+            hit = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times) + low[which]
+            wanted = item[which] * len(self.seeds.hashes) + number[hit]
+            found = self.pairs[np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)] == wanted
+            out[a:b] = np.bincount(which[found] - a, minlength=b - a) >= self.need[item[a:b]] - 1
+        return out
+
     def hits(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """(row, item, score, first and last word + 1 of the passage) of leaks."""
         grams_, valid = text_grams(hashes, first)
         at, number = self.seeds.find(grams_)
         inside = valid[at]
         at, number = at[inside], number[inside]
-        low, high = self.range[0][number], self.range[1][number]
-        times = high - low
-        at = np.repeat(at, times)
-        if not at.size:
+        low, times = self.range[number], self.range[number + 1] - self.range[number]
+        seed = np.repeat(at, times)
+        if not seed.size:
             return
-        entry = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(low, times)
-        item, row = self.item[entry], np.searchsorted(first, at, side="right") - 1
+        entry = np.arange(len(seed)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(low, times)
+        item, row = self.item[entry], np.searchsorted(first, seed, side="right") - 1
         length = (self.first[1:] - self.first[:-1])[item]
-        width = np.maximum(8, length // 2)
-        diagonal = (at - first[row] - self.offset[entry]) // width
-        key = np.unique(np.stack([row, item, diagonal]), axis=1)
-        row, item, diagonal = key
+        diagonal = (seed - first[row] - self.offset[entry]) // np.maximum(8, length // 2)
+        row, item, diagonal = np.unique(np.stack([row, item, diagonal]), axis=1)
         length = (self.first[1:] - self.first[:-1])[item]
-        width, pad = np.maximum(8, length // 2), 4 + length // 4
-        begin = np.maximum(first[row], first[row] + diagonal * width - pad)
-        stop = np.minimum(first[row + 1], first[row] + (diagonal + 1) * width + length + pad)
+        # a part of an alignment before or after its seed has no more errors than matches,
+        # so it is at most twice as long as its part of the item
+        width = np.maximum(8, length // 2)
+        begin = np.maximum(first[row], first[row] + diagonal * width - length)
+        stop = np.minimum(first[row + 1], first[row] + (diagonal + 1) * width + 2 * length)
+        enough = self._enough(at, number, item, begin, stop)
+        row, item, length, begin, stop = (x[enough] for x in (row, item, length, begin, stop))
         order = np.argsort(length, kind="stable")
-        for k in range(0, len(order), PAIRS):
-            part = order[k:k + PAIRS]
+        k = 0
+        while k < len(order):
+            longest = 4 * length[order[min(k + PAIRS, len(order)) - 1]] + 8
+            part = order[k:k + max(1, min(PAIRS, PASSAGE_WORDS // longest))]
+            k += len(part)
             items = np.zeros((len(part), int(length[part].max())), U)
             texts = np.ones((len(part), int((stop - begin)[part].max())), U)
             for j, p in enumerate(part):
                 items[j, :length[p]] = self.hashes[self.first[item[p]]:self.first[item[p] + 1]]
                 texts[j, :stop[p] - begin[p]] = hashes[begin[p]:stop[p]]
             score, end = smith_waterman(items, texts)
-            need = np.minimum(np.maximum(np.ceil(MIN_SHARE * length[part]), MIN_WORDS), LONG_RUN)
-            for j in np.flatnonzero(score >= need):
+            for j in np.flatnonzero(score >= self.need[item[part]]):
                 p = part[j]
                 # the same alignment read backwards from its end gives its start
                 _, back = smith_waterman(items[j:j + 1, length[p] - 1::-1] if length[p] else items[j:j + 1],

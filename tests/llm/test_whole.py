@@ -1,0 +1,56 @@
+"""Results of the training-data operators against plain versions of the whole job."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from landsales.llm import decontaminate
+from landsales.llm.kernels import ALNUM, utf8, words
+
+
+def _plain_score(item, text):
+    """Smith-Waterman, word by word."""
+    best, above = 0, [0] * (len(text) + 1)
+    for a in item:
+        row = [0]
+        for k, b in enumerate(text):
+            row.append(max(0, above[k] + (1 if a == b else -1), above[k + 1] - 1, row[k] - 1))
+        best, above = max(best, *row), row
+    return best
+
+
+def _need(item):
+    return min(max(-(-4 * len(item) // 10), 7), 16)
+
+
+def _edited(rng, item, share, vocabulary):
+    out = []
+    for w in item:
+        if rng.random() >= share:
+            out.append(w)
+        else:
+            out += rng.choice(([rng.choice(vocabulary)], [w, rng.choice(vocabulary)], []))
+    return out
+
+
+def test_edited_leaks_match_full_smith_waterman(spark):
+    rng = random.Random(4)
+    vocabulary = [f"v{k}" for k in range(60)]
+    common = [f"c{k}" for k in range(400)]
+    items = [[rng.choice(common if rng.random() < 0.8 else vocabulary) for _ in range(n)]
+             for n in [7, 9, 12, 15, 20, 25, 30, 37, 45, 59]]
+    texts = []
+    for item in items:
+        texts.append(item)                                             # an exact copy elsewhere
+        texts += [[w for k, w in enumerate(item) if k % every] for every in (3, 4, 7)]
+        texts.append([x for k, w in enumerate(item) for x in ([w, "new"] if k % 2 else [w])])
+        texts += [_edited(rng, item, share, vocabulary) for share in (0.1, 0.15, 0.2, 0.25, 0.4) for _ in range(3)]
+    texts = [[rng.choice(vocabulary) for _ in range(rng.randrange(60))] + t + [rng.choice(vocabulary) for _ in range(20)]
+             for t in texts]
+    want = {(d, i): s for d, t in enumerate(texts) for i, item in enumerate(items)
+            if (s := _plain_score(item, t)) >= _need(item)}
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(docs, frame).collect()}
+    assert got == want and len(want) > 100
