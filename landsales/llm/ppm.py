@@ -10,8 +10,10 @@ bytes its extensions know, so what is excluded from a shorter context is one sum
 per context, kept with it. Below order 0 the rest of the alphabet is equally
 likely. Each text ends with an end symbol; before it stand start symbols.
 
-All counting covers all training texts. The trie that tasks hold keeps at most
-``MAX_GRAMS`` entries an order, the most frequent ones of the corpus. Words use
+All counting covers all training texts, and every counted gram counts in the
+scores. Up to ``MAX_GRAMS`` distinct grams, tasks hold the whole trie. With more,
+they hold the probabilities of the most frequent grams, and all other grams,
+counted per row, are joined to the stored counts order by order. Words use
 a broadcast head of at most ``HEAD_WORDS`` words; the occurrences of all other
 words are joined to their counts by a shuffle, so no word is dropped.
 
@@ -23,11 +25,12 @@ training text every byte has probability 1/255 and known counts are 0.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landsales.llm.common import stored
@@ -248,26 +251,79 @@ def _bounded(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(keys.view(U)[order]), np.ascontiguousarray(n[order])
 
 
-def build_trie(counts: DataFrame, max_grams: int = MAX_GRAMS) -> Trie:
-    """The trie from stored counts. Shorter orders are sums of longer ones; their bound is
-    never above the longer order's, so every kept gram's shorter forms are kept."""
-    grams = counts.where(F.col("kind") == GRAM).select("key", "n")
-    orders, least = [], None
+def _bits(k: int) -> F.Column:
+    """The mask of a gram of order k: k context bytes and the byte."""
+    return F.lit((1 << 8 * (k + 1)) - 1)
+
+
+def gram_orders(counts: DataFrame) -> list[DataFrame]:
+    """key, n of all grams of orders 0..ORDER; shorter orders are sums of longer ones."""
+    orders = [counts.where(F.col("kind") == GRAM).select("key", "n")]
+    for k in range(ORDER - 1, -1, -1):
+        orders.insert(0, stored(orders[0].groupBy(F.col("key").bitwiseAND(_bits(k)).alias("key"))
+                                .agg(F.sum("n").alias("n")), "lm-order"))
+    return orders
+
+
+def build_trie(orders: list[DataFrame]) -> Trie:
+    return Trie([_bounded(grams, 0) for grams in orders])
+
+
+def head_logs(grams: DataFrame, max_grams: int) -> Lookup:
+    """log10 probabilities of at most ``max_grams`` grams of the longest order, the most frequent."""
+    context = Window.partitionBy(F.shiftrightunsigned("key", 8))
+    logs = F.log10(F.col("n") / (F.sum("n").over(context) + F.count(F.lit(1)).over(context)))
+    table = grams.withColumn("log", logs).where(F.col("n") >= _at_least(grams, max_grams)).select("key", "log").toArrow()
+    return Lookup(table.column("key").to_numpy().view(U), table.column("log").to_numpy())
+
+
+def joined_logs(wanted: DataFrame, orders: list[DataFrame]) -> DataFrame:
+    """key, log of the distinct grams ``wanted``: ``Trie.score`` as joins, one order after the other."""
+    live = wanted.select("key", F.lit(0.0).alias("log"), F.lit(0).cast("long").alias("gone_n"),
+                         F.lit(0).cast("long").alias("gone_d"))
+    done = []
     for k in range(ORDER, -1, -1):
-        own = _at_least(grams, max_grams)
-        least = own if least is None else min(least, own)
-        orders.insert(0, _bounded(grams, least))
+        grams = orders[k].select(F.col("key").alias("gram"), "n")
+        own = grams.withColumn("excluded", F.lit(0).cast("long"))
         if k:
-            grams = stored(grams.groupBy(F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("key"))
-                           .agg(F.sum("n").alias("n")), "lm-order")
-    return Trie(orders)
+            shorter = orders[k - 1].select(F.col("key").alias("short"), F.col("n").alias("excluded"))
+            own = grams.withColumn("short", F.col("gram").bitwiseAND(_bits(k - 1))).join(shorter, "short")
+        contexts = own.groupBy(F.shiftrightunsigned("gram", 8).alias("context")) \
+            .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"), F.sum("excluded").alias("excluded"))
+        if k < 2:                       # at most 255 grams, or 255 a context of one byte
+            grams, contexts = F.broadcast(grams), F.broadcast(contexts)
+        known, distinct = F.coalesce("distinct", F.lit(0)), F.coalesce("distinct", F.lit(0)) - F.col("gone_d")
+        room = F.greatest(F.coalesce("total", F.lit(0)) - F.col("gone_n") + distinct, F.lit(1))
+        step = F.when(F.col("n").isNotNull(), F.log10(F.col("n") / room)) \
+            .when(distinct > 0, F.log10(distinct / room)).otherwise(0.0)
+        live = live.withColumn("gram", F.col("key").bitwiseAND(_bits(k))) \
+            .withColumn("context", F.shiftrightunsigned("gram", 8)) \
+            .join(grams, "gram", "left").join(contexts, "context", "left") \
+            .select("key", (F.col("log") + step).alias("log"), F.coalesce("excluded", F.lit(0)).alias("gone_n"),
+                    known.alias("gone_d"), F.col("n").isNotNull().alias("seen"))
+        live = stored(live, "lm-escape")
+        done.append(live.where("seen").select("key", "log"))
+        live = live.where("NOT seen").drop("seen")
+    done.append(live.select("key", (F.col("log") - F.log10(F.lit(ALPHABET) - F.col("gone_d"))).alias("log")))
+    return reduce(DataFrame.unionByName, done)
+
+
+def _per_row(grams: np.ndarray, row: np.ndarray, size: int) -> list[pa.Array]:
+    """Lists of the distinct grams of each row, and of their numbers."""
+    order = np.lexsort((grams, row))
+    grams, row = grams[order], row[order]
+    new = np.flatnonzero(np.r_[True, (grams[1:] != grams[:-1]) | (row[1:] != row[:-1])]) if len(row) else np.zeros(0, np.int64)
+    ends = pa.array(np.searchsorted(row[new], np.arange(size + 1)).astype(np.int32))
+    return [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (grams[new].view(np.int64), np.diff(np.r_[new, len(row)]))]
 
 
 def score(docs: DataFrame, max_grams: int = MAX_GRAMS, head_words: int = HEAD_WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row."""
     spark = docs.sparkSession
     counts = train(docs)
-    trie = spark.sparkContext.broadcast(build_trie(counts, max_grams))
+    orders = gram_orders(counts)
+    whole = orders[ORDER].count() <= max_grams
+    model = spark.sparkContext.broadcast(build_trie(orders) if whole else head_logs(orders[ORDER], max_grams))
     vocabulary = counts.where(F.col("kind") == WORD).select("key", "n")
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = docs.where(~held_out(F.col("doc_id"))).count()
@@ -277,7 +333,7 @@ def score(docs: DataFrame, max_grams: int = MAX_GRAMS, head_words: int = HEAD_WO
     head = spark.sparkContext.broadcast(Lookup(*_bounded(vocabulary, least)))
     end_log = float(np.log10((ends + 0.1) / room))
 
-    names = ["row_id", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "tail"]
+    names = ["row_id", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "tail", "grams", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row_id = TaskContext.get().partitionId() << 33
@@ -286,7 +342,13 @@ def score(docs: DataFrame, max_grams: int = MAX_GRAMS, head_words: int = HEAD_WO
             for a, b in slices(offsets, SLICE):
                 part, own = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
                 grams, first = byte_grams(part, own)
-                scores = np.add.reduceat(trie.value.score(grams), first)
+                if whole:
+                    logs, missed = model.value.score(grams), np.zeros(0, np.int64)
+                else:
+                    logs, known = model.value.find(grams)
+                    missed = np.flatnonzero(~known)
+                scores = np.add.reduceat(logs, first)
+                rest_grams = _per_row(grams[missed], np.searchsorted(first, missed, side="right") - 1, b - a)
                 hashes, at = words(part, own, NON_SPACE)
                 n, known = head.value.find(hashes)
                 logs = np.r_[0.0, np.cumsum(np.where(known, np.log10((n + 0.1) / room), 0.0))]
@@ -298,20 +360,33 @@ def score(docs: DataFrame, max_grams: int = MAX_GRAMS, head_words: int = HEAD_WO
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row_id + np.arange(size)), batch.column(0)[a:b], batch.column(1)[a:b],
                      pa.array(np.diff(at) + 1), pa.array(found[at[1:]] - found[at[:-1]] + int(ends > 0)),
-                     pa.array(logs[at[1:]] - logs[at[:-1]] + end_log), pa.array(scores), tail], names=names)
+                     pa.array(logs[at[1:]] - logs[at[:-1]] + end_log), pa.array(scores), tail,
+                     *rest_grams], names=names)
                 row_id += size
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
                        F.col("text").cast("string").alias("text"))
     scored = stored(rows.mapInArrow(run, "row_id long, doc_id long, held_out boolean, n_tokens long, n_known long, "
-                                         "base_score double, score double, tail array<long>"), "lm-scored")
+                                         "base_score double, score double, tail array<long>, "
+                                         "grams array<long>, times array<long>"), "lm-scored")
     # words outside the head: joined to their counts, whatever their number
     rare = scored.select("row_id", F.explode("tail").alias("key"))
     rare = rare.join(vocabulary.where(F.col("n") < least), "key", "left") \
         .groupBy("row_id").agg(F.count("n").alias("more_known"),
                                F.sum(F.log10((F.coalesce("n", F.lit(0)) + 0.1) / F.lit(room))).alias("more_base"))
-    return scored.drop("tail").join(rare, "row_id", "left") \
+    scored_rows = scored.drop("tail", "grams", "times").join(rare, "row_id", "left")
+    if whole:
+        scored_rows = scored_rows.withColumn("more", F.lit(0.0))
+    else:
+        # grams outside the head: joined to the counts of all orders
+        missed = scored.select("row_id", F.explode(F.arrays_zip("grams", "times")).alias("g")) \
+            .select("row_id", F.col("g.grams").alias("key"), F.col("g.times").alias("times"))
+        logs = joined_logs(missed.select("key").distinct(), orders)
+        scored_rows = scored_rows.join(missed.join(logs, "key").groupBy("row_id")
+                                       .agg(F.sum(F.col("times") * F.col("log")).alias("more")), "row_id", "left")
+    return scored_rows \
         .select("doc_id", "held_out", "n_tokens",
                 (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
                 F.lit(int(tokens)).cast("long").alias("train_tokens"),
-                (F.col("base_score") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), "score")
+                (F.col("base_score") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
+                (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))

@@ -1,12 +1,13 @@
 """Results of the training-data operators against plain versions of the whole job."""
 
+import math
 import random
+import zlib
+from collections import Counter, defaultdict
 
-import numpy as np
-import pyarrow as pa
+import pytest
 
-from landsales.llm import decontaminate
-from landsales.llm.kernels import ALNUM, utf8, words
+from landsales.llm import decontaminate, ppm
 
 
 def _plain_score(item, text):
@@ -54,3 +55,48 @@ def test_edited_leaks_match_full_smith_waterman(spark):
     frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(docs, frame).collect()}
     assert got == want and len(want) > 100
+
+
+def _plain_ppm(texts, order=5):
+    """log10 probability function of a byte PPM kept in dictionaries."""
+    tables = [defaultdict(Counter) for _ in range(order + 1)]
+    coded = lambda t: b"\xfe" * order + t.encode().lower() + b"\xff"
+    for t in texts:
+        data = coded(t)
+        for k in range(order, len(data)):
+            for n in range(order + 1):
+                tables[n][data[k - n:k]][data[k]] += 1
+
+    def score(t):
+        data, total = coded(t), 0.0
+        for k in range(order, len(data)):
+            gone = set()
+            for n in range(order, -1, -1):
+                left = {b: c for b, c in tables[n].get(data[k - n:k], {}).items() if b not in gone}
+                room = sum(left.values()) + len(left)
+                if data[k] in left:
+                    total += math.log10(left[data[k]] / room)
+                    break
+                if left:
+                    total += math.log10(len(left) / room)
+                gone |= left.keys()
+            else:
+                total -= math.log10(255 - len(gone))
+        return total
+
+    return score
+
+
+@pytest.mark.parametrize("max_grams", [10 ** 6, 300, 1])
+def test_ppm_scores_do_not_depend_on_the_head(spark, max_grams):
+    rng = random.Random(9)
+    syllables = "ka lo mi tu re ña ön ba si zu".split()
+    texts = [" ".join("".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(30)))
+             for _ in range(60)] + ["", "Q#~ quite other letters 0123", "aaaaaaaaaaaaaaaa"]
+    rows = list(enumerate(texts)) + [(None, "Q#~ held out: xyz"), (3, texts[3])]
+    score = _plain_ppm([t for d, t in rows if d is not None and zlib.crc32(str(d).encode()) % 10])
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in ppm.score(frame, max_grams=max_grams).collect())
+    want = sorted((-1 if d is None else d, score(t)) for d, t in rows)
+    assert [d for d, _ in got] == [d for d, _ in want]
+    assert all(math.isclose(a, b, rel_tol=1e-9) for (_, a), (_, b) in zip(got, want))
