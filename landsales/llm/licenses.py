@@ -2,9 +2,13 @@
 (DataFrame functions only).
 
 A file's licence block is its whole text if its name is that of a licence file,
-else its lines that speak of a licence. Blocks and templates become sparse TF-IDF
-vectors (document frequencies counted over all blocks); a block's licence is the
-template of the largest cosine, if that is at least ``COSINE``. A file without a
+else its lines that speak of a licence. Its parts are the block, each paragraph
+and each run of lines around a line that speaks of a licence, so further lines
+dilute no header. Parts and templates (whole licence texts, headers and opening
+words) become sparse TF-IDF vectors (document frequencies counted over all
+blocks); a file's licence is the template of the largest cosine to one of its
+parts, if that is at least ``COSINE``. "All rights reserved" stands beside many
+licences and counts only where no other licence is found. A file without a
 licence of its own inherits that of the licence file in the nearest directory
 above it, found by joining the prefixes of all distinct directories to the
 directories that hold a licence file.
@@ -17,6 +21,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +34,12 @@ FILE_NAME = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)([.-][^/]*)?$"
 CUE = r"(?i)licen[cs]|copyright|spdx|all rights reserved|public domain|redistribution and use|permission is hereby granted"
 TERM = r"[\p{L}\p{N}]+(?:[.+-][\p{L}\p{N}]+)*"
 
-# Header lines and opening words of licence files (fixed values): (licence, text).
+PARAGRAPH = r"\n[^\p{L}\p{N}\n]*\n"
+#: lines before and after a line that speaks of a licence
+RUNS = ((0, 0), (0, 1), (1, 1), (0, 3), (3, 3), (0, 8))
+RESERVED = "proprietary"
+
+# Header lines and opening words of licence files, and whole licence texts (fixed values): (licence, text).
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
@@ -43,6 +54,15 @@ TEMPLATES = (
                 "General Public License as published by the Free Software Foundation, either version 3 of the License"),
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+                 "the License"),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation, either version 3 of "
+                 "the License"),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
                      "provided that the following conditions are met"),
@@ -52,8 +72,13 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    *((f"CC-{code}-4.0", f"Creative Commons {name} 4.0 International Public License") for code, name in (
+        ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+        ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
-    ("proprietary", "All rights reserved."),
+    (RESERVED, "All rights reserved."),
+    *((file.stem, file.read_text("utf-8")) for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))),
 )
 
 
@@ -62,23 +87,36 @@ def _terms(text: Column) -> Column:
 
 
 def blocks(files: DataFrame) -> DataFrame:
-    """file_key, block of the files that have one."""
+    """part_id, file_key, is_block, part: the licence block of the files that have one, and its parts."""
     text = F.col("text").cast("string")
-    lines = F.array_join(F.filter(F.split(text, "\n"), lambda line: line.rlike(CUE)), "\n")
     named = F.coalesce(F.col("path").rlike(FILE_NAME), F.lit(False))
-    return files.where(named | text.rlike(CUE)).select("file_key", F.when(named, text).otherwise(lines).alias("block"))
+    lines = stored(files.where(named | text.rlike(CUE)).select("file_key", named.alias("named"), text.alias("text"),
+                                                               F.split(text, "\n").alias("lines")), "license-lines")
+    at = F.transform("lines", lambda line, k: F.when(line.rlike(CUE), k))
+    lines = stored(lines.withColumn("cues", F.filter(at, lambda k: k.isNotNull())), "license-cues")
+    block = F.when(F.col("named"), F.col("text")) \
+        .otherwise(F.array_join(F.transform("cues", lambda k: F.element_at("lines", k + 1)), "\n"))
+    paragraphs = F.filter(F.split("text", PARAGRAPH), lambda part: part.rlike(CUE))
+    runs = F.flatten(F.transform("cues", lambda k: F.array(*[
+        F.array_join(F.slice("lines", F.greatest(k - before, F.lit(0)) + 1, F.least(k, F.lit(before)) + after + 1), "\n")
+        for before, after in RUNS])))
+    parts = F.array_distinct(F.concat(F.array(block), paragraphs, runs))
+    return stored(lines.select("file_key", F.posexplode(parts).alias("k", "part"))
+                  .select(F.monotonically_increasing_id().alias("part_id"), "file_key", (F.col("k") == 0).alias("is_block"),
+                          "part"), "license-parts")
 
 
 def match(blocks_: DataFrame, templates=TEMPLATES, cosine: float = COSINE) -> DataFrame:
-    """file_key, license, score of the blocks that are like a template."""
+    """file_key, license, score of the files with a part that is like a template."""
     spark = blocks_.sparkSession
-    tf = stored(blocks_.select("file_key", _terms(F.col("block")).alias("term"))
-                .groupBy("file_key", "term").agg(F.count(F.lit(1)).alias("tf")), "license-terms")
-    n_blocks = tf.select("file_key").distinct().count()
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    tf = stored(blocks_.select("part_id", "file_key", "is_block", _terms(F.col("part")).alias("term"))
+                .groupBy("part_id", "file_key", "is_block", "term").agg(F.count(F.lit(1)).alias("tf")), "license-terms")
+    n_blocks = tf.where("is_block").select("part_id").distinct().count()
+    df = stored(tf.where("is_block").groupBy("term").agg(F.count(F.lit(1)).alias("df")), "license-df")
     idf = F.log((n_blocks + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1
-    weighted = stored(tf.join(df, "term").select("file_key", "term", (F.col("tf") * idf).alias("w")), "license-weights")
-    norms = weighted.groupBy("file_key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    weighted = stored(tf.join(df, "term", "left").select("part_id", "file_key", "term", (F.col("tf") * idf).alias("w")),
+                      "license-weights")
+    norms = weighted.groupBy("part_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
 
     known = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)],
                                   "template int, license string, body string")
@@ -88,14 +126,14 @@ def match(blocks_: DataFrame, templates=TEMPLATES, cosine: float = COSINE) -> Da
     known = stored(known, "license-templates")
     lengths = known.groupBy(F.col("template").alias("t")).agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("t_norm"))
     known = known.join(F.broadcast(lengths), F.col("template") == F.col("t")).drop("t")
-    # the template terms are a fixed list of a few hundred rows
-    dots = weighted.join(F.broadcast(known), "term").groupBy("file_key", "template", "license", "t_norm") \
-        .agg(F.sum(F.col("w") * F.col("tw")).alias("dot")).join(norms, "file_key")
+    # the template terms are a fixed list of a few thousand rows
+    dots = weighted.join(F.broadcast(known), "term").groupBy("part_id", "file_key", "template", "license", "t_norm") \
+        .agg(F.sum(F.col("w") * F.col("tw")).alias("dot")).join(norms, "part_id")
     # rounded, so that the order of summation decides nothing
     score = F.round(F.col("dot") / (F.col("norm") * F.col("t_norm")), 9)
-    best = dots.groupBy("file_key").agg(F.min(F.struct((-score).alias("s"), "license")).alias("b"))
-    return best.select("file_key", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score")) \
-        .where(F.col("score") >= cosine)
+    choice = F.struct((F.col("license") == RESERVED).alias("reserved"), (-score).alias("s"), "license")
+    best = dots.where(score >= cosine).groupBy("file_key").agg(F.min(choice).alias("b"))
+    return best.select("file_key", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
 
 
 def parent(path: Column) -> Column:

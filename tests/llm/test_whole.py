@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from landsales.llm import decontaminate, ppm
+from landsales.llm import decontaminate, licenses, ppm
 
 
 def _plain_score(item, text):
@@ -100,3 +100,35 @@ def test_ppm_scores_do_not_depend_on_the_head(spark, max_grams):
     want = sorted((-1 if d is None else d, score(t)) for d, t in rows)
     assert [d for d, _ in got] == [d for d, _ in want]
     assert all(math.isclose(a, b, rel_tol=1e-9) for (_, a), (_, b) in zip(got, want))
+
+
+def test_whole_license_texts_and_headers_among_other_lines(spark):
+    whole = [(name, text) for name, text in licenses.TEMPLATES if len(text) > 1000]
+    assert {name for name, _ in whole} == {"Apache-2.0", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0",
+                                           "MIT", "MPL-2.0"}
+    want, rows = {}, []
+    for k, (name, text) in enumerate(whole):
+        # a holder, another line breaking, a few lines left out
+        lines = text.split("\n")
+        del lines[len(lines) // 2:len(lines) // 2 + 2]
+        rows.append((k, f"/{name}/LICENSE", f"Copyright (c) 2019 Some Holder. All rights reserved.\n{' '.join(lines)}"))
+        rows.append((100 + k, f"/{name}/src/x.py", "print(1)"))
+        want[k] = want[100 + k] = name
+    code = "\n".join(f"x{k} = f(y{k}, {k})" for k in range(300))
+    more = ["# see the license terms of library foo and the copyright of bar", "# copyright 2001 to 2024 by many people",
+            "# licence keys are read from the settings", "# All rights reserved."]
+    headers = [
+        ("Apache-2.0", ['# Licensed under the Apache License, Version 2.0 (the "License");', "# you may not use this file except in compliance",
+                        "# with the License."]),
+        ("GPL-2.0", ["// This program is free software; you can redistribute it and/or modify it", "// under the terms of the GNU General "
+                     "Public License as published by the Free", "// Software Foundation; either version 2 of the License, or later."]),
+        ("MIT", ["# Released under the MIT License."]), ("GPL-3.0", ["# SPDX-License-Identifier: GPL-3.0-only"]),
+        ("CC-BY-SA-4.0", ["By using this you accept the", "Creative Commons Attribution-ShareAlike 4.0 International Public", "License."])]
+    for k, (name, header) in enumerate(headers, 200):
+        rows.append((k, f"/src/{k}.py", "\n".join([*more, code, *header, code, *more])))
+        want[k] = name
+    rows.append((300, "/src/none.py", "\n".join([code, *more[:3], code])))
+    rows.append((301, "/src/own.py", "\n".join([code, more[3], code])))
+    want |= {300: None, 301: "proprietary"}
+    frame = spark.createDataFrame(rows, "file_key long, path string, text string")
+    assert {r.file_key: r.license for r in licenses.scan(frame).collect()} == want
