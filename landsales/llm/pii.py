@@ -11,7 +11,9 @@ and given names keep the title's gender.
 
 Distinctness: all distinct entities of the corpus are grouped by surrogate. Where
 two share one, or a surrogate equals a real entity, all but one draw again with
-the next attempt number, until none is left. Only entities that drew more than
+the next attempt number, until none is left. From attempt ``GROW`` on surrogates
+grow by a character an attempt (IPv4 octets first leave their number of digits),
+so that they never run out. Only entities that drew more than
 once reach the rewriting pass, as corrections joined to their documents.
 
 Defined results: a null text stays null and has no entity; an empty text stays
@@ -25,8 +27,10 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,6 +40,7 @@ from pyspark.sql import types as T
 from landsales.llm.common import extended, stored
 
 KEY = b"surrogate-key"        # a parameter: pass the corpus's own secret key
+GROW = 8                      # attempts at the entity's own length
 
 # Titles and the gender they tell (fixed values).
 TITLES = {"mr": "m", "mister": "m", "sir": "m", "herr": "m", "monsieur": "m", "sr": "m", "señor": "m", "don": "m",
@@ -161,7 +166,7 @@ _LATIN, _CYRILLIC, _GREEK = "abcdefghijklmnopqrstuvwxyz", "абвгдежзий
 
 
 def _alphabet(char: str) -> str:
-    code = ord(char.lower())
+    code = ord(char.lower()[0])
     if 0x400 <= code < 0x530:
         return _CYRILLIC
     if 0x370 <= code < 0x400:
@@ -169,6 +174,20 @@ def _alphabet(char: str) -> str:
     return _LATIN
 
 
+_SIGNS = "!#$%&*+-./:=?@^_~"
+
+
+@cache
+def _script(word: str, page: int, upper: bool, lower: bool) -> str:
+    """Letters of a script (the first word of their names) and case on one page of 256 characters."""
+    return "".join(c for c in map(chr, range(page << 8, (page + 1) << 8))
+                   if c.isalpha() and (c.isupper(), c.islower()) == (upper, lower) and _script_word(c) == word)
+
+
+def _script_word(char: str) -> str:
+    return re.split("[ -]", unicodedata.name(char, ""))[0]
+
+
 def _like(char: str, draw: Stream) -> str:
     """A character of the same class, case and script."""
     if char.isdigit():
@@ -176,7 +195,11 @@ def _like(char: str, draw: Stream) -> str:
     if not char.isalpha():
         return char
     if not char.isascii() and _alphabet(char) is _LATIN and not "À" <= char <= "ɏ":
-        return chr(0x4E00 + draw.below(0x5000)) if "一" <= char <= "鿿" else char
+        if "一" <= char <= "鿿":
+            return chr(0x4E00 + draw.below(0x5000))
+        letters = _script(_script_word(char), ord(char) >> 8, char.isupper(), char.islower())
+        if len(letters) > 1:
+            return letters[draw.below(len(letters))]
     letters = _alphabet(char)
     made = letters[draw.below(len(letters))]
     return made.upper() if char.isupper() else made
@@ -197,13 +220,13 @@ def iban_check(country: str, rest: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
-def _name(form: str, kind: str, draw: Stream) -> str:
+def _name(form: str, kind: str, draw: Stream, grown: int = 0) -> str:
     """A pronounceable name in lower case, of the form's script and about its length;
     given names end by gender."""
     letters = _alphabet(form[0])
     vowels, consonants = {_LATIN: ("aeiou", "bcdfghklmnprstvz"), _CYRILLIC: ("аеиоу", "бвгдзклмнпрстфх"),
                           _GREEK: ("αειου", "βγδζθκλμνπρστφχ")}[letters]
-    size = max(5, len(form))
+    size = max(5, len(form)) + grown
     made = "".join((consonants if k % 2 == 0 else vowels)[draw.below(len(consonants if k % 2 == 0 else vowels))]
                    for k in range(size))
     feminine, masculine = {_LATIN: ("a", "o"), _CYRILLIC: ("а", "й"), _GREEK: ("α", "ος")}[letters]
@@ -216,44 +239,53 @@ def _name(form: str, kind: str, draw: Stream) -> str:
 
 def surrogate_form(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
     """The surrogate of a normal form."""
-    draw = Stream(key, kind, form, attempt)
+    draw, grown = Stream(key, kind, form, attempt), max(0, attempt - GROW + 1)
     if kind == "email":
         local, _, domain = form.rpartition("@")
         name, _, top = domain.rpartition(".")
-        return "".join(_like(c, draw) for c in local) + "@" + "".join(_like(c, draw) for c in name) + "." + top
+        made = "".join(_like(c, draw) for c in local) + "@" + "".join(_like(c, draw) for c in name) + "." + top
+        return "".join(_like("x", draw) for _ in range(grown)) + made
     if kind == "ip":
-        # every octet keeps its number of digits
+        # every octet keeps its number of digits; later any octet, at last numbers that no address has
+        if grown > GROW:
+            return ".".join(str(256 + draw.below(744)) + "".join(str(draw.below(10)) for _ in range(grown - GROW - 1))
+                            for _ in range(4))
+        if grown:
+            return ".".join(str(draw.below(256)) for _ in range(4))
         return ".".join(str((draw.below(10), 10 + draw.below(90), 100 + draw.below(156))[len(str(int(o))) - 1])
                         for o in form.split("."))
     if kind == "card":
-        body = "".join(str(1 + draw.below(9)) if k == 0 else str(draw.below(10)) for k in range(len(form) - 1))
+        body = "".join(str(1 + draw.below(9)) if k == 0 else str(draw.below(10)) for k in range(len(form) - 1 + grown))
         check, valid = luhn_digit(body), luhn_digit(form[:-1]) == int(form[-1])
         return body + str(check if valid else (check + 1 + draw.below(9)) % 10)
     if kind == "iban":
-        rest = "".join(_like(c, draw) for c in form[4:])
+        rest = "".join(_like(c, draw) for c in form[4:] + "0" * grown)
         return form[:2] + iban_check(form[:2], rest) + rest
     if kind == "phone" and len(form) > 10:
         code = len(form) - 10                         # country code stays
-        return form[:code] + "".join(str(draw.below(10)) for _ in form[code:])
+        return form[:code] + "".join(str(draw.below(10)) for _ in form[code:] + "0" * grown)
     if kind == "secret" and re.fullmatch(r"[0-9a-fA-F]+", form):
         digits = "0123456789abcdef"
-        made = "".join(digits[draw.below(16)] for _ in form)
+        made = "".join(digits[draw.below(16)] for _ in form + "0" * grown)
         return made.upper() if form.upper() == form else made
+    if kind == "secret" and not any(c.isalpha() or c.isdigit() for c in form):
+        return "".join(_SIGNS[draw.below(len(_SIGNS))] for _ in form + "*" * grown)
     if kind == "surname" or kind.startswith("given"):
         parts = re.split(r"([-'’])", form)
-        return "".join(p if p in "-'’" else _name(p, kind, draw) for p in parts if p)
-    return "".join(_like(c, draw) for c in form)
+        return "".join(p if p in "-'’" else _name(p, kind, draw, grown) for p in parts if p)
+    return "".join(_like(c, draw) for c in form + ("0" if kind in ("phone", "ssn") else "x") * grown)
 
 
 def render(entity_text: str, kind: str, surrogate: str) -> str:
     """The surrogate in the mention's own spelling: separators and case."""
     if kind in ("phone", "card", "ssn", "iban"):
         made = iter(surrogate)
-        return "".join(next(made) if c.isalnum() else c for c in entity_text)
+        return "".join(next(made) if c.isalnum() else c for c in entity_text) + "".join(made)
     if kind == "surname" or kind.startswith("given"):
         return surrogate.upper() if entity_text.isupper() else re.sub(r"[^\W\d_]+", lambda m: m.group().capitalize(), surrogate)
     if kind == "email" and entity_text != entity_text.lower():
-        return "".join(s.upper() if c.isupper() else s for c, s in zip(entity_text, surrogate))
+        cased = "".join(s.upper() if c.isupper() else s for c, s in zip(entity_text, surrogate))
+        return cased + surrogate[len(entity_text):]
     return surrogate
 
 

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from landsales.llm import decontaminate, licenses, ppm
+from landsales.llm import decontaminate, licenses, pii, ppm
 
 
 def _plain_score(item, text):
@@ -132,3 +132,40 @@ def test_whole_license_texts_and_headers_among_other_lines(spark):
     want |= {300: None, 301: "proprietary"}
     frame = spark.createDataFrame(rows, "file_key long, path string, text string")
     assert {r.file_key: r.license for r in licenses.scan(frame).collect()} == want
+
+
+@pytest.mark.parametrize("secret", ["********", "••••••••", "!$%&/()=?", "비밀번호비밀번호", "ひみつひみつひみつ", "ーーーーーーーー",
+                                    "كلمةالسرهنا", "รหัสผ่านลับ", "İstanbulİİ", "ⅧⅧⅧⅧⅧⅧⅧⅧ"])
+def test_secrets_of_any_script_are_replaced(secret):
+    found = pii.find_entities(f"password: {secret} end")
+    assert [(e.kind, e.text) for e in found] == [("secret", secret)]
+    made = [pii.surrogate_form(b"k", "secret", secret, k) for k in range(4)]
+    assert len(set(made)) == 4 and secret not in made and {len(m) for m in made} == {len(secret)}
+
+
+def test_mail_parts_of_any_script_are_replaced():
+    made = pii.surrogate_form(b"k", "email", "홍길동@한국.example.kr")
+    assert not set("홍길동한국") & set(made) and "example" not in made
+
+
+def test_surrogates_end_when_their_length_runs_out(spark):
+    """All addresses of four one-digit octets, all secrets of one letter among signs, a mask."""
+    every = [("ip", f"{a}.{b}.{c}.{d}") for a in range(10) for b in range(10) for c in range(10) for d in range(10)]
+    every += [("secret", f"*{c}*******") for c in "abcdefghijklmnopqrstuvwxyz"] + [("secret", "********")]
+    frame = spark.createDataFrame(every, "kind string, form string")
+    made = pii.surrogates(frame, b"k").collect()
+    assert len(made) == len(every) == len({(r.kind, r.surrogate) for r in made})
+    assert not {(r.kind, r.surrogate) for r in made} & set(every)
+
+
+def test_every_kind_grows_without_end():
+    for kind, form in [("ip", "1.2.3.4"), ("email", "x+@a.b.org"), ("card", "4111111111111111"), ("iban", "DE89370400440532013000"),
+                       ("phone", "123456"), ("phone", "491234567890"), ("ssn", "123456789"), ("secret", "deadbeef"),
+                       ("secret", "********"), ("secret", "x*******"), ("surname", "lee"), ("given_f", "ann"), ("given_m", "al")]:
+        sizes = [len(pii.surrogate_form(b"k", kind, form, k)) for k in (0, 100, 200)]
+        assert sizes[0] < sizes[1] < sizes[2], kind
+        text = "X" + form[1:] if kind == "email" else form
+        grown = pii.surrogate_form(b"k", kind, form, 100)
+        assert len(pii.render(text, kind, grown)) == len(grown)
+    card = pii.surrogate_form(b"k", "card", "4111111111111111", 30)
+    assert pii.luhn_digit(card[:-1]) == int(card[-1])
