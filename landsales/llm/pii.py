@@ -67,9 +67,10 @@ _title = "|".join(sorted(map(re.escape, TITLES), key=len, reverse=True))
 NAMES = re.compile(rf"\b((?i:{_title}|M(?=\.)))\.? ((?:[A-ZÀ-ÖØ-ÞА-ЯЁ][^\W\d_A-ZА-Я]+(?:[-'’][^\W\d_]+)?)"
                    r"(?: [A-ZÀ-ÖØ-ÞА-ЯЁ][^\W\d_A-ZА-Я]+(?:[-'’][^\W\d_]+)?){0,2})")
 _KEYWORDS = ("token", "secret", "passw", "api", "access")
-#: a text without any of these has no name to replace; substring tests are far faster than the pattern
-_TITLE_HINTS = ("Mr", "Ms", "Miss ", "Mister ", "Mad", "Mme", "Mlle", "Monsieur ", "M. ", "Sir ", "Sr", "Señor",
-                "Don ", "Doña ", "Herr ", "Frau ", "Dr", "Prof", "Г-н", "Г-ж")
+#: a case-folded text without any of these has no name to replace; substring tests are far faster than the pattern
+_TITLE_HINTS = tuple(title + end for title in (*TITLES, "m") for end in ((" ", ". ") if title != "m" else (". ",)))
+_KEY_HINTS = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_")
+_DIGIT = re.compile(r"\d")
 
 
 @dataclass(frozen=True)
@@ -101,18 +102,19 @@ def find_entities(text: str | None) -> list[Entity]:
             found.append(Entity(kind, start, end, text[start:end]))
 
     at_sign = "@" in text
-    numeric = at_sign or any(digit in text for digit in "0123456789")
-    lowered = text.lower() if "=" in text or ":" in text else ""
-    secrets = any(word in lowered for word in _KEYWORDS)
-    if numeric or secrets:
+    numeric = _DIGIT.search(text) is not None
+    folded = text.casefold().replace("i\u0307", "i")     # as the patterns ignore case
+    secrets = ("=" in text or ":" in text) and any(word in folded for word in _KEYWORDS)
+    keys = numeric or any(hint in text for hint in _KEY_HINTS)
+    if at_sign or keys or secrets:
         for kind, pattern in PATTERNS:
-            keyed = pattern.groups > 0
-            if (kind == "email" and not at_sign) or (not secrets if keyed else not numeric):
+            wanted = at_sign if kind == "email" else numeric if kind != "secret" else secrets if pattern.groups else keys
+            if not wanted:
                 continue
+            group = pattern.groups
             for m in (_emails(text) if kind == "email" else pattern.finditer(text)):
-                group = 1 if keyed else 0
                 add(kind, m.start(group), m.end(group))
-    if any(hint in text for hint in _TITLE_HINTS):
+    if any(hint in folded for hint in _TITLE_HINTS):
         for m in NAMES.finditer(text):
             title = m.group(1)
             if not title[0].isupper():
