@@ -1,7 +1,9 @@
 """Operator 4: benchmark passages in training texts, seeded by rare n-grams and
 scored by Smith-Waterman alignment.
 
-Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lowered.
+Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lowered;
+each character of a script without spaces is a word of its own. Items of fewer
+words than ``MIN_WORDS`` are matched by exact copies.
 An alignment (word matches +1, changed, added and dropped words -1) of score s
 has at most one more run of matches than errors, so at least s - 1 pairs of
 adjacent words match. Of an item's pairs that some document holds, all but the
@@ -36,7 +38,13 @@ from landsales.llm.kernels import ALNUM, grams, slices, utf8, words
 
 GRAM = 2                    # words of a seed
 SHORTEST = 3                # words an item must have
-MIN_SHARE, MIN_WORDS = 0.4, 7   # score >= share of the item's words, and at least so many
+MIN_SHARE, MIN_WORDS = 0.4, 7   # score >= share of the item's words, and at least so many or all
+UNSPACED = r"\x{E00}-\x{EFF}\x{1000}-\x{10BF}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
+_PREFIXES = np.zeros(1 << 16, bool)     # the first two UTF-8 bytes of those characters
+for _low, _high in ((0xE0B8, 0xE0BB), (0xE180, 0xE182), (0xE19E, 0xE19F), (0xE381, 0xE383), (0xE390, 0xE3BF),
+                    (0xE480, 0xE4BF), (0xE580, 0xE5BF), (0xE680, 0xE6BF), (0xE780, 0xE7BF), (0xE880, 0xE8BF),
+                    (0xE980, 0xE9BF), (0xEFA4, 0xEFAB), (0xF0A0, 0xF0BF)):
+    _PREFIXES[_low:_high + 1] = True
 LONG_RUN = 16               # a score that is a leak whatever the item's length
 BLOCK_WORDS = 1 << 20       # item words broadcast at once
 PAIRS = 512                 # passages aligned together,
@@ -45,6 +53,19 @@ FILTER_BITS = 22
 U = np.uint64
 
 
+def text_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, first word of each row and the total) over all rows."""
+    lead = np.flatnonzero(data >= 0xE0)
+    if lead.size:
+        lead = lead[_PREFIXES[data[lead].astype(np.int64) << 8 | data[lead + 1]]]
+    if lead.size:                       # a space before and after each character of its own
+        cuts = np.sort(np.r_[lead, lead + np.where(data[lead] >= 0xF0, 4, 3)])
+        data = np.insert(data, cuts, 0x20)
+        offsets = offsets + np.searchsorted(cuts, offsets)
+        offsets[-1] = len(data)
+    return words(data, offsets, ALNUM)
+
+
 class Seeds:
     """Sorted n-gram hashes with a bit filter in front."""
 
@@ -108,7 +129,7 @@ class Block:
         self.seeds = Seeds(np.unique(self.gram))
         self.number = np.searchsorted(self.seeds.hashes, self.gram)
         size = first[1:] - first[:-1]
-        self.need = np.minimum(np.maximum(np.ceil(MIN_SHARE * size), MIN_WORDS), LONG_RUN).astype(np.int64)
+        self.need = np.minimum(np.maximum(np.ceil(MIN_SHARE * size), MIN_WORDS), np.minimum(size, LONG_RUN)).astype(np.int64)
 
     def rare(self, counts: np.ndarray) -> Block:
         """Make seeds of every item's n-grams but the ``need - 2`` in most documents; n-grams
@@ -197,7 +218,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS)
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
-        .where("text IS NOT NULL").withColumn("n_words", F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+")))
+        .where("text IS NOT NULL").withColumn("n_words", F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"))
+                    + F.length("text") - F.length(F.regexp_replace("text", f"[{UNSPACED}]", "")))
     items = stored(items, "leak-items")
     blocks = _item_blocks(items, block_words)
     return reduce(DataFrame.unionByName, [
@@ -209,7 +231,7 @@ def _block_leaks(spark, texts: DataFrame, items: DataFrame) -> DataFrame:
     rows = items.select("item_id", "text").orderBy("item_id", "text").toArrow()   # a block is bounded
     column = rows.column("text").combine_chunks() if rows.num_rows else pa.array([], pa.string())
     column = column.cast(pa.large_string()) if not isinstance(column, pa.ChunkedArray) else column
-    hashes, first = words(*utf8(column), ALNUM)
+    hashes, first = text_words(*utf8(column))
     block = Block(rows.column("item_id").to_pylist(), hashes, first)
     seeds = spark.sparkContext.broadcast(block.seeds)
 
@@ -218,7 +240,7 @@ def _block_leaks(spark, texts: DataFrame, items: DataFrame) -> DataFrame:
         for batch in batches:
             data, offsets = utf8(batch.column(0))
             for a, b in slices(offsets):
-                h, f = words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], ALNUM)
+                h, f = text_words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 g, valid = text_grams(h, f)
                 at, number = seeds.value.find(g)
                 at, number = at[valid[at]], number[valid[at]]
@@ -242,7 +264,7 @@ def _block_leaks(spark, texts: DataFrame, items: DataFrame) -> DataFrame:
             data, offsets = utf8(batch.column(1))
             found = []
             for a, b in slices(offsets):
-                h, f = words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], ALNUM)
+                h, f = text_words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 for row, item, score, begin, end in block.hits(h, f):
                     found.append((batch.column(0)[a + row].as_py(), block.ids[item], score, int(size[item]), begin, end))
             if found:

@@ -180,3 +180,17 @@ def test_hints_are_as_wide_as_the_patterns(text, kinds):
     assert [e.kind for e in pii.find_entities(text)] == kinds
     every = [e.kind for e in pii.find_entities(f"{text} | Mr. 1 @ token=")]      # a text with all hints
     assert every == kinds
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    han, thai = "机器学习模型在训练数据中记住了测试题目的答案", "แบบจำลองจำคำตอบของข้อสอบ"
+    items = [(0, "three short words"), (1, "only two"), (2, "item of six words in all"), (3, han), (4, thai), (5, "𠀀𠀁𠀂")]
+    texts = [("a text with three short words in it", {(0, 3)}), ("a text with three, Short WORDS", {(0, 3)}),
+             ("three other short words, only two", set()), ("item of six words, in all", {(2, 6)}), ("item of six long words in all", set()),
+             (f"前文{han}。后文", {(3, 22)}), (f"前文{han[:8]}错{han[9:]}后文", {(3, 20)}), (f"ก่อน{thai}หลัง", {(4, len(thai))}),
+             ("x𠀀𠀁𠀂y", {(5, 3)}), (han[:6] + "x", set()), ("", set()), (None, set())]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "doc_id long, text string").repartition(2)
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    for block_words in (1 << 20, 10):
+        got = {(r.doc_id, r.item_id, r.score) for r in decontaminate.leaks(docs, frame, block_words).collect()}
+        assert got == {(k, i, s) for k, (_, hits) in enumerate(texts) for i, s in hits}
