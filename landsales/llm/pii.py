@@ -114,7 +114,7 @@ def find_entities(text: str | None) -> list[Entity]:
             group = pattern.groups
             for m in (_emails(text) if kind == "email" else pattern.finditer(text)):
                 add(kind, m.start(group), m.end(group))
-    if any(hint in folded for hint in _TITLE_HINTS):
+    if _titled(text, folded):
         for m in NAMES.finditer(text):
             title = m.group(1)
             if not title[0].isupper():
@@ -127,6 +127,18 @@ def find_entities(text: str | None) -> list[Entity]:
     return sorted(found, key=lambda e: e.start)
 
 
+def _titled(text: str, folded: str) -> bool:
+    """Can a title stand in the text? It starts a word, with a capital."""
+    aligned = len(folded) == len(text) and "\u0307" not in text
+    for hint in _TITLE_HINTS:
+        at = folded.find(hint)
+        while at >= 0:
+            if not aligned or (text[at].isupper() and not (at and (text[at - 1].isalnum() or text[at - 1] == "_"))):
+                return True
+            at = folded.find(hint, at + 1)
+    return False
+
+
 def _emails(text: str) -> Iterator[re.Match]:
     """Addresses around each @: the pattern is tried only near one."""
     pattern, done = PATTERNS[0][1], 0
