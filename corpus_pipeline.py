@@ -55,7 +55,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL cannot express the stages; tests compare them with brute-force versions.
+#: SQL cannot express the stages; a test runs them on planted rows and checks which documents remain.
 ORACLE_SQL = None
 
 
