@@ -1,4 +1,4 @@
-"""Training-data operators: ten Spark jobs over documents, pages and benchmark tables.
+"""Training-data operators: thirteen Spark jobs over documents, embeddings, pages and benchmark tables.
 
 Nothing else in the library imports this subpackage.
 """

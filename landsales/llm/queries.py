@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landsales.llm import (decontaminate, licenses, near_dup, packing, pii, ppm, quality, url_filter, warc,
-                           wavelet)
+from landsales.llm import (byte_bpe, decontaminate, filter_audit, hard_negatives, licenses, near_dup, packing, pii,
+                           ppm, quality, url_filter, warc, wavelet)
 from landsales.llm.common import table
 
 
@@ -69,6 +69,21 @@ def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose vec_id is divisible by 100; labels of the rows divisible by 7 are moved."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(spark, rows, F.col("vec_id") % 100 == 0)
+
+
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def byte_bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_probminhash": near_duplicates,
@@ -81,6 +96,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_shift_and": url_verdicts,
         "op9_ppm": lm_scores,
         "op10_pii_surrogates": pii_surrogates,
+        "op11_hard_negatives": negatives,
+        "op12_filter_audit": filter_interactions,
+        "op13_byte_bpe": byte_bpe_digests,
     }
 
 
@@ -123,5 +141,79 @@ FROM h LEFT JOIN best USING (page_id)
 """
 
 
+#: Scores are inner products of whole numbers in doubles: exact below 2^53.
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+#: Every order and step counts the documents anew, without masks of subsets.
+AUDIT_SQL = """
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         [x FOR x IN string_split_regex(coalesce(text, ''), '[ \\t-\\r]+') IF x <> ''] AS words
+  FROM documents
+), firsts AS (
+  SELECT t, min(doc_id) AS first_id FROM w GROUP BY t
+), l AS (
+  SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS toxic
+  FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         concat(CASE WHEN len(words) < 200 THEN 'A' ELSE '' END,
+                CASE WHEN 100 * list_unique(words) < 50 * len(words) THEN 'B' ELSE '' END,
+                CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END,
+                CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+                CASE WHEN first_id IS NOT NULL AND (w.doc_id IS NULL OR first_id < w.doc_id) THEN 'E' ELSE '' END) AS fails
+  FROM w JOIN firsts USING (t) LEFT JOIN l ON w.doc_id = l.doc_id
+), c AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails
+), x(letter) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), o AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM x a, x b, x c, x d, x e
+  WHERE a.letter NOT IN (b.letter, c.letter, d.letter, e.letter) AND b.letter NOT IN (c.letter, d.letter, e.letter)
+    AND c.letter NOT IN (d.letter, e.letter) AND d.letter <> e.letter
+), k AS (
+  SELECT filter_order, step::INTEGER AS step, substr(filter_order, step, 1) AS letter,
+         '[' || substr(filter_order, 1, step) || ']' AS upto,
+         '[' || substr('-' || filter_order, 1, step) || ']' AS earlier
+  FROM o, generate_series(1, 5) AS g(step)
+), m AS (
+  SELECT part, filter_order, step, letter,
+         sum(CASE WHEN NOT regexp_matches(fails, upto) THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN contains(fails, letter) AND NOT regexp_matches(fails, earlier) THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN contains(fails, letter) AND regexp_matches(fails, earlier) THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = letter THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN contains(fails, letter) AND NOT regexp_matches(fails, earlier) THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN contains(fails, letter) AND NOT regexp_matches(fails, earlier) THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, k GROUP BY ALL
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM m
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_zstd": WARC_SQL, "op8_url_shift_and": _url_sql()}
+    return {"op3_warc_zstd": WARC_SQL, "op8_url_shift_and": _url_sql(), "op11_hard_negatives": NEGATIVES_SQL,
+            "op12_filter_audit": AUDIT_SQL}
