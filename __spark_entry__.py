@@ -19,16 +19,18 @@ from landsales.plans import reports as R
 from landsales.plans.driver_snapshot import CENTRES_MARKER, snapshot_for, year_files
 from landsales.plans.load import pending_frame, table_counts
 from landsales.plans.sql_surface import register
-from landsales.plans.oracle_sql import (EMPTY_YEAR, KPI_TYPE, KPI_YEAR, SPLIT_YEAR, TOP_DEPT,
+from landsales.plans.oracle_sql import (EMPTY_YEAR, HOT_PARCEL, KPI_TYPE, KPI_YEAR, SPLIT_YEAR, TOP_DEPT,
                                         oracle_queries)
-from landsales.schemas import RAW_COLUMNS
+from landsales.schemas import PUBLISHED, RAW_COLUMNS
 from landsales.sources.geo import read_outlines
 from landsales.sources.raw_files import read_raw_files, year_marker
 
 try:        # the training-data operators are optional: the rest works without them
     import corpus_pipeline
     from landsales.llm import queries as training_data
-except ModuleNotFoundError:
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "landsales.llm"):
+        raise       # a library that they need, not the operators themselves
     training_data = None
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
@@ -66,6 +68,30 @@ def _load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.unionByName(counts)
 
 
+def _hot_tables(spark: SparkSession, sf_dir: str):
+    """The published tables with a third of all sales and premises on one parcel."""
+    t = dict(_tables(spark, sf_dir))
+    hot = lambda key: F.when(F.substring(key, -1, 1) < "5", HOT_PARCEL).otherwise(F.col("id_parcelle"))
+    t["mutation_parcelle"] = t["mutation_parcelle"].withColumn("id_parcelle", hot("id_mutation")).distinct()
+    t["local"] = t["local"].withColumn("id_parcelle", hot("id_local"))
+    t["parcelle"] = t["parcelle"].unionByName(
+        spark.range(1).select(F.lit(HOT_PARCEL).alias("id_parcelle"), F.lit(HOT_PARCEL[:5]).alias("code_commune")))
+    return {name: t[name] for name in PUBLISHED}
+
+
+def _incremental_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three reports of a store filled by two loads, from the derived tables that the second
+    load added to: year and type, or commune, with sales and mean price per m2."""
+    t = snapshot_for(spark, sf_dir, SPLIT_YEAR).split_store.tables()
+    by_type = R.price_evolution(t).select(F.lit("evolution").alias("report"), F.col("annee").cast("string").alias("part"),
+                                          F.col("type_bien").alias("item"), "nb_ventes", F.col("prix_m2_moyen").alias("value"))
+    by_dept = R.map_departements(t).select(F.lit("departements"), F.col("dept"), F.lit(None).cast("string"), "nb_ventes",
+                                           "prix_m2_moyen")
+    kpi = R.kpi(t).select(F.lit("kpi"), F.lit(None).cast("string"), F.lit(None).cast("string"), "nb_ventes",
+                          "prix_m2_median_eur")
+    return by_type.union(by_dept).union(kpi)
+
+
 def _choropleth(spark: SparkSession, sf_dir: str) -> DataFrame:
     snap = snapshot_for(spark, sf_dir, SPLIT_YEAR)
     layer = Ly.choropleth(snap.store.tables(), read_outlines(spark, snap.outlines))
@@ -82,6 +108,9 @@ def _sql(statement: str):
 
 # SQL-surface twins of DataFrame reports: key -> (statement, key of the twin).
 SQL_TWINS = {
+    "sql_kpi": ("SELECT * FROM kpi_ventes()", "kpi"),
+    "sql_kpi_year": (f"SELECT * FROM kpi_ventes(p_annee => {KPI_YEAR})", "kpi_year"),
+    "sql_kpi_type": (f"SELECT * FROM kpi_ventes(p_type => '{KPI_TYPE}')", "kpi_type"),
     "sql_price_evolution": ("SELECT * FROM v_prix_m2_evolution", "price_evolution"),
     "sql_sales_per_year": ("SELECT * FROM v_mutations_par_annee", "sales_per_year"),
     "sql_type_shares_year": (f"SELECT * FROM repartition_types(p_annee => {KPI_YEAR})", "type_shares_year"),
@@ -123,6 +152,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["kpi_year"] = _report(R.kpi, KPI_YEAR)
     q["kpi_type"] = _report(R.kpi, None, KPI_TYPE)
     q["kpi_empty"] = _report(R.kpi, EMPTY_YEAR)
+    q["kpi_hot"] = lambda s, d: R.kpi(_hot_tables(s, d))
+    q["kpi_hot_empty"] = lambda s, d: R.kpi(_hot_tables(s, d), EMPTY_YEAR)
+    q["incremental_reports"] = _incremental_reports
     q["price_evolution"] = _report(R.price_evolution)
     q["sales_per_year"] = _report(R.sales_per_year)
     q["type_shares"] = _report(R.type_shares)

@@ -4,7 +4,8 @@ Each is one aggregation on the entity key (sorted where ``max`` runs over text).
 first, so a key that holds a large share of the rows is reduced to one row per
 task before the shuffle. ``any_value`` of the source engine returns the first
 non-NULL value; ``max`` also ignores NULLs and is deterministic, so it is
-always one of the allowed answers.
+always one of the allowed answers. Links and premises carry the sale's year, which
+their keys determine, for the store's layout.
 """
 
 from __future__ import annotations
@@ -33,12 +34,12 @@ def mutation(clean: DataFrame) -> DataFrame:
 
 def mutation_parcelle(clean: DataFrame) -> DataFrame:
     return (clean.where(F.col("id_mutation").isNotNull() & F.col("id_parcelle").isNotNull())
-            .select("id_mutation", "id_parcelle").distinct())
+            .select("id_mutation", "id_parcelle", "annee").distinct())
 
 
 def local(clean: DataFrame) -> DataFrame:
     return _one_per_key(clean, "id_local", ["type_local", "surface_reelle_bati",
-                                            "nombre_pieces_principales", "id_parcelle"])
+                                            "nombre_pieces_principales", "id_parcelle", "annee"])
 
 
 BUILDERS = {

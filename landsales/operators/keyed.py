@@ -12,10 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landsales.schemas import LAYOUT
+
 
 def conform(batch: DataFrame, schema: T.StructType, keys: list[str], table: str) -> DataFrame:
-    """Select the table's columns by name and cast them; NULL keys raise."""
-    rows = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Select the table's columns by name and cast them, with the year of its layout if it has
+    one; NULL keys raise."""
+    fields = list(schema.fields)
+    if LAYOUT.get(table) in batch.columns and LAYOUT[table] not in schema.names:
+        fields.append(T.StructField(LAYOUT[table], T.ShortType()))
+    rows = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
     for key in keys:
         # a filter, not a changed key column: the batch keeps its partitioning by key
         missing = F.raise_error(F.lit(f"{table}: NULL key {key}")).cast("boolean")
@@ -31,10 +37,3 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame, schema: T.StructType,
     if not distinct_keys:
         unique = unique.dropDuplicates(keys)
     return unique.join(existing_keys.select(*keys), on=keys, how="left_anti")
-
-
-def keyed_union(existing: DataFrame, batch: DataFrame, schema: T.StructType,
-                keys: list[str], table: str) -> DataFrame:
-    """The whole table after the append (existing rows first, then new keys)."""
-    return existing.select(*schema.names).unionByName(
-        new_rows(batch, existing, schema, keys, table))

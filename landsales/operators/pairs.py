@@ -11,7 +11,7 @@ never materialise pairs. Per parcel and property type they carry
 
 and a sale's pair statistics follow exactly:  sum of value/surface over its
 pairs = value * inv_surf, number of pairs = n_prem. Only the listing of pairs
-itself (R0) lists them; the exact pair median (``pair_median``) works from
+itself (R0) lists them; the exact pair median (``selection``) works from
 per-parcel value and surface counts.
 """
 
@@ -45,14 +45,20 @@ def sale_parcels(t: dict[str, DataFrame], year: int | None = None) -> DataFrame:
     return qualifying_sales(t, year).join(t["mutation_parcelle"], "id_mutation")
 
 
-def parcel_types(t: dict[str, DataFrame], property_type: str | None = None) -> DataFrame:
-    """Per (parcel, type): premises count and sum of 1/surface, with the
-    parcel's commune. Grouped before the join: a busy parcel's premises are
+def parcel_types(surfaces: DataFrame, parcelle: DataFrame) -> DataFrame:
+    """Per (parcel, type): premises count and sum of 1/surface, with the parcel's commune,
+    from ``parcel_surfaces`` rows. Grouped before the join: a busy parcel's premises are
     combined map-side and never shuffled one by one."""
-    per_type = (qualifying_premises(t, property_type).groupBy("id_parcelle", "type_local")
-                .agg(F.count(F.lit(1)).alias("n_prem"),
-                     F.sum(F.lit(1.0) / _dbl("surface_reelle_bati")).alias("inv_surf")))
-    return per_type.join(t["parcelle"], "id_parcelle")
+    per_type = (surfaces.groupBy("id_parcelle", "type_local")
+                .agg(F.sum("b").alias("n_prem"), F.sum(F.col("b") / _dbl("surface_reelle_bati")).alias("inv_surf")))
+    return per_type.join(parcelle, "id_parcelle")
+
+
+def _with_pair_sums(sold: DataFrame, types: DataFrame) -> DataFrame:
+    return sold.join(types, "id_parcelle").select(
+        "id_mutation", "annee", "valeur_fonciere", "id_parcelle", "code_commune", "type_local",
+        (_dbl("valeur_fonciere") * F.col("inv_surf")).alias("pair_sum"),
+        F.col("n_prem").cast("long").alias("pair_n"))
 
 
 def sale_parcel_types(t: dict[str, DataFrame], year: int | None = None,
@@ -60,8 +66,9 @@ def sale_parcel_types(t: dict[str, DataFrame], year: int | None = None,
     """One row per (sale, parcel, type) that has at least one pair, with the
     sale's pair sum of value/surface and its pair count on that parcel/type.
 
-    A published snapshot carries this relation as a derived table; then it is
-    only scanned, with the year and type filters pushed to Parquet.
+    A published snapshot carries this relation as a derived table, one part per load (the
+    parts' sums and counts add up); then it is only scanned, the year's files alone if a
+    year is asked for.
     """
     if "sale_parcel_types" in t:
         spt = t["sale_parcel_types"]
@@ -70,12 +77,10 @@ def sale_parcel_types(t: dict[str, DataFrame], year: int | None = None,
         if property_type is not None:
             spt = spt.where(F.col("type_local") == F.lit(property_type))
         return spt
-    sp = sale_parcels(t, year)
-    pt = parcel_types(t, property_type)
-    return sp.join(pt, "id_parcelle").select(
-        "id_mutation", "annee", "valeur_fonciere", "id_parcelle", "code_commune", "type_local",
-        (_dbl("valeur_fonciere") * F.col("inv_surf")).alias("pair_sum"),
-        F.col("n_prem").cast("long").alias("pair_n"))
+    surfaces = parcel_surfaces(t)
+    if property_type is not None:
+        surfaces = surfaces.where(F.col("type_local") == F.lit(property_type))
+    return _with_pair_sums(sale_parcels(t, year), parcel_types(surfaces, t["parcelle"]))
 
 
 def pairs(t: dict[str, DataFrame], year: int | None = None,
@@ -90,8 +95,11 @@ def pairs(t: dict[str, DataFrame], year: int | None = None,
 
 def parcel_sale_values(t: dict[str, DataFrame]) -> DataFrame:
     """Qualifying sales per (parcel, year, value), with their count ``a``."""
-    return (sale_parcels(t).groupBy("id_parcelle", "annee", "valeur_fonciere")
-            .agg(F.count(F.lit(1)).alias("a")))
+    return _sale_values(sale_parcels(t))
+
+
+def _sale_values(sold: DataFrame) -> DataFrame:
+    return sold.groupBy("id_parcelle", "annee", "valeur_fonciere").agg(F.count(F.lit(1)).alias("a"))
 
 
 def parcel_surfaces(t: dict[str, DataFrame]) -> DataFrame:
@@ -101,16 +109,28 @@ def parcel_surfaces(t: dict[str, DataFrame]) -> DataFrame:
     return per_surface.join(t["parcelle"].select("id_parcelle"), "id_parcelle", "left_semi")
 
 
-def pair_ratio_inputs(t: dict[str, DataFrame], year: int | None = None,
-                      property_type: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Per parcel: distinct sale values with counts ``a`` and distinct
-    surfaces with counts ``b``, after the year and type filters."""
-    psv = t["parcel_sale_values"] if "parcel_sale_values" in t else parcel_sale_values(t)
-    psf = t["parcel_surfaces"] if "parcel_surfaces" in t else parcel_surfaces(t)
-    if year is not None:
-        psv = psv.where(F.col("annee") == F.lit(year))
-    if property_type is not None:
-        psf = psf.where(F.col("type_local") == F.lit(property_type))
-    sv = psv.groupBy("id_parcelle", "valeur_fonciere").agg(F.sum("a").alias("a"))
-    ps = psf.groupBy("id_parcelle", "surface_reelle_bati").agg(F.sum("b").alias("b"))
-    return sv, ps
+def derived_changes(before: dict[str, DataFrame], added: dict[str, DataFrame], known_surfaces: DataFrame,
+                    years: list[int | None]) -> dict[str, DataFrame]:
+    """What a load adds to the derived tables, from the tables before it, its own rows, the
+    ``parcel_surfaces`` rows before it and the years of its sales.
+
+    New sales meet all premises of their parcels, old sales the new premises; every other
+    pair stands in earlier parts. Each part is written once: what a load writes grows with
+    its own rows and the sales they meet, not with the store. A link is published with or
+    after its sale and a premises with or after its parcel, so new links and new premises
+    are all there is to join.
+    """
+    tables = {n: before[n].unionByName(added[n]) for n in ("mutation", "parcelle")}
+    in_years = F.col("annee").isin([y for y in years if y is not None]) | F.col("annee").isNull()
+    sold = sale_parcels({"mutation": tables["mutation"].where(in_years), "mutation_parcelle": added["mutation_parcelle"]})
+    surfaces = parcel_surfaces({"local": added["local"], "parcelle": tables["parcelle"]})
+    met = known_surfaces.join(sold.select("id_parcelle").distinct(), "id_parcelle", "left_semi")
+    old_links = before["mutation_parcelle"].join(surfaces.select("id_parcelle").distinct(), "id_parcelle", "left_semi")
+    old_sold = sale_parcels({"mutation": before["mutation"], "mutation_parcelle": old_links})
+    types = lambda rows: parcel_types(rows, tables["parcelle"])
+    return {
+        "parcel_surfaces": surfaces,
+        "parcel_sale_values": _sale_values(sold),
+        "sale_parcel_types": _with_pair_sums(sold, types(surfaces.unionByName(met)))
+        .unionByName(_with_pair_sums(old_sold, types(surfaces))),
+    }

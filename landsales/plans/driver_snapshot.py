@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import threading
 from dataclasses import dataclass
 from pathlib import Path
@@ -24,7 +23,7 @@ from landsales.session import checkpoint_root, new_work_dir
 from landsales.sources import fs
 from landsales.sources.driver_tables import stage_landing
 from landsales.sources.raw_files import year_marker
-from landsales.store import Store
+from landsales.store import SNAPSHOTS, Store
 
 CENTRES_MARKER = "communes-geo.json"
 
@@ -68,17 +67,16 @@ INPUT_TABLES = ["lineitem", "orders", "customer", "part", "nation"]
 
 
 def _fingerprint(sf_dir: str) -> str:
-    """Input files (name, size, mtime) + this package's source: a build is
-    reused only for the same inputs and the same code."""
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    """Input files (name, size, time, wherever they lie) + this package's source without the
+    subpackage that takes no part: a build is reused only for the same inputs and code."""
+    h = hashlib.sha1(sf_dir.rstrip("/").encode())
     for name in INPUT_TABLES:
-        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        if os.path.exists(path):
-            st = os.stat(path)
-            h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
+        for e in fs.files_below(f"{sf_dir.rstrip('/')}/{name}.parquet"):
+            h.update(f"{name}:{e.name}:{e.size}:{e.modified}".encode())
     pkg = Path(__file__).resolve().parents[1]
     for src in sorted(pkg.rglob("*.py")):
-        h.update(src.read_bytes())
+        if "llm" not in src.relative_to(pkg).parts:
+            h.update(src.read_bytes())
     return h.hexdigest()[:16]
 
 
@@ -92,7 +90,7 @@ def snapshot_for(spark: SparkSession, sf_dir: str, split_year: int = 1998) -> Dr
         pointer = f"{checkpoint_root(spark)}/landsales/driver-{_fingerprint(sf_dir)}.json"
         done = fs.read_text(pointer)
         info = json.loads(done) if done else None
-        if info and fs.exists(f"{info['work']}/store/_CURRENT.json"):
+        if info and fs.exists(f"{info['work']}/store/{SNAPSHOTS}"):
             work = info["work"]
         else:
             work = new_work_dir(spark, "driver")

@@ -19,14 +19,13 @@ from pyspark.sql import functions as F
 from landsales.functions.cleaning import clean_rows
 from landsales.operators import entities, pairs
 from landsales.operators.keyed import new_rows
-from landsales.operators.pair_median import hot_parcels
 from landsales.plans.sql_surface import register_views
-from landsales.schemas import ENTITY_TABLES, KEYS, PUBLISHED
+from landsales.schemas import ENTITY_TABLES, KEYS, PUBLISHED, YEAR
 from landsales.sources.geo import first_source_wins, read_commune_centres
 from landsales.sources.raw_files import collect_year_files, read_raw_files, year_marker
 from landsales.session import new_work_dir
 from landsales.sources import fs
-from landsales.store import Store
+from landsales.store import ConcurrentPublication, Store, new_batch
 
 
 @dataclass(frozen=True)
@@ -75,9 +74,30 @@ def _manifest_rows(spark: SparkSession, markers: list[str]) -> DataFrame:
                                          F.current_timestamp().alias("loaded_at"))
 
 
+#: Loads of one store at once: how often one starts anew after another has published.
+ATTEMPTS = 5
+
+
 def load(spark: SparkSession, store_root: str, landing: str, years: list[int],
          centres: list[CentreSource] = (), full_reload: bool = False,
          quote: str | None = None, log=print) -> LoadResult:
+    """Load what the manifest lacks and publish. If another load publishes meanwhile, this one
+    starts anew from the new snapshot: what it had written is not visible to anybody."""
+    return retried(lambda: _load(spark, store_root, landing, years, centres, full_reload, quote, log), log)
+
+
+def retried(run, log=print):
+    for attempt in range(1, ATTEMPTS + 1):
+        try:
+            return run()
+        except ConcurrentPublication as conflict:
+            if attempt == ATTEMPTS:
+                raise
+            log(f"[INFO] {conflict}; starting anew")
+
+
+def _load(spark: SparkSession, store_root: str, landing: str, years: list[int], centres: list[CentreSource],
+          full_reload: bool, quote: str | None, log) -> LoadResult:
     store = Store(spark, store_root)
     state = store.state()
     visible = [] if full_reload else list(state["batches"])
@@ -89,7 +109,7 @@ def load(spark: SparkSession, store_root: str, landing: str, years: list[int],
     todo_centres = [c for c in centres if c.marker in pending]
 
     if not todo_years and not todo_centres:
-        published = store.publish(visible, state["next"])
+        published = store.publish(state, visible)
         register_views(spark, store)
         log("[SUCCESS] up to date, nothing to ingest")
         return LoadResult(snapshot=published["snapshot"])
@@ -104,31 +124,35 @@ def load(spark: SparkSession, store_root: str, landing: str, years: list[int],
                                  for c in todo_centres])
     raw = read_raw_files(spark, list(paths.values()), quote) if paths else None
     markers = [c.marker for c in todo_centres] + [year_marker(y) for y in paths]
-    result = append_batch(spark, store, visible, raw, geo, markers, log)
+    result = append_batch(spark, store, state, visible, raw, geo, markers, log)
+    t0 = time.monotonic()
     register_views(spark, store)
+    result.seconds["register_views"] = time.monotonic() - t0
     result.years = sorted(paths)
     result.centre_markers = [c.marker for c in todo_centres]
     return result
 
 
-def append_batch(spark: SparkSession, store: Store, visible: list[int], raw: DataFrame | None,
+def append_batch(spark: SparkSession, store: Store, state: dict, visible: list[str], raw: DataFrame | None,
                  centres: DataFrame | None, markers: list[str], log=print) -> LoadResult:
     """Clean, derive, append by key and publish one batch (K1, K2, K4, K6).
 
     ``raw`` holds raw text rows (with a ``_rejected`` flag), ``centres`` the
-    (code_commune, latitude, longitude) rows; either may be None. Replaying a
-    batch is harmless: every table is appended by key, existing rows win.
+    (code_commune, latitude, longitude) rows; either may be None. ``state`` is the snapshot
+    that the batch follows, ``visible`` the batches it adds to. Replaying a batch is
+    harmless: every table is appended by key, existing rows win.
     """
     store.begin()
-    batch = store.state()["next"]
+    batch = new_batch(state)
     result = LoadResult(snapshot=0)
-    manifest = store.table("elt_file", visible)
 
     # Independent table writes of this load, run as concurrent Spark jobs
     # (they share the executors; each only reads its own inputs).
-    writes: list[tuple[str, DataFrame]] = []
+    writes: list[tuple[str, DataFrame]] = [
+        ("elt_file", new_rows(_manifest_rows(spark, markers), store.keys("elt_file", visible),
+                              PUBLISHED["elt_file"], KEYS["elt_file"], "elt_file"))]
     if centres is not None:
-        writes.append(("commune_geo", new_rows(centres, store.table("commune_geo", visible),
+        writes.append(("commune_geo", new_rows(centres, store.keys("commune_geo", visible),
                                                PUBLISHED["commune_geo"], KEYS["commune_geo"],
                                                "commune_geo")))
     staging = None
@@ -148,53 +172,43 @@ def append_batch(spark: SparkSession, store: Store, visible: list[int], raw: Dat
         metrics = obs.get
         result.raw_rows = int(metrics.get("rows") or 0)
         result.rejected_rows = int(metrics.get("rejected") or 0)
+        # Keys of sales hold their year: only published rows of these years can have them.
+        years = [r[0] for r in clean.select(YEAR).distinct().collect()]
         built = entities.derive(clean)
         for name in ENTITY_TABLES:
-            writes.append((name, new_rows(built[name], store.table(name, visible), PUBLISHED[name],
+            writes.append((name, new_rows(built[name], store.keys(name, visible, years), PUBLISHED[name],
                                           KEYS[name], name, distinct_keys=True)))
 
-    def write(item: tuple[str, DataFrame]) -> tuple[str, float]:
-        t1 = time.monotonic()
-        store.write_batch(item[0], item[1], batch)
-        return item[0], time.monotonic() - t1
-
     t0 = time.monotonic()
     try:
-        with ThreadPoolExecutor(max_workers=max(1, len(writes))) as pool:
-            for name, secs in pool.map(write, writes):
-                result.seconds[f"publish_{name}"] = secs
+        _at_once(writes, lambda name, rows: store.write_batch(name, rows, batch), "publish", result)
     finally:
         if staging is not None:
             fs.delete_tree(staging)
     result.seconds["transform_publish"] = time.monotonic() - t0
     if raw is not None:
         log(f"loaded {result.raw_rows:,} raw rows ({result.rejected_rows:,} rejected)")
+        t0 = time.monotonic()
+        changes = pairs.derived_changes(store.tables(visible), store.tables([batch]),
+                                        store.derived("parcel_surfaces", visible), years)
+        _at_once(list(changes.items()), lambda name, rows: store.write_derived(name, rows, batch), "derive", result)
+        result.seconds["derive"] = time.monotonic() - t0
 
-    fresh = new_rows(_manifest_rows(spark, markers), manifest, PUBLISHED["elt_file"],
-                     KEYS["elt_file"], "elt_file")
-    store.write_batch("elt_file", fresh, batch)
-
-    # Derived tables of the new snapshot, recomputed from all its rows: new
-    # premises change the per-parcel statistics of older sales too.
-    t0 = time.monotonic()
-    new_tables = store.tables(visible + [batch])
-    builders = {"sale_parcel_types": pairs.sale_parcel_types,
-                "parcel_sale_values": pairs.parcel_sale_values,
-                "parcel_surfaces": pairs.parcel_surfaces}
-    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-        paths = pool.map(lambda kv: (kv[0], store.write_derived(kv[0], kv[1](new_tables), batch)),
-                         builders.items())
-        derived = dict(paths)
-    # Parcels too busy to expand in the exact pair median (usually none).
-    counts = {name: store.read_derived(name, path) for name, path in derived.items()}
-    derived["hot_parcels"] = store.write_derived(
-        "hot_parcels", hot_parcels(counts["parcel_sale_values"], counts["parcel_surfaces"]), batch)
-    result.seconds["derive"] = time.monotonic() - t0
-    published = store.publish(visible + [batch], batch + 1, derived)
-    result.snapshot = published["snapshot"]
+    result.snapshot = store.publish(state, visible + [batch])["snapshot"]
     return result
 
 
+def _at_once(items: list[tuple[str, DataFrame]], write, label: str, result: LoadResult) -> None:
+    """Write several tables as concurrent jobs and note the seconds of each."""
+    def timed(item: tuple[str, DataFrame]) -> None:
+        t0 = time.monotonic()
+        write(*item)
+        result.seconds[f"{label}_{item[0]}"] = time.monotonic() - t0
+
+    with ThreadPoolExecutor(max_workers=max(1, len(items))) as pool:
+        list(pool.map(timed, items))
+
+
 def table_counts(store: Store) -> DataFrame:
     """K9: rows per published table (one Spark count per table)."""
     frames = [store.table(name).agg(F.count(F.lit(1)).alias("rows"))

@@ -12,16 +12,11 @@ decimal(15,2).
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from landsales.operators import pairs as P
-from landsales.operators.pair_median import pair_ratio_median
-from landsales.operators.quantile import decimal_median_of, percentile_cont
+from landsales.operators import selection
 
 Tables = dict[str, DataFrame]
 
@@ -41,39 +36,44 @@ def sale_premises(t: Tables, year: int | None = None, property_type: str | None
     return P.pairs(t, year, property_type)
 
 
-KPI_SCHEMA = T.StructType([
-    T.StructField("nb_ventes", T.LongType(), False),
-    T.StructField("volume_total_eur", T.DecimalType(38, 2)),
-    T.StructField("prix_median_eur", T.DecimalType(15, 2)),
-    T.StructField("prix_m2_median_eur", T.DoubleType()),
-])
+def kpi_text(pairs: str, values: str, surfaces: str, year: str = "NULL", property_type: str = "NULL") -> str:
+    """R1 as one SELECT. ``pairs``, ``values`` and ``surfaces`` name the relations
+    sale_parcel_types, parcel_sale_values and parcel_surfaces; ``year`` and ``property_type``
+    are SQL literals or parameters, NULL for all."""
+    of_year, of_type = f"({year} IS NULL OR annee = {year})", f"({property_type} IS NULL OR type_local = {property_type})"
+    ctes = [
+        f"sold AS (SELECT DISTINCT id_mutation, valeur_fonciere FROM {pairs} WHERE {of_year} AND {of_type})",
+        "price AS (SELECT CAST(valeur_fonciere AS DOUBLE) AS x, 1L AS w FROM sold)",
+        f"vals AS (SELECT id_parcelle, CAST(valeur_fonciere AS DOUBLE) AS x, a AS w FROM {values} WHERE {of_year})",
+        f"surf AS (SELECT id_parcelle, CAST(surface_reelle_bati AS DOUBLE) AS s, b AS w FROM {surfaces} WHERE {of_type})",
+        *selection.median_ctes("e", "price"),
+        *selection.pair_values("p", "vals", "surf"),
+        *selection.median_ctes("m", "p_x"),
+    ]
+    return selection.with_ctes(ctes, f"""
+SELECT coalesce(n, 0L) AS nb_ventes,
+       (SELECT CAST(sum(CAST(CAST(x AS DECIMAL(15,2)) * w AS DECIMAL(38,2))) AS DECIMAL(38,2)) FROM e_v) AS volume_total_eur,
+       {selection.cents_between("lo", "hi")} AS prix_median_eur,
+       (SELECT lo + (hi - lo) * 0.5D FROM m_m) AS prix_m2_median_eur
+FROM e_m""")
 
 
 def kpi(t: Tables, year: int | None = None, property_type: str | None = None) -> DataFrame:
     """Sales, total value, median sale price (distinct sales) and median
     price per m2 (pairs). Always exactly one row.
 
-    Two distributed passes feed the row: the distinct qualifying sales,
-    compressed by value, give the count, the total and the exact median in one
-    histogram job; the per-parcel value and surface counts give the exact
-    price-per-m2 median over pairs (``pair_median``: hot parcels are counted,
-    never expanded).
+    One lazy plan (``operators.selection``): the distinct qualifying sales, compressed by
+    value, give the count, the total and the median price; the parcels' value and surface
+    counts give the median price per m2, all parcels alike, without listing their pairs.
     """
-    spt = P.sale_parcel_types(t, year, property_type)
-    sales = spt.select("id_mutation", "valeur_fonciere").distinct()
-    sv, ps = P.pair_ratio_inputs(t, year, property_type)
-    # The two selections are independent: submit them as concurrent jobs.
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        f_price = pool.submit(percentile_cont, sales, "valeur_fonciere", None, 0.5, True)
-        f_m2 = pool.submit(pair_ratio_median, sv, ps, t.get("hot_parcels"))
-        price, med_m2 = f_price.result(), f_m2.result()
-    total = price.total.quantize(Decimal("0.01")) if price.total is not None else None
-    row = (price.n, total, decimal_median_of(price, 2), med_m2)
-    # One row of literals, built JVM-side in the KPI schema.
-    return sales.sparkSession.range(1).select(*[
-        F.lit(v).cast(f.dataType).alias(f.name) if v is not None
-        else F.lit(None).cast(f.dataType).alias(f.name)
-        for v, f in zip(row, KPI_SCHEMA.fields)])
+    vals = t["parcel_sale_values"] if "parcel_sale_values" in t else P.parcel_sale_values(t)
+    surf = t["parcel_surfaces"] if "parcel_surfaces" in t else P.parcel_surfaces(t)
+    if year is not None:
+        vals = vals.where(F.col("annee") == F.lit(year))
+    if property_type is not None:
+        surf = surf.where(F.col("type_local") == F.lit(property_type))
+    return vals.sparkSession.sql(kpi_text("{pairs}", "{vals}", "{surf}"), vals=vals, surf=surf,
+                                 pairs=P.sale_parcel_types(t, year, property_type))
 
 
 def price_evolution(t: Tables) -> DataFrame:

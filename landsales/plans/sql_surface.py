@@ -4,6 +4,7 @@
 tables and the reports, and SQL table functions with optional named
 parameters (``DEFAULT NULL`` means "all"):
 
+    SELECT * FROM kpi_ventes(p_annee => 2024, p_type => 'Maison')
     SELECT * FROM repartition_types(p_annee => 2023)
     SELECT * FROM top_communes(p_departement => '69')
     SELECT * FROM carte_communes(p_annee => 2024, p_departement => '13')
@@ -13,16 +14,15 @@ They use the same factorised per-parcel statistics as the DataFrame reports
 (``landsales.operators.pairs``): price per m2 is never computed on the
 materialised (sale x premises) fan-out. Inside a function a literal argument
 folds ``p IS NULL OR col = p`` to ``col = p``, which reaches the Parquet scan.
-The KPI report (R1) is served by the DataFrame API only (``reports.kpi``):
-an exact median in plain SQL either funnels every distinct value through one
-task (built-in ``percentile``) or, written as nested histogram subqueries,
-makes the analysed plan grow past memory.
+``kpi_ventes`` is the same text as ``reports.kpi``: exact medians selected by scalar
+subqueries (``operators.selection``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landsales.plans.reports import kpi_text
 
 BASE_VIEWS = {
     "ls_sales": """
@@ -45,6 +45,11 @@ FROM ls_sales s JOIN mutation_parcelle mp ON s.id_mutation = mp.id_mutation""",
 SELECT sp.id_mutation, sp.annee, sp.valeur_fonciere, sp.id_parcelle, pt.code_commune, pt.type_local,
        cast(sp.valeur_fonciere AS double) * pt.inv_surf AS pair_sum, pt.n_prem AS pair_n
 FROM ls_sale_parcels sp JOIN ls_parcel_types pt ON sp.id_parcelle = pt.id_parcelle""",
+    "ls_parcel_sale_values": """
+SELECT id_parcelle, annee, valeur_fonciere, count(*) AS a FROM ls_sale_parcels GROUP BY id_parcelle, annee, valeur_fonciere""",
+    "ls_parcel_surfaces": """
+SELECT id_parcelle, type_local, surface_reelle_bati, count(*) AS b FROM ls_premises
+GROUP BY id_parcelle, type_local, surface_reelle_bati""",
     "v_vente_local": """
 SELECT sp.id_mutation, sp.annee, sp.valeur_fonciere, p.type_local, p.surface_reelle_bati, p.code_commune
 FROM ls_sale_parcels sp JOIN ls_premises p ON sp.id_parcelle = p.id_parcelle""",
@@ -59,7 +64,15 @@ SELECT annee, count(*) AS mutations FROM mutation WHERE annee IS NOT NULL GROUP
 }
 
 
+# Views that a snapshot's derived tables stand in for
+DERIVED_VIEWS = {"ls_sale_parcel_types": "sale_parcel_types", "ls_parcel_sale_values": "parcel_sale_values",
+                 "ls_parcel_surfaces": "parcel_surfaces"}
+
 FUNCTIONS = {
+    "kpi_ventes": ("p_annee INT DEFAULT NULL, p_type STRING DEFAULT NULL",
+                   "nb_ventes BIGINT, volume_total_eur DECIMAL(38,2), prix_median_eur DECIMAL(15,2), "
+                   "prix_m2_median_eur DOUBLE",
+                   kpi_text("ls_sale_parcel_types", "ls_parcel_sale_values", "ls_parcel_surfaces", "p_annee", "p_type")),
     "repartition_types": ("p_annee INT DEFAULT NULL",
                           "type_bien STRING, nb_transactions BIGINT, part_pct DOUBLE",
                           """
@@ -126,8 +139,8 @@ def register(spark: SparkSession, tables: dict[str, DataFrame]) -> list[str]:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     for name, body in BASE_VIEWS.items():
-        if name == "ls_sale_parcel_types" and "sale_parcel_types" in tables:
-            tables["sale_parcel_types"].createOrReplaceTempView(name)   # derived, materialised
+        if DERIVED_VIEWS.get(name) in tables:
+            tables[DERIVED_VIEWS[name]].createOrReplaceTempView(name)   # materialised
             continue
         spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS {body}")
     for name, (params, returns, body) in FUNCTIONS.items():

@@ -84,6 +84,11 @@ KEYS = {
     "elt_file": ["filename"],
 }
 
+# The sale's year: the tables laid out by it. A sale's id, and so its links' and its
+# premises' keys, are made from its date: rows of one key have one year.
+YEAR = "annee"
+LAYOUT = dict.fromkeys(["mutation", "mutation_parcelle", "local", "sale_parcel_types", "parcel_sale_values"], YEAR)
+
 # Parent-first order of the five entity tables built from raw rows.
 ENTITY_TABLES = ["commune", "parcelle", "mutation", "mutation_parcelle", "local"]
 
@@ -114,7 +119,7 @@ def empty_table(spark, name: str):
     return spark.createDataFrame([], PUBLISHED[name])
 
 
-# Derived per-snapshot tables (recomputed at each publication, never appended).
+# Derived tables: each load appends what it adds; counts and sums of a key are added up.
 DERIVED = {
     "sale_parcel_types": T.StructType([
         T.StructField("id_mutation", T.StringType()),
@@ -132,9 +137,6 @@ DERIVED = {
         T.StructField("valeur_fonciere", T.DecimalType(15, 2)),
         T.StructField("a", T.LongType()),
     ]),
-    "hot_parcels": T.StructType([
-        T.StructField("id_parcelle", T.StringType()),
-    ]),
     "parcel_surfaces": T.StructType([
         T.StructField("id_parcelle", T.StringType()),
         T.StructField("type_local", T.StringType()),

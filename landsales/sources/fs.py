@@ -1,16 +1,19 @@
-"""Small driver-side file operations: list a folder, read/write a pointer.
+"""Small driver-side file operations: list a folder, read or create a pointer file.
 
-Uses ``pyarrow.fs`` so the same code works on local disk, HDFS and object
-stores. Only folder listings and one-line pointer files pass through here;
-data always moves through Spark readers and writers.
+They go through Hadoop's file systems with the session's own configuration, so every
+path that Spark's readers open (HDFS, object stores, ``viewfs``, local disk) works here
+too. Only folder listings and small files pass through the driver; data always moves
+through Spark readers and writers.
 """
 
 from __future__ import annotations
 
+import os
 import uuid
 from dataclasses import dataclass
 
-from pyarrow import fs as pafs
+from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
 
 
 @dataclass(frozen=True)
@@ -18,12 +21,21 @@ class Entry:
     name: str
     path: str
     is_dir: bool
+    size: int = 0
+    modified: int = 0
 
 
-def _resolve(uri: str):
-    if "://" not in uri and not uri.startswith("file:"):
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
+def _open(uri: str):
+    """Hadoop file system and path of a URI; a path without a scheme is the default file system's."""
+    sc = SparkContext._active_spark_context
+    if sc is None:
+        raise RuntimeError("no active Spark session")
+    path = sc._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(sc._jsc.hadoopConfiguration()), path, sc
+
+
+def _missing(error: Py4JJavaError) -> bool:
+    return error.java_exception.getClass().getName() == "java.io.FileNotFoundException"
 
 
 def _join(uri: str, name: str) -> str:
@@ -31,75 +43,122 @@ def _join(uri: str, name: str) -> str:
 
 
 def list_dir(uri: str) -> list[Entry]:
-    fs, path = _resolve(uri)
-    info = fs.get_file_info(path)
-    if info.type == pafs.FileType.NotFound:
-        return []
+    fs, path, _ = _open(uri)
+    try:
+        found = fs.listStatus(path)
+    except Py4JJavaError as error:
+        if _missing(error):
+            return []
+        raise
+    return sorted((Entry(s.getPath().getName(), _join(uri, s.getPath().getName()), s.isDirectory(), s.getLen(),
+                         s.getModificationTime()) for s in found), key=lambda e: e.name)
+
+
+def files_below(uri: str) -> list[Entry]:
+    """The files of a folder and all folders in it, or the file itself."""
+    fs, path, _ = _open(uri)
     out = []
-    for item in fs.get_file_info(pafs.FileSelector(path, recursive=False)):
-        out.append(Entry(item.base_name, _join(uri, item.base_name),
-                         item.type == pafs.FileType.Directory))
-    return sorted(out, key=lambda e: e.name)
+    try:
+        found = fs.listFiles(path, True)
+        while found.hasNext():
+            s = found.next()
+            out.append(Entry(s.getPath().getName(), s.getPath().toString(), False, s.getLen(), s.getModificationTime()))
+    except Py4JJavaError as error:
+        if not _missing(error):
+            raise
+    return sorted(out, key=lambda e: e.path)
 
 
 def exists(uri: str) -> bool:
-    fs, path = _resolve(uri)
-    return fs.get_file_info(path).type != pafs.FileType.NotFound
+    fs, path, _ = _open(uri)
+    return fs.exists(path)
 
 
 def read_text(uri: str) -> str | None:
-    fs, path = _resolve(uri)
-    if fs.get_file_info(path).type == pafs.FileType.NotFound:
-        return None
-    with fs.open_input_stream(path) as handle:
-        return handle.read().decode("utf-8")
+    fs, path, sc = _open(uri)
+    try:
+        stream = fs.open(path)
+    except Py4JJavaError as error:
+        if _missing(error):
+            return None
+        raise
+    try:
+        return sc._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_aside(uri: str, text: str):
+    """The text in a new file beside ``uri``, complete and closed."""
+    fs, path, sc = _open(uri)
+    fs.mkdirs(path.getParent())
+    aside = sc._jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{path.getName()}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(aside, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return fs, aside, path, sc
+
+
+def _rename(sc, aside, path, overwrite: bool) -> None:
+    options = sc._jvm.org.apache.hadoop.fs.Options.Rename
+    chosen = sc._gateway.new_array(options, 1)
+    chosen[0] = options.OVERWRITE if overwrite else options.NONE
+    context = sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), sc._jsc.hadoopConfiguration())
+    context.rename(context.makeQualified(aside), context.makeQualified(path), chosen)
 
 
 def write_text_atomic(uri: str, text: str) -> None:
-    """Replace a small file in one visible step.
+    """Replace a small file in one visible step: written beside it, then renamed over it."""
+    _, aside, path, sc = _write_aside(uri, text)
+    _rename(sc, aside, path, True)
+
+
+def create_text(uri: str, text: str) -> bool:
+    """Create a small file whole, unless it exists: of several writers one gets True.
 
-    Local disk and HDFS: write a sibling, then rename over the target (atomic).
-    Object stores have no rename; a single PUT of the whole object is the
-    atomic step there.
+    HDFS and the like rename without overwriting, which fails if the target exists. Local
+    disk, where Hadoop only looks before it renames, links the finished file under its
+    name, which the operating system refuses for a taken name.
     """
-    fs, path = _resolve(uri)
-    parent = path.rsplit("/", 1)[0]
-    fs.create_dir(parent, recursive=True)
-    if fs.type_name in ("s3", "gcs"):
-        with fs.open_output_stream(path) as handle:
-            handle.write(text.encode("utf-8"))
-        return
-    tmp = f"{parent}/.{path.rsplit('/', 1)[1]}.{uuid.uuid4().hex}.tmp"
-    with fs.open_output_stream(tmp) as handle:
-        handle.write(text.encode("utf-8"))
-    fs.move(tmp, path)
+    fs, aside, path, sc = _write_aside(uri, text)
+    try:
+        if fs.getUri().getScheme() == "file":
+            os.link(aside.toUri().getPath(), path.toUri().getPath())
+        else:
+            _rename(sc, aside, path, False)
+        return True
+    except FileExistsError:
+        return False
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getName().endswith("FileAlreadyExistsException"):
+            return False
+        raise
+    finally:
+        fs.delete(aside, False)
 
 
 def first_line(uri: str) -> str | None:
     """First line of a file, or of the first data file of a folder (files
     starting with '_' or '.' are bookkeeping and skipped)."""
-    fs, path = _resolve(uri)
-    info = fs.get_file_info(path)
-    if info.type == pafs.FileType.NotFound:
+    fs, path, sc = _open(uri)
+    if not fs.exists(path):
         return None
-    if info.type == pafs.FileType.Directory:
-        data = sorted(i.path for i in fs.get_file_info(pafs.FileSelector(path, recursive=True))
-                      if i.type == pafs.FileType.File and not i.base_name.startswith(("_", ".")))
+    if fs.getFileStatus(path).isDirectory():
+        data = [e.path for e in files_below(uri) if not e.name.startswith(("_", "."))]
         if not data:
             return None
-        path = data[0]
-    with fs.open_input_stream(path) as handle:
-        chunk = b""
-        while b"\n" not in chunk:
-            block = handle.read(65536)
-            if not block:
-                break
-            chunk += block
-    return chunk.split(b"\n", 1)[0].decode("utf-8").rstrip("\r")
+        path = sc._jvm.org.apache.hadoop.fs.Path(data[0])
+    reader = sc._jvm.java.io.BufferedReader(sc._jvm.java.io.InputStreamReader(fs.open(path), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return "" if line is None else line.removeprefix("﻿")
 
 
 def delete_tree(uri: str) -> None:
     """Remove a folder this package created for its own scratch data."""
-    fs, path = _resolve(uri)
-    if fs.get_file_info(path).type != pafs.FileType.NotFound:
-        fs.delete_dir(path)
+    fs, path, _ = _open(uri)
+    fs.delete(path, True)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landsales.plans.load import append_batch
+from landsales.plans.load import append_batch, retried
 from landsales.schemas import RAW_COLUMNS
 from landsales.sources.fs import first_line, list_dir
 from landsales.sources.raw_files import CORRUPT, RAW_FILE_WORD
@@ -78,8 +78,12 @@ def ingest_available(spark: SparkSession, landing: str, store_root: str, checkpo
         if not files:
             return
         markers = sorted({_marker(f) for f in files})
-        visible = list(store.state()["batches"])
-        res = append_batch(spark, store, visible, batch.drop("_file"), None, markers, log)
+
+        def append():
+            state = store.state()
+            return append_batch(spark, store, state, list(state["batches"]), batch.drop("_file"), None, markers, log)
+
+        res = retried(append, log)
         done.append((epoch, res.snapshot))
 
     query = (raw_stream(spark, landing, max_files_per_trigger).writeStream

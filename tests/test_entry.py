@@ -1,6 +1,7 @@
 """Driver contract: entry() and oracle parity of every registered query (sf0.001)."""
 
 import datetime as dt
+import glob
 import math
 import os
 from decimal import Decimal
@@ -40,13 +41,13 @@ def test_entry_one_row(spark):
 
 def test_every_query_matches_oracle(spark):
     con = duckdb.connect()
-    for t in ["nation", "customer", "part", "orders", "lineitem"]:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    for path in glob.glob(f"{SF}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM read_parquet('{path}')")
     qs, oracle = E.queries(), E.oracle_sql()
     assert set(oracle) <= set(qs)
     bad = []
-    for key, fn in qs.items():
-        df = fn(spark, SF)
+    for key in oracle:       # queries without SQL have tests of their own
+        df = qs[key](spark, SF)
         got = _canon(df.columns, [tuple(r) for r in df.collect()])
         res = con.execute(oracle[key])
         exp = _canon([d[0] for d in res.description], res.fetchall())

@@ -20,6 +20,10 @@ def test_sql_functions_match_dataframe_reports(spark):
     t = snapshot_for(spark, SF).store.tables()
     register(spark, t)
     pairs = [
+        ("SELECT * FROM kpi_ventes()", R.kpi(t)),
+        ("SELECT * FROM kpi_ventes(p_annee => 1998)", R.kpi(t, 1998)),
+        ("SELECT * FROM kpi_ventes(p_annee => 1900)", R.kpi(t, 1900)),
+        ("SELECT * FROM kpi_ventes(p_type => 'PROMO')", R.kpi(t, None, "PROMO")),
         ("SELECT * FROM repartition_types()", R.type_shares(t)),
         ("SELECT * FROM repartition_types(p_annee => 1998)", R.type_shares(t, 1998)),
         ("SELECT * FROM top_communes()", R.top_communes(t)),

@@ -134,12 +134,3 @@ def test_pending_centres_do_not_hide_missing_raw_files(spark, work):
         L.load(spark, f"{work}/y", f"{work}/empty", [2022], [L.CentreSource("geo.json", f"{work}/geo.json")],
                log=lambda m: None)
     assert Store(spark, f"{work}/y").state()["snapshot"] == 0
-
-
-def test_keyed_union_whole_table(spark):
-    from landsales.operators.keyed import keyed_union
-    schema, keys = PUBLISHED["mutation_parcelle"], KEYS["mutation_parcelle"]
-    existing = spark.createDataFrame([("m1", "p1")], schema)
-    batch = spark.createDataFrame([("m1", "p1"), ("m1", "p2"), ("m1", "p2")], schema)
-    rows = sorted(tuple(r) for r in keyed_union(existing, batch, schema, keys, "mp").collect())
-    assert rows == [("m1", "p1"), ("m1", "p2")]
