@@ -4,7 +4,7 @@
 rows sorts them in one task. Here a median is selected in three levels, each a GROUP BY
 and a choice of the bucket that holds the middle ranks:
 
-1. buckets of 1/4096 of a power of two, 2. 2^18 equal parts of the values' range in the
+1. buckets of 1/4096 of a power of two (left out where bounds are known), 2. 2^18 equal parts of the values' range in the
 chosen bucket, 3. the distinct values left (at most 2^22 doubles fit into that range,
 whatever the data).
 
@@ -38,52 +38,54 @@ def _octave(x: str, per: int) -> str:
             f"ELSE {-8000 * per} - floor(log2(-{x}) * {per}) END")
 
 
-def _chosen(p: str, level: int) -> list[str]:
+def _chosen(p: str, level: int, known: str) -> list[str]:
     """The range that holds the middle ranks, from the buckets of a level."""
-    known = "sum(w) OVER () AS n, 0L AS below, CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi" if level == 1 \
-        else "n, below, lo, hi"
-    low, high = "(n - 1) div 2 - below", "n div 2 - below"
+    low, high = "(n - 1) div 2", "n div 2"
     holds = "CASE WHEN upto - w <= {0} AND {0} < upto THEN {1} END"
     return [
         f"{p}_r{level} AS (SELECT w, mn, mx, {known}, sum(w) OVER (ORDER BY k) AS upto FROM {p}_h{level})",
-        f"{p}_s{level} AS (SELECT max(n) AS n, max(below) AS below, max(lo) AS lo, max(hi) AS hi, "
-        + ", ".join(f"max({holds.format(low, x)}) AS {y}" for x, y in
-                    (("mn", "l_mn"), ("mx", "l_mx"), ("upto - w", "skipped"), ("upto", "l_upto")))
+        f"{p}_s{level} AS (SELECT max(n) AS n, max(lo) AS lo, max(hi) AS hi, "
+        + ", ".join(f"max({holds.format(low, x)}) AS {y}" for x, y in (("mn", "l_mn"), ("mx", "l_mx"), ("upto", "l_upto")))
         + f", max({holds.format(high, 'mn')}) AS h_mn FROM {p}_r{level})",
         # ranks in two buckets: the largest value of one and the least of the other
-        f"{p}_c{level} AS (SELECT struct(n, below + skipped AS below, l_mx AS mx, "
-        f"CASE WHEN {high} < l_upto THEN l_mn ELSE l_mx END AS mn, "
+        f"{p}_c{level} AS (SELECT struct(n, l_mx AS mx, CASE WHEN {high} < l_upto THEN l_mn ELSE l_mx END AS mn, "
         f"coalesce(lo, CASE WHEN {high} >= l_upto THEN l_mx END) AS lo, "
         f"coalesce(hi, CASE WHEN {high} >= l_upto THEN h_mn END) AS hi) AS c FROM {p}_s{level})",
     ]
 
 
-def median_ctes(p: str, values: str) -> list[str]:
+def median_ctes(p: str, values: str, bounds: str | None = None) -> list[str]:
     """CTEs that end in ``{p}_m``: one row with n (the weights' sum), lo and hi (the values of
-    the middle ranks, null if there are none). ``values`` has x (double) and w (bigint)."""
-    parts = f"CASE WHEN mx > mn THEN floor((x - mn) / (mx - mn) * {PARTS}) ELSE 0L END"
+    the middle ranks, null if there are none). ``values`` has x (double) and w (bigint);
+    ``bounds`` names a CTE whose one struct c has n and bounds mn and mx of the middle
+    values, so that the first level can be left out."""
     ctes = [
-        f"{p}_v AS (SELECT x, CAST(sum(w) AS BIGINT) AS w FROM {values} WHERE x IS NOT NULL GROUP BY x HAVING sum(w) > 0)",
-        f"{p}_h1 AS (SELECT {_octave('x', FINE)} AS k, sum(w) AS w, min(x) AS mn, max(x) AS mx FROM {p}_v GROUP BY 1)",
-        *_chosen(p, 1),
-    ]
-    for level, key in ((2, parts), (3, "x")):
-        # values outside the range are one bucket (null, first) without weight
+        f"{p}_v AS (SELECT x, CAST(sum(w) AS BIGINT) AS w FROM {values} WHERE x IS NOT NULL GROUP BY x HAVING sum(w) > 0)"]
+    if bounds is None:
+        bounds = f"{p}_c1"
+        ctes += [
+            f"{p}_h1 AS (SELECT {_octave('x', FINE)} AS k, sum(w) AS w, min(x) AS mn, max(x) AS mx FROM {p}_v GROUP BY 1)",
+            *_chosen(p, 1, "sum(w) OVER () AS n, CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi"),
+        ]
+    parts = f"CASE WHEN mx > mn THEN floor((x - mn) / (mx - mn) * {PARTS}) ELSE 0L END"
+    for level, least, key in ((2, "-1L", parts), (3, "CAST('-Infinity' AS DOUBLE)", "x")):
+        # smaller values are the first bucket, larger ones a bucket (null) without weight
         ctes += [
-            f"{p}_k{level} AS (SELECT CASE WHEN x BETWEEN mn AND mx THEN {key} END AS k, x, w, n, below, lo, hi "
-            f"FROM (SELECT x, w, st.mn AS mn, st.mx AS mx, st.n AS n, st.below AS below, st.lo AS lo, st.hi AS hi "
-            f"FROM (SELECT x, w, (SELECT c FROM {p}_c{level - 1}) AS st FROM {p}_v)))",
+            f"{p}_k{level} AS (SELECT CASE WHEN x < mn THEN {least} WHEN x <= mx THEN {key} END AS k, x, w, n, lo, hi "
+            f"FROM (SELECT x, w, st.mn AS mn, st.mx AS mx, st.n AS n, st.lo AS lo, st.hi AS hi "
+            f"FROM (SELECT x, w, (SELECT c FROM {bounds}) AS st FROM {p}_v)))",
             f"{p}_h{level} AS (SELECT k, sum(CASE WHEN k IS NULL THEN 0L ELSE w END) AS w, min(x) AS mn, max(x) AS mx, "
-            f"max(n) AS n, max(below) AS below, max(lo) AS lo, max(hi) AS hi FROM {p}_k{level} GROUP BY k)",
-            *_chosen(p, level),
+            f"max(n) AS n, max(lo) AS lo, max(hi) AS hi FROM {p}_k{level} GROUP BY k)",
+            *_chosen(p, level, "n, lo, hi"),
         ]
-    ctes.append(f"{p}_m AS (SELECT c.n AS n, coalesce(c.lo, c.mn) AS lo, coalesce(c.hi, c.mx) AS hi FROM {p}_c3)")
+        bounds = f"{p}_c{level}"
+    ctes.append(f"{p}_m AS (SELECT c.n AS n, coalesce(c.lo, c.mn) AS lo, coalesce(c.hi, c.mx) AS hi FROM {bounds})")
     return ctes
 
 
 def pair_values(p: str, values: str, surfaces: str) -> list[str]:
     """CTEs that end in ``{p}_x``: weighted values with the median of value / surface over all
-    pairs of a parcel's values and surfaces. ``values`` has id_parcelle, x (double, positive)
+    pairs of a parcel's values and surfaces, and in ``{p}_bc``: bounds of that median. ``values`` has id_parcelle, x (double, positive)
     and w, ``surfaces`` id_parcelle, s (double, positive) and w."""
     def block(c: str) -> str:
         return f"CAST(floor(log2({c}) * {GRID}) AS INT)"
@@ -99,14 +101,14 @@ def pair_values(p: str, values: str, surfaces: str) -> list[str]:
         f"SELECT {_octave('e.x', FINE)} AS k, CASE WHEN e.low THEN w ELSE 0L END AS wl, CASE WHEN e.low THEN 0L ELSE w END AS wh, "
         f"CASE WHEN e.low THEN e.x END AS lo, CASE WHEN NOT e.low THEN e.x END AS hi FROM {p}_b "
         f"LATERAL VIEW explode(array(struct(lo AS x, true AS low), struct(hi AS x, false AS low))) t AS e) GROUP BY k)",
-        f"{p}_bc AS (SELECT struct(min(CASE WHEN cl > (n - 1) div 2 THEN lo END) AS lo, "
-        f"min(CASE WHEN ch > n div 2 THEN hi END) AS hi) AS c FROM (SELECT lo, hi, sum(wl) OVER () AS n, "
+        f"{p}_bc AS (SELECT struct(max(n) AS n, min(CASE WHEN cl > (n - 1) div 2 THEN lo END) AS mn, "
+        f"min(CASE WHEN ch > n div 2 THEN hi END) AS mx, CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi) AS c FROM (SELECT lo, hi, sum(wl) OVER () AS n, "
         f"sum(wl) OVER (ORDER BY k) AS cl, sum(wh) OVER (ORDER BY k) AS ch FROM {p}_bh))",
         # the side comes out of a generator, so no filter on it is pushed below the subquery and doubles it
-        f"{p}_d AS (SELECT id_parcelle, vg, sg, w, st.lo AS lo, st.hi AS hi, side "
+        f"{p}_d AS (SELECT id_parcelle, vg, sg, w, st.mn AS mn, st.mx AS mx, side "
         f"FROM (SELECT *, (SELECT c FROM {p}_bc) AS st FROM {p}_b) "
-        f"LATERAL VIEW explode(array(CASE WHEN hi < st.lo THEN -1 WHEN lo > st.hi THEN 1 ELSE 0 END)) t AS side)",
-        f"{p}_x AS (SELECT CASE side WHEN -1 THEN lo * 0.5D ELSE hi * 2D END AS x, w FROM {p}_d WHERE side <> 0 UNION ALL "
+        f"LATERAL VIEW explode(array(CASE WHEN hi < st.mn THEN -1 WHEN lo > st.mx THEN 1 ELSE 0 END)) t AS side)",
+        f"{p}_x AS (SELECT CASE side WHEN -1 THEN mn * 0.5D ELSE mx * 2D END AS x, w FROM {p}_d WHERE side <> 0 UNION ALL "
         f"SELECT v.x / s.s AS x, v.w * s.w AS w FROM {p}_d d "
         f"JOIN (SELECT *, {block('x')} AS g FROM {values}) v ON d.id_parcelle = v.id_parcelle AND d.vg = v.g "
         f"JOIN (SELECT *, {block('s')} AS g FROM {surfaces}) s ON d.id_parcelle = s.id_parcelle AND d.sg = s.g "
@@ -134,6 +136,6 @@ def median(values: DataFrame, value: str, weight: str | None = None) -> DataFram
 def pair_median(values: DataFrame, surfaces: DataFrame) -> DataFrame:
     """One row: n and median of value / surface over the pairs of every parcel. ``values`` has
     id_parcelle, x, w; ``surfaces`` id_parcelle, s, w."""
-    text = with_ctes([*pair_values("p", "{values}", "{surfaces}"), *median_ctes("m", "p_x")],
+    text = with_ctes([*pair_values("p", "{values}", "{surfaces}"), *median_ctes("m", "p_x", "p_bc")],
                      "SELECT n, lo + (hi - lo) * 0.5D AS median FROM m_m")
     return values.sparkSession.sql(text, values=values, surfaces=surfaces)

@@ -48,7 +48,7 @@ def kpi_text(pairs: str, values: str, surfaces: str, year: str = "NULL", propert
         f"surf AS (SELECT id_parcelle, CAST(surface_reelle_bati AS DOUBLE) AS s, b AS w FROM {surfaces} WHERE {of_type})",
         *selection.median_ctes("e", "price"),
         *selection.pair_values("p", "vals", "surf"),
-        *selection.median_ctes("m", "p_x"),
+        *selection.median_ctes("m", "p_x", "p_bc"),
     ]
     return selection.with_ctes(ctes, f"""
 SELECT coalesce(n, 0L) AS nb_ventes,
