@@ -234,35 +234,24 @@ def _split_long(text: str) -> list[bytes]:
 _NONE = np.int32(2**31 - 1)
 
 
-class Vocabulary:
-    """Byte strings by rank, and the rank of every pair whose concatenation has one."""
-
-    def __init__(self, path: str):
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, read_file(path).splitlines())}
-        self.ranks = ranks
-        self.single = np.full(256, -1, np.int32)
-        for n in range(256):
-            self.single[n] = ranks[bytes([n])]
-        self.pairs = {}
-        for word, rank in ranks.items():
-            for k in range(1, len(word)):
-                a, b = ranks.get(word[:k]), ranks.get(word[k:])
-                if a is not None and b is not None:
-                    self.pairs[a << 32 | b] = rank
-        keys = np.fromiter(self.pairs, np.int64, len(self.pairs))
+class Merger:
+    """Merges words pair by pair: lowest rank first, leftmost on ties, where a pair's rank is
+    the id that it becomes. ``single`` and ``last`` are the ids of a word's bytes and of its
+    last byte, ``pairs`` the rank of each pair of ids (a << 32 | b)."""
+
+    def __init__(self, single: np.ndarray, last: np.ndarray, pairs: dict[int, int]):
+        self.single, self.last, self.pairs = single, last, pairs
+        keys = np.fromiter(pairs, np.int64, len(pairs))
         order = np.argsort(keys)
         self.keys = np.append(keys[order], np.int64(2**63 - 1))
-        self.values = np.append(np.fromiter(self.pairs.values(), np.int32, len(keys))[order], _NONE)
-        size = max(ranks.values()) + 1                    # token bytes one after the other, by rank
-        lengths = np.zeros(size + 1, np.int64)
-        by_rank = sorted(ranks.items(), key=lambda x: x[1])
-        for word, rank in by_rank:
-            lengths[rank + 1] = len(word)
-        self.places = np.cumsum(lengths)
-        self.blob = np.frombuffer(b"".join(word for word, _ in by_rank), np.uint8)
+        self.values = np.append(np.fromiter(pairs.values(), np.int32, len(keys))[order], _NONE)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def _known(self, word: bytes) -> int | None:
+        """The id of a word that needs no merging."""
+        return None
+
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair; a negative id has none."""
         key = a.astype(np.int64) << 32 | b
@@ -278,6 +267,8 @@ class Vocabulary:
         ids = np.full((len(words), width + 1), -1, np.int32)
         ids[:, :width] = self.single[padded]
         ids[np.arange(width + 1) >= counts[:, None]] = -1
+        ends = np.arange(len(words)), counts - 1
+        ids[ends] = self.last[padded[ends]]
         rank = self._rank(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(words), width)
         left = np.arange(len(words))                      # rows that still merge
         done = ids.copy()
@@ -312,7 +303,7 @@ class Vocabulary:
 
     def _merge_long(self, word: bytes) -> bytes:
         """One word with a heap of its pairs; linked places, each merge adds two pairs at most."""
-        ids = [int(self.single[b]) for b in word]
+        ids = [*self.single[list(word[:-1])].tolist(), int(self.last[word[-1]])]
         after = [*range(1, len(ids)), -1]
         before = [*range(-1, len(ids) - 1)]
         pairs = self.pairs
@@ -337,7 +328,7 @@ class Vocabulary:
         new: list[bytes] = []
         for word in words:
             known = self.old.get(word)
-            if known is None and (rank := self.ranks.get(word)) is not None:
+            if known is None and (rank := self._known(word)) is not None:
                 known = rank.to_bytes(4, "little")
             if known is None and len(word) > SHORT_BYTES:
                 known = self._merge_long(word)
@@ -361,6 +352,32 @@ class Vocabulary:
             self._learn(new)
         return [b"".join(map(young.__getitem__, words)) for words in texts]
 
+
+class Vocabulary(Merger):
+    """Byte strings by rank; any two tokens merge whose concatenation has a rank."""
+
+    def __init__(self, path: str):
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, read_file(path).splitlines())}
+        self.ranks = ranks
+        pairs = {}
+        for word, rank in ranks.items():
+            for k in range(1, len(word)):
+                a, b = ranks.get(word[:k]), ranks.get(word[k:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = rank
+        single = np.array([ranks[bytes([n])] for n in range(256)], np.int32)
+        super().__init__(single, single, pairs)
+        size = max(ranks.values()) + 1                    # token bytes one after the other, by rank
+        lengths = np.zeros(size + 1, np.int64)
+        by_rank = sorted(ranks.items(), key=lambda x: x[1])
+        for word, rank in by_rank:
+            lengths[rank + 1] = len(word)
+        self.places = np.cumsum(lengths)
+        self.blob = np.frombuffer(b"".join(word for word, _ in by_rank), np.uint8)
+
+    def _known(self, word: bytes) -> int | None:
+        return self.ranks.get(word)
+
     def offsets(self, ids: np.ndarray) -> np.ndarray:
         """Byte place of every token in its text, and the text's length in bytes."""
         made = np.zeros(len(ids) + 1, np.int64)

@@ -42,9 +42,10 @@ def cut(docs: DataFrame, tokenizer_path: str, end_id: int = 0, window: int = WIN
         coder = encoder(tokenizer_path)
         for batch in batches:
             rows, held = [], 0
-            for doc_id, text, key in zip(*(batch.column(i) for i in range(3))):
-                ids = coder.encode(text.as_py() or "") + end
-                total, doc_id, key = len(ids) // 4, doc_id.as_py(), key.as_py()
+            doc_ids, texts, keys = (batch.column(i).to_pylist() for i in range(3))
+            for doc_id, ids, key in zip(doc_ids, coder.encode_batch(texts), keys):
+                ids += end
+                total = len(ids) // 4
                 for start in range(0, total, window):
                     part = ids[4 * start:4 * (start + window)]
                     rows.append((doc_id, start, len(part) // 4, zlib.crc32(part), total, key,
@@ -56,7 +57,7 @@ def cut(docs: DataFrame, tokenizer_path: str, end_id: int = 0, window: int = WIN
             if rows:
                 yield _batch(rows)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.xxhash64(F.col("doc_id").cast("long")).alias("row_key"))
     return rows.mapInArrow(run, PIECES)
 

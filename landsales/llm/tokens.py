@@ -1,97 +1,142 @@
-"""Exact token ids of whole texts with a word cache in front of the tokenizers library.
-
-Both vocabularies split a text before every white-space run that follows other
-characters, and never join ids over such a place. A text is therefore cut into
-units (white space, then the characters up to the next white space), each
-distinct unit is encoded once per task, and the ids are the units' ids in order.
-Texts with control characters U+001C-U+001F (white space to Python only), with
-the strings of special tokens, or, for a vocabulary that lower-cases, not in NFC
-before and after lower-casing are encoded whole. For such a vocabulary a unit of
-Latin letters is one word to the library, so its model encodes it directly.
+"""Exact token ids of whole texts, as the tokenizers library gives them, in batches.
+
+A byte vocabulary's texts are cut into words by the class tables of ``byte_bpe``; a
+vocabulary with word ends lower-cases and drops white space, so its texts are cut there
+and a piece of Latin letters is one word. Every distinct word of a batch that no earlier
+batch had is merged, all of them together (``byte_bpe.Merger`` with the vocabulary's own
+merges), and the ids are the words' ids in order. What is no plain word (marks, digits,
+other scripts, for the vocabulary with word ends) is encoded by the library, once per
+piece. Texts with the strings of special tokens, or, for a vocabulary that lower-cases,
+with control characters U+001C-U+001F (white space to Python only) or not in NFC before
+and after lower-casing, are encoded whole by the library.
 """
 
 from __future__ import annotations
 
+import json
 import re
-import struct
 import unicodedata
 from functools import lru_cache
 
 import numpy as np
 
-CACHE_UNITS = 400_000     # units in the young half of a worker's cache; units not met again leave with the old half
+from landsales.llm.byte_bpe import Merger, split_batch
+from landsales.llm.common import read_file
+
+CACHE_UNITS = 400_000     # pieces in the young half of a worker's cache; pieces not met again leave with the old half
 _PUNCTUATION = frozenset(".,;:!?")
-_UNIT = re.compile(r"\s*\S+|\s+")
 _CONTROL = re.compile("[\x1c-\x1f]")
 _LAST_LETTER = "\u024f"    # letters up to here are in NFC, and letters to every Unicode version
 
 
+def merger(path: str) -> Merger:
+    """The merges of a vocabulary file. Their ids rise with their order, so ids serve as ranks."""
+    from tokenizers.pre_tokenizers import ByteLevel
+    model = json.loads(read_file(path))["model"]
+    vocab, suffix = model["vocab"], model["end_of_word_suffix"] or ""
+    spelled = [""] * 256                        # the letters that stand for bytes; bytes that UTF-8 lacks have none
+    for code in [*range(0x900), *range(0x1000, 0xD000, 0x1000), *range(0xE000, 0x110000, 0x1000)]:
+        letters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(code))[0][0]
+        for byte, letter in zip(chr(code).encode(), letters):
+            spelled[byte] = letter
+    single = np.array([vocab.get(c, -1) for c in spelled], np.int32)
+    last = np.array([vocab.get(c + suffix, -1) for c in spelled], np.int32)
+    pairs, before = {}, -1
+    for merge in model["merges"]:
+        a, b = merge.split(" ") if isinstance(merge, str) else merge
+        made = vocab[a + b]
+        if made <= before:
+            raise ValueError(f"{path}: ids of merges don't rise with their order")
+        before = made
+        pairs.setdefault(vocab[a] << 32 | vocab[b], made)
+    return Merger(single, last, pairs)
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
         special = {t.content: n for n, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.mark, self.mark_id = next(iter(special.items()), (None, None))
-        # a vocabulary with word ends drops white space: its units are bare words. It lower-cases, letter by letter
+        # a vocabulary with word ends drops white space: its pieces are bare words. It lower-cases, letter by letter
         self.folds = bool(getattr(self.tokenizer.model, "end_of_word_suffix", None))
-        if self.folds:
-            spelled = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-            self.letters = {n: spelled(chr(n))[0][0] for n in range(0x80, ord(_LAST_LETTER) + 1)}
-            self.model = self.tokenizer.model
+        self.merger = merger(path)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """Ids of one word of lower-case Latin letters."""
-        ids = [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _learn(self, units: list[str]) -> None:
-        """Encode new units: words of Latin letters by the model, all others in one call,
-        where a special token between them parts them exactly."""
-        if self.folds:
-            others = []
-            for unit in units:
-                if unit.isalpha() and max(unit) <= _LAST_LETTER:
-                    self.young[unit] = self._word(unit)
-                else:
-                    others.append(unit)
-            units = others
-        if not units:
+    def encode(self, text: str) -> bytes:
+        return self.encode_batch([text])[0]
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        made = [self.whole(t) if self._odd(t) else None for t in texts]
+        rest = [t for t, ids in zip(texts, made) if ids is None]
+        found = iter(self._encode_folded(rest) if self.folds else self.merger.encode_batch(split_batch(rest)))
+        return [next(found) if ids is None else ids for ids in made]
+
+    def _odd(self, text: str) -> bool:
+        """Whether a text must be encoded whole."""
+        if self.special is not None and self.special.search(text):
+            return True
+        if not self.folds:
+            return False
+        low = text.lower()
+        return bool(_CONTROL.search(text)) or self.special is not None and self.special.search(low) is not None or \
+            not text.isascii() and not (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low))
+
+    # ---- vocabulary with word ends ----------------------------------------
+
+    def _encode_folded(self, texts: list[str]) -> list[bytes]:
+        if len(self.young) > CACHE_UNITS:
+            self.old, self.young = self.young, {}
+        pieces = [(t if "Σ" in t else t.lower()).split() for t in texts]
+        if new := set().union(*pieces).difference(self.young):
+            self._resolve(new)
+        young = self.young
+        return [b"".join(map(young.__getitem__, p)) for p in pieces]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """New pieces: words of Latin letters by their merges, all others in one call of the
+        library, where a special token between them parts them exactly."""
+        words = [p for p in pieces if p.isalpha() and max(p) <= _LAST_LETTER]
+        raw = [w.encode() for w in words]
+        self.young.update(zip(words, self.merger.encode_batch([[r] for r in raw])))
+        plain = set(words)
+        others = [p for p in pieces if p not in plain]
+        if not others:
             return
         if self.mark is None:
-            made = [self.whole(unit) for unit in units]
+            made = [self.whole(p) for p in others]
         else:
-            joined = self.tokenizer.encode_batch_fast([self.mark.join(units)], add_special_tokens=False)[0]
+            joined = self.tokenizer.encode_batch_fast([self.mark.join(others)], add_special_tokens=False)[0]
             ids = np.asarray(joined.ids, "<u4")
-            raw, cuts = ids.tobytes(), (np.flatnonzero(ids == self.mark_id) * 4).tolist()
-            made = [raw[x:y] for x, y in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
-        self.young.update(zip(units, made, strict=True))
-
-    def _parts(self, unit: str) -> tuple[str, ...]:
-        """A word and one mark after it are encoded apart, so both are shared by more units."""
-        if self.folds and "Σ" not in unit:
-            unit = unit.lower()
-        if unit[-1] in _PUNCTUATION and unit[:-1].lstrip(" ").isalpha():
-            return unit[:-1], unit[-1]
-        return (unit,)
-
-    def _resolve(self, units: set[str]) -> None:
+            packed, cuts = ids.tobytes(), (np.flatnonzero(ids == self.mark_id) * 4).tolist()
+            made = [packed[x:y] for x, y in zip([0, *(c + 4 for c in cuts)], [*cuts, len(packed)])]
+        self.young.update(zip(others, made, strict=True))
+
+    def _parts(self, piece: str) -> tuple[str, ...]:
+        """A word and one mark after it are encoded apart, so both are shared by more pieces."""
+        if "Σ" not in piece:
+            piece = piece.lower()
+        if piece[-1] in _PUNCTUATION and piece[:-1].isalpha():
+            return piece[:-1], piece[-1]
+        return (piece,)
+
+    def _resolve(self, pieces: set[str]) -> None:
         plan, new = [], set()
-        for unit in units:
-            known = self.old.get(unit)
+        for piece in pieces:
+            known = self.old.get(piece)
             if known is not None:
-                self.young[unit] = known
+                self.young[piece] = known
                 continue
-            parts = self._parts(unit)
-            plan.append((unit, parts))
+            parts = self._parts(piece)
+            plan.append((piece, parts))
             for part in parts:
                 if part not in self.young:
                     if part in self.old:
@@ -101,27 +146,8 @@ class Encoder:
         if new:
             self._learn(list(new))
         young = self.young
-        for unit, parts in plan:
-            young[unit] = young[parts[0]] if len(parts) == 1 else young[parts[0]] + young[parts[1]]
-
-    def encode(self, text: str) -> bytes:
-        if _CONTROL.search(text) or (self.special is not None and self.special.search(text)):
-            return self.whole(text)
-        if len(self.young) > CACHE_UNITS:
-            self.old, self.young = self.young, {}
-        if self.folds:
-            low = text.lower()
-            if self.special is not None and self.special.search(low) or not text.isascii() and not (
-                    unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low)):
-                return self.whole(text)
-            units = (text if "Σ" in text else low).split()
-        else:
-            units = _UNIT.findall(text)
-        made = list(map(self.young.get, units))
-        if None in made:
-            self._resolve({unit for unit, ids in zip(units, made) if ids is None})
-            made = map(self.young.__getitem__, units)
-        return b"".join(made)
+        for piece, parts in plan:
+            young[piece] = young[parts[0]] if len(parts) == 1 else young[parts[0]] + young[parts[1]]
 
 
 @lru_cache(maxsize=2)

@@ -220,19 +220,20 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str,
                                                "n_docs": [len(doc_ids)], "n_tokens": [size]})
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids = coder.encode(text.as_py() or "") + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), coder.encode_batch(batch.column(1).to_pylist())):
+                ids += end
                 if held and size + len(ids) // 4 > shard_tokens:
                     yield close()
                     doc_ids, lengths, held, size, seq = [], [], [], 0, seq + 1
-                doc_ids.append(doc_id.as_py())
+                doc_ids.append(doc_id)
                 lengths.append(len(ids) // 4)
                 held.append(ids)
                 size += len(ids) // 4
         if held:
             yield close()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     tie = F.xxhash64("text")
     ordered = rows.withColumn("tie", tie).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     manifest = stored(ordered.drop("tie").mapInArrow(write, schema), "wavelet-manifest")
