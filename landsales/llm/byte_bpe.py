@@ -27,6 +27,7 @@ import base64
 import heapq
 import sys
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import product
 
@@ -37,8 +38,8 @@ from pyspark.sql import functions as F
 
 from landsales.llm.common import read_file
 
-BLOCK_CHARS = 1 << 19      # characters whose places are found at once
-LANE_CHARS = 256           # characters of a lane
+BLOCK_CHARS = 1 << 17      # characters whose places are found at once
+LANE_CHARS = 128           # characters of a lane
 CACHE_SLICES = 300_000     # slices in the young half of a worker's cache
 SHORT_BYTES = 24           # slices up to here are merged side by side
 
@@ -183,21 +184,26 @@ def _slices(raw: bytes, places: list[int]) -> list[bytes]:
     return [raw[x:y] for x, y in zip(places, places[1:])]
 
 
-def split_batch(texts: list[str]) -> list[list[bytes]]:
-    """The words of each text, in UTF-8. Joined, they are the text."""
-    made: list[list[bytes]] = []
+def split_blocks(texts: list[str]) -> Iterator[list[list[bytes]]]:
+    """The words of each text, in UTF-8, for about BLOCK_CHARS of texts at a time. Joined, the
+    words are the text."""
     held: list[str] = []
     size = 0
     for text in texts:
         if held and size + len(text) > BLOCK_CHARS:
-            made += _split_joined(held)
+            yield _split_joined(held)
             held, size = [], 0
         if len(text) > BLOCK_CHARS:
-            made.append(_split_long(text))
+            yield [_split_long(text)]
         else:
             held.append(text)
             size += len(text) + 1
-    return made + (_split_joined(held) if held else [])
+    if held:
+        yield _split_joined(held)
+
+
+def split_batch(texts: list[str]) -> list[list[bytes]]:
+    return [words for block in split_blocks(texts) for words in block]
 
 
 def _split_joined(texts: list[str]) -> list[list[bytes]]:
@@ -352,6 +358,10 @@ class Merger:
             self._learn(new)
         return [b"".join(map(young.__getitem__, words)) for words in texts]
 
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        return self.encode_batch(split_batch(texts))
+
 
 class Vocabulary(Merger):
     """Byte strings by rank; any two tokens merge whose concatenation has a rank."""
@@ -419,7 +429,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     def run(batches):
         words = vocabulary(path)
         for batch in batches:
-            made = words.encode_batch(split_batch(batch.column(1).to_pylist()))
+            made = words.encode_texts(batch.column(1).to_pylist())
             places = [words.offsets(np.frombuffer(ids, "<u4")).astype("<u4").tobytes() for ids in made]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) // 4 for x in made], pa.int64()),

@@ -62,6 +62,14 @@ def read_file(uri: str) -> bytes:
         return stream.read()
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, with as many underscores before it as no column has yet (in any case of letters)."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def extended(df: DataFrame, **fields: T.DataType) -> T.StructType:
     """The schema of ``df`` with more columns at its end."""
     return T.StructType([*df.schema.fields, *(T.StructField(k, v) for k, v in fields.items())])

@@ -20,10 +20,11 @@ for every two components it joins. So every pair of a bucket that isn't yet
 connected is compared, and a hot bucket costs blocks, not rows. Components of all
 links are the classes.
 
-Defined results: texts without words (null, empty) are alone in their class;
-rows with a null doc_id have a null class; rows that repeat a doc_id share its
-class, and copies of any of their texts join it (near copies are sought for one
-of an id's different texts); an empty table gives an empty result.
+Defined results: null, empty and blank texts are alone in their class; texts of signs
+only, which have no words, are alike if they are equal; rows with a null doc_id have a
+null class; rows that repeat a doc_id share its class, and copies and near copies of any
+of their texts join it (each different text is a node of its own); an empty table gives
+an empty result. Only doc_id and text are read: other columns play no part.
 """
 
 from __future__ import annotations
@@ -128,9 +129,10 @@ def probability_jaccard(keys_a, weights_a, keys_b, weights_b) -> float:
 SKETCH = "doc_id long, print1 long, print2 long, buckets array<long>, bytes binary"
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, a 128-bit print of the word sequence, band keys and one byte per slot, of
-    every row with an id and at least one word."""
+def sketches(docs: DataFrame, with_text: bool = False) -> DataFrame:
+    """doc_id, a 128-bit print of the word sequence, band keys and one byte per slot (and the
+    text, if wanted), of every row with an id and at least one word."""
+    more = ["text"] if with_text else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,12 +156,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                     [batch.column(0)[a:b].take(pa.array(some)), pa.array(prints[0]), pa.array(prints[1]),
                      pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS),
                                               pa.array(band.reshape(-1).view(np.int64))),
-                     pa.array([row.tobytes() for row in low], pa.binary())],
-                    names=["doc_id", "print1", "print2", "buckets", "bytes"])
+                     pa.array([row.tobytes() for row in low], pa.binary()),
+                     *(batch.column(1)[a:b].take(pa.array(some)) for _ in more)],
+                    names=["doc_id", "print1", "print2", "buckets", "bytes", *more])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .where("doc_id IS NOT NULL AND text IS NOT NULL")
-    return rows.mapInArrow(run, SKETCH)
+    return rows.mapInArrow(run, SKETCH + ", text string" * with_text)
 
 
 # ---------------------------------------------------------------- comparisons
@@ -321,6 +324,34 @@ def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
         .select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct()
 
 
+def _sign_copies(docs: DataFrame) -> DataFrame:
+    """Links a > b from each id of a text that has signs but no word to the least id of the text."""
+    signs = docs.select(F.col("doc_id").cast("long").alias("a"), F.col("text").cast("string").alias("text")) \
+        .where("a IS NOT NULL").where(F.col("text").rlike(r"[^\x20\x09-\x0D]") & ~F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]")) \
+        .select("a", F.sha2("text", 256).alias("print"))
+    least = signs.groupBy("print").agg(F.min("a").alias("b"), F.max("a").alias("most")).where("b < most").select("print", "b")
+    return signs.join(least, "print").where("a > b").select("a", "b").distinct()
+
+
+def _own_ids(first: DataFrame, docs: DataFrame) -> DataFrame:
+    """Nodes of ids that name several (rows that repeat an id with other texts): id, print1,
+    print2 and node, the id for one of them and a number that no doc_id has for the others."""
+    again = first.groupBy("id").count().where("count > 1").select("id")
+    several = first.select("id", "print1", "print2").join(again, "id", "left_semi")
+    kept = several.groupBy("id").agg(F.min(F.struct("print1", "print2")).alias("kept"))
+    several = several.join(kept, "id").withColumn("is_kept", F.col("kept") == F.struct("print1", "print2"))
+    ids = docs.select(F.col("doc_id").cast("long").alias("node")).where("node IS NOT NULL")
+    salt = 0
+    while True:
+        drawn = stored(several.select("id", "print1", "print2", F.when(F.col("is_kept"), F.col("id")).otherwise(
+            F.xxhash64(F.lit(salt), "print1", "print2")).alias("node"), "is_kept"), "near-several")
+        made = drawn.where("NOT is_kept").select("node")
+        twice = made.groupBy("node").count().where("count > 1").select("node")
+        if made.join(ids, "node", "left_semi").unionByName(twice).isEmpty():
+            return drawn.select("id", "print1", "print2", "node")
+        salt += 1
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (the least doc_id of the class) of every distinct doc_id; a null
     id has a null class."""
@@ -331,14 +362,25 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                                        F.first("bytes").alias("bytes"))
     first = stored(first, "near-nodes")
     copies = drawn.select("doc_id", *prints).join(first.select("id", *prints), prints) \
-        .where(F.col("doc_id") != F.col("id")).select(F.col("doc_id").alias("a"), F.col("id").alias("b")).distinct()
-    # an id that names several nodes (rows that repeat it with other texts) is compared by one of them
+        .where(F.col("doc_id") != F.col("id")).select(F.greatest("doc_id", "id").alias("a"), F.least("doc_id", "id").alias("b")) \
+        .unionByName(_sign_copies(docs)).distinct()
     nodes = first.select("id", "buckets", "bytes")
-    if first.groupBy("id").count().where("count > 1").take(1):
-        nodes = stored(first.groupBy("id").agg(F.min_by("buckets", "print1").alias("buckets"),
-                                               F.min_by("bytes", "print1").alias("bytes")), "near-distinct")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")) \
         .where("id IS NOT NULL AND text IS NOT NULL")
+    # an id with several texts: as many nodes, each with its own text, linked to the id
+    repeated = stored(drawn.select("doc_id", *prints).distinct().groupBy("doc_id").count().where("count > 1")
+                      .select(F.col("doc_id").alias("id")), "near-repeated")
+    extra = not repeated.isEmpty()
+    if extra:
+        own = stored(_own_ids(first, docs), "near-own")
+        named = first.join(own, ["id", *prints], "left").withColumn("node", F.coalesce("node", "id"))
+        nodes = stored(named.select(F.col("node").alias("id"), "buckets", "bytes"), "near-distinct")
+        rows = sketches(docs.join(repeated, F.col("doc_id").cast("long") == F.col("id"), "left_semi"), with_text=True)
+        of_node = rows.select("doc_id", "text", *prints).join(named.select("id", "node", *prints), prints) \
+            .where(F.col("doc_id") == F.col("id")).groupBy("node").agg(F.min("text").alias("text"))
+        texts = texts.join(repeated, "id", "left_anti").unionByName(of_node.select(F.col("node").alias("id"), "text"))
+        links = own.where("id <> node").select(F.greatest("id", "node").alias("a"), F.least("id", "node").alias("b"))
+        copies = copies.unionByName(links)
     meets = nodes.select(F.explode("buckets").alias("bucket"), "id")
     shared = meets.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")) \
         .where("least < most").select("bucket", "least")
@@ -356,9 +398,13 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     found = _blocks(members, "text", BLOCK_ROWS, lambda *x: _linked_nodes(*x, similarity), "a long, b long")
     linked = stored(found.distinct(), "near-links")
     roots = components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(linked))
-    everything = roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(
-        copies.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    everything = roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(copies)
     final = components(everything)
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return ids.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
+    found = ids.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
         .select("doc_id", F.coalesce("root", "doc_id").alias("class_id"))
+    if extra:      # a class may be named by a node's number: its least doc_id takes its place
+        found = stored(found, "near-found")
+        least = found.groupBy("class_id").agg(F.min("doc_id").alias("least")).where("least <> class_id")
+        found = found.join(least, "class_id", "left").select("doc_id", F.coalesce("least", "class_id").alias("class_id"))
+    return found

@@ -17,9 +17,10 @@ so that they never run out. Only entities that drew more than
 once reach the rewriting pass, as corrections joined to their documents.
 
 Defined results: a null text stays null and has no entity; an empty text stays
-empty; rows with a null doc_id are rewritten with first-attempt surrogates (they
-cannot be joined to corrections); repeated rows are rewritten alike; an empty
-table gives an empty table.
+empty; rows with a null doc_id are rewritten like all others (corrections are joined
+by the text's hash where there is no id); repeated rows are rewritten alike; an empty
+table gives an empty table; a column of the documents that is called n_entities is
+replaced by the count, all others stay as they are.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landsales.llm.common import extended, stored
+from landsales.llm.common import extended, stored, unused
 
 KEY = b"surrogate-key"        # a parameter: pass the corpus's own secret key
 GROW = 8                      # attempts at the entity's own length
@@ -305,24 +306,30 @@ def render(entity_text: str, kind: str, surrogate: str) -> str:
 
 # ------------------------------------------------------------------ the jobs
 
-MENTIONS = "doc_id long, kind string, form string"
+MENTIONS = "row_key string, kind string, form string"
+
+
+def row_key(docs: DataFrame):
+    """What a row's corrections are joined by: its doc_id, or its text's hash if it has none."""
+    return F.coalesce(F.concat(F.lit("d"), docs["doc_id"].cast("long").cast("string")),
+                      F.concat(F.lit("t"), F.sha2(docs["text"].cast("string"), 256)))
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """doc_id, kind, form of every mention, once per document."""
+    """row_key, kind, form of every mention, once per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                rows += [(doc_id.as_py(), kind, form)
+            for key, text in zip(batch.column(0), batch.column(1)):
+                rows += [(key.as_py(), kind, form)
                          for kind, form in dict.fromkeys((e.kind, e.form) for e in find_entities(text.as_py()))]
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.string()))],
-                    names=["doc_id", "kind", "form"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.string()))],
+                    names=["row_key", "kind", "form"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+    return docs.select(row_key(docs).alias("row_key"), F.col("text").cast("string").alias("text")) \
         .mapInArrow(run, MENTIONS)
 
 
@@ -359,12 +366,15 @@ def surrogates(mentioned: DataFrame, key: bytes = KEY) -> DataFrame:
         drawn = stored(good.unionByName(_drawn(clash, key)), "pii-drawn")
 
 
-def rewrite(docs: DataFrame, corrections: DataFrame, key: bytes = KEY) -> DataFrame:
-    """``docs`` with text rewritten, and a column n_entities. corrections: doc_id and a
-    map from ``kind, NUL, form`` to the surrogate where it isn't the first drawn."""
+def rewrite(docs: DataFrame, corrections: DataFrame, key: bytes = KEY, count: str = "n_entities") -> DataFrame:
+    """``docs`` with text rewritten, and the number of entities in the column ``count``.
+    corrections: row_key and _fixes, a map from ``kind, NUL, form`` to the surrogate where it
+    isn't the first drawn."""
+    docs = docs.drop(count)
     names = docs.columns
-    rows = docs.join(corrections.withColumnRenamed("doc_id", "_fix_id"), F.col("doc_id") == F.col("_fix_id"), "left") \
-        .select(*[docs[c] for c in names], "_fixes")
+    id_at, fix_name = unused("fix_id", docs), unused("fixes", docs)
+    fixes_of = corrections.select(F.col("row_key").alias(id_at), F.col("_fixes").alias(fix_name))
+    rows = docs.join(fixes_of, row_key(docs) == F.col(id_at), "left").select(*[docs[c] for c in names], fix_name)
     at, fix_at = names.index("text"), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,17 +396,17 @@ def rewrite(docs: DataFrame, corrections: DataFrame, key: bytes = KEY) -> DataFr
                 counts.append(len(found))
             columns = [*batch.columns[:fix_at], pa.array(counts, pa.int64())]
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_entities"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, count])
 
-    return rows.mapInArrow(run, extended(docs, n_entities=T.LongType()))
+    return rows.mapInArrow(run, extended(docs, **{count: T.LongType()}))
 
 
-def pseudonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: bytes = KEY, count: str = "n_entities") -> DataFrame:
     """``docs`` (doc_id, text and any other columns) with surrogates in place of
-    personal data, and n_entities."""
+    personal data, and the number of entities in the column ``count``."""
     found = stored(mentions(docs), "pii-mentions")
     redrawn = surrogates(found, key).where("attempt > 0")
-    fixes = found.join(redrawn, ["kind", "form"]).where("doc_id IS NOT NULL") \
-        .select("doc_id", F.concat_ws("\x00", "kind", "form").alias("k"), F.col("surrogate").alias("v")).distinct() \
-        .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("_fixes"))
-    return rewrite(docs, stored(fixes, "pii-fixes"), key)
+    fixes = found.join(redrawn, ["kind", "form"]) \
+        .select("row_key", F.concat_ws("\x00", "kind", "form").alias("k"), F.col("surrogate").alias("v")).distinct() \
+        .groupBy("row_key").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("_fixes"))
+    return rewrite(docs, stored(fixes, "pii-fixes"), key, count)

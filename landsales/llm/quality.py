@@ -26,6 +26,8 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landsales.llm.common import unused
+
 BUCKETS = 1 << 14
 TARGET_DOCS = 20_000       # trusted documents the target is counted on (a bounded, hashed sample)
 PRIOR = 50                 # prior count of every bucket in both multinomials
@@ -92,7 +94,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
     """log p_target - log p_raw of every bucket. One row per bucket comes back, whatever
     the corpus; buckets are combined map-side."""
     trusted = F.broadcast(trusted_sample(labels))       # at most TARGET_DOCS ids
-    rows = docs.join(trusted, F.col("doc_id").cast("long") == F.col("trusted_id"), "left") \
+    rows = docs.select("doc_id", "text").join(trusted, F.col("doc_id").cast("long") == F.col("trusted_id"), "left") \
         .select(F.col("trusted_id").isNotNull().cast("long").alias("is_target"),
                 F.explode(ngram_buckets(word_hashes(word_list(F.col("text").cast("string"))))).alias("bucket"))
     counted = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("is_target").alias("target")).collect()
@@ -106,28 +108,48 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
     return [log((t + PRIOR) / (r * scale + PRIOR)) for t, r in zip(target, raw)]
 
 
-def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, quality_score and kept."""
+def verdicts(text: Column, ratios: list[float], threshold: float = THRESHOLD) -> Column:
+    """A struct of the measures, the score and the verdict of a text."""
     # a list of numbers that Spark folds to one literal
-    ratios = F.split(F.lit(",".join(map(repr, log_ratios(docs, labels)))), ",").cast("array<double>")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    ratio = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
+    text = F.coalesce(text.cast("string"), F.lit(""))
 
     def total(h: Column) -> Column:
-        each = F.transform(h, lambda x, i: F.get(ratios, bucket(x)) + F.get(ratios, bucket(x, F.get(h, i + 1))))
+        each = F.transform(h, lambda x, i: F.get(ratio, bucket(x)) + F.get(ratio, bucket(x, F.get(h, i + 1))))
         return F.aggregate(each, F.lit(0.0), lambda a, x: a + x)
 
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike("[^ \\t-\\r]"))
     measured = let(word_list(text), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         let(word_hashes(w), lambda h: F.struct(repeated_words(h).alias("repeat"), total(h).alias("total"))).alias("h")))
-    rows = docs.withColumn("_m", measured).withColumn(
-        "_dup", let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-    n_words, repeat = F.col("_m.n_words"), F.col("_m.h.repeat")
-    failed = (n_words < MIN_WORDS) | (100 * repeat > REPEAT_PERCENT * n_words)
-    score = F.when(n_words > 0, F.col("_m.h.total") / (2 * n_words))
-    return rows.select(
-        *[docs[c] for c in docs.columns], n_words.alias("n_words"), F.col("_m.word_chars").alias("word_chars"),
-        F.length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
-        F.col("_dup").alias("n_dup_lines"), repeat.alias("n_repeat_words"), failed.alias("base_failed"),
-        score.alias("quality_score"), (~failed & (score >= threshold)).alias("kept"))
+
+    def judged(m: Column) -> Column:
+        n_words, repeat = m["n_words"], m["h"]["repeat"]
+        failed = (n_words < MIN_WORDS) | (100 * repeat > REPEAT_PERCENT * n_words)
+        score = F.when(n_words > 0, m["h"]["total"] / (2 * n_words))
+        return F.struct(
+            n_words.alias("n_words"), m["word_chars"].alias("word_chars"),
+            F.length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
+            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            repeat.alias("n_repeat_words"), failed.alias("base_failed"), score.alias("quality_score"),
+            (~failed & (score >= threshold)).alias("kept"))
+
+    return let(measured, judged)
+
+
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality_score", "kept"]
+
+
+def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with the columns of MEASURES; they replace columns of ``docs`` of the same name."""
+    at = unused("verdict", docs)
+    judged = docs.withColumn(at, verdicts(F.col("text"), log_ratios(docs, labels), threshold))
+    return judged.select(*[judged[c] for c in docs.columns if c.lower() not in MEASURES],
+                         *[F.col(at)[c].alias(c) for c in MEASURES])
+
+
+def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns as they are."""
+    at = unused("verdict", docs)
+    judged = docs.withColumn(at, verdicts(F.col("text"), log_ratios(docs, labels), threshold)["kept"])
+    return judged.where(F.col(at)).drop(at)

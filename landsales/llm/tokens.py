@@ -2,11 +2,11 @@
 
 A byte vocabulary's texts are cut into words by the class tables of ``byte_bpe``; a
 vocabulary with word ends lower-cases and drops white space, so its texts are cut there
-and a piece of Latin letters is one word. Every distinct word of a batch that no earlier
-batch had is merged, all of them together (``byte_bpe.Merger`` with the vocabulary's own
-merges), and the ids are the words' ids in order. What is no plain word (marks, digits,
-other scripts, for the vocabulary with word ends) is encoded by the library, once per
-piece. Texts with the strings of special tokens, or, for a vocabulary that lower-cases,
+and a piece of Latin letters is one word. Distinct words that no earlier batch had are
+merged together (``byte_bpe.Merger`` with the vocabulary's own merges) or, for the
+vocabulary with word ends, one by one by the library's model; other pieces (marks,
+digits, other scripts) go to the library in one call. The ids are the words' ids in
+order. Texts with the strings of special tokens, or, for a vocabulary that lower-cases,
 with control characters U+001C-U+001F (white space to Python only) or not in NFC before
 and after lower-casing, are encoded whole by the library.
 """
@@ -15,12 +15,13 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 from functools import lru_cache
 
 import numpy as np
 
-from landsales.llm.byte_bpe import Merger, split_batch
+from landsales.llm.byte_bpe import Merger
 from landsales.llm.common import read_file
 
 CACHE_UNITS = 400_000     # pieces in the young half of a worker's cache; pieces not met again leave with the old half
@@ -30,17 +31,16 @@ _LAST_LETTER = "\u024f"    # letters up to here are in NFC, and letters to every
 
 
 def merger(path: str) -> Merger:
-    """The merges of a vocabulary file. Their ids rise with their order, so ids serve as ranks."""
+    """The merges of a byte vocabulary's file. Their ids rise with their order, so ids serve as ranks."""
     from tokenizers.pre_tokenizers import ByteLevel
     model = json.loads(read_file(path))["model"]
-    vocab, suffix = model["vocab"], model["end_of_word_suffix"] or ""
+    vocab = model["vocab"]
     spelled = [""] * 256                        # the letters that stand for bytes; bytes that UTF-8 lacks have none
     for code in [*range(0x900), *range(0x1000, 0xD000, 0x1000), *range(0xE000, 0x110000, 0x1000)]:
         letters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(code))[0][0]
         for byte, letter in zip(chr(code).encode(), letters):
             spelled[byte] = letter
     single = np.array([vocab.get(c, -1) for c in spelled], np.int32)
-    last = np.array([vocab.get(c + suffix, -1) for c in spelled], np.int32)
     pairs, before = {}, -1
     for merge in model["merges"]:
         a, b = merge.split(" ") if isinstance(merge, str) else merge
@@ -49,7 +49,7 @@ def merger(path: str) -> Merger:
             raise ValueError(f"{path}: ids of merges don't rise with their order")
         before = made
         pairs.setdefault(vocab[a] << 32 | vocab[b], made)
-    return Merger(single, last, pairs)
+    return Merger(single, single, pairs)
 
 
 class Encoder:
@@ -57,13 +57,19 @@ class Encoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
         special = {t.content: n for n, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.mark, self.mark_id = next(iter(special.items()), (None, None))
         # a vocabulary with word ends drops white space: its pieces are bare words. It lower-cases, letter by letter
         self.folds = bool(getattr(self.tokenizer.model, "end_of_word_suffix", None))
-        self.merger = merger(path)
+        if self.folds:
+            spelled = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            self.letters = {n: spelled(chr(n))[0][0] for n in range(0x80, ord(_LAST_LETTER) + 1)}
+            self.model = self.tokenizer.model
+        else:
+            self.merger = merger(path)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -77,7 +83,7 @@ class Encoder:
         """The ids of each text."""
         made = [self.whole(t) if self._odd(t) else None for t in texts]
         rest = [t for t, ids in zip(texts, made) if ids is None]
-        found = iter(self._encode_folded(rest) if self.folds else self.merger.encode_batch(split_batch(rest)))
+        found = iter(map(self._folded, rest) if self.folds else self.merger.encode_texts(rest))
         return [next(found) if ids is None else ids for ids in made]
 
     def _odd(self, text: str) -> bool:
@@ -92,23 +98,30 @@ class Encoder:
 
     # ---- vocabulary with word ends ----------------------------------------
 
-    def _encode_folded(self, texts: list[str]) -> list[bytes]:
+    def _folded(self, text: str) -> bytes:
         if len(self.young) > CACHE_UNITS:
             self.old, self.young = self.young, {}
-        pieces = [(t if "Σ" in t else t.lower()).split() for t in texts]
-        if new := set().union(*pieces).difference(self.young):
-            self._resolve(new)
-        young = self.young
-        return [b"".join(map(young.__getitem__, p)) for p in pieces]
+        pieces = (text if "Σ" in text else text.lower()).split()
+        made = list(map(self.young.get, pieces))
+        if None in made:
+            self._resolve({piece for piece, ids in zip(pieces, made) if ids is None})
+            made = map(self.young.__getitem__, pieces)
+        return b"".join(made)
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one word of lower-case Latin letters."""
+        ids = [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, pieces: list[str]) -> None:
-        """New pieces: words of Latin letters by their merges, all others in one call of the
+        """New pieces: words of Latin letters by the model, all others in one call of the
         library, where a special token between them parts them exactly."""
-        words = [p for p in pieces if p.isalpha() and max(p) <= _LAST_LETTER]
-        raw = [w.encode() for w in words]
-        self.young.update(zip(words, self.merger.encode_batch([[r] for r in raw])))
-        plain = set(words)
-        others = [p for p in pieces if p not in plain]
+        others = []
+        for piece in pieces:
+            if piece.isalpha() and max(piece) <= _LAST_LETTER:
+                self.young[piece] = self._word(piece)
+            else:
+                others.append(piece)
         if not others:
             return
         if self.mark is None:
