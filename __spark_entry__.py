@@ -14,16 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landsales.functions.cleaning import clean_rows
+from landsales.functions.display import kpi_text
 from landsales.plans import layers as Ly
 from landsales.plans import reports as R
 from landsales.plans.driver_snapshot import CENTRES_MARKER, snapshot_for, year_files
-from landsales.plans.load import pending_frame, table_counts
+from landsales.plans.load import load, pending_frame, table_counts
 from landsales.plans.sql_surface import register
 from landsales.plans.oracle_sql import (EMPTY_YEAR, HOT_PARCEL, KPI_TYPE, KPI_YEAR, SPLIT_YEAR, TOP_DEPT,
                                         oracle_queries)
 from landsales.schemas import PUBLISHED, RAW_COLUMNS
-from landsales.sources.geo import read_outlines
-from landsales.sources.raw_files import read_raw_files, year_marker
+from landsales.session import new_work_dir
+from landsales.sources.geo import first_source_wins, read_commune_centres, read_outlines
+from landsales.sources.raw_files import RAW_FILE_WORD, collect_year_files, read_raw_files, year_marker
+from landsales.store import Store
 
 try:        # the training-data operators are optional: the rest works without them
     import corpus_pipeline
@@ -79,6 +82,76 @@ def _hot_tables(spark: SparkSession, sf_dir: str):
     return {name: t[name] for name in PUBLISHED}
 
 
+def _split_state(spark: SparkSession, sf_dir: str):
+    """The store filled by two loads, and its state after each of them."""
+    store = snapshot_for(spark, sf_dir, SPLIT_YEAR).split_store
+    batches = store.state()["batches"]
+    return store, batches[:1], batches
+
+
+def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lines set aside, by file, reason and first field."""
+    lines = snapshot_for(spark, sf_dir, SPLIT_YEAR).store.rejected_lines()
+    folder = F.element_at(F.split("file", "/"), -2)
+    return lines.select(folder.alias("file"), "reason", F.substring_index("line", "|", 1).alias("first_field"))
+
+
+def _centres_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: communes of two sources; the first one's centre wins."""
+    snap = snapshot_for(spark, sf_dir, SPLIT_YEAR)
+    return first_source_wins([read_commune_centres(spark, path, json_array=False)
+                              for path in (snap.centres, snap.more_centres)])
+
+
+def _source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file found for each year and for one that has none, with its lines."""
+    snap = snapshot_for(spark, sf_dir, SPLIT_YEAR)
+    found = collect_year_files(snap.landing, [EMPTY_YEAR, *snap.years], lambda _: None)
+    out = None
+    for year, path in found.items():
+        rows = read_raw_files(spark, [path]).agg(F.count(F.lit(1)).alias("rows"))
+        rows = rows.select(F.lit(year).alias("annee"), F.lit(path.rsplit("/", 1)[-1]).alias("filename"), "rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _snapshot_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales and manifest rows seen before any load, after the first and the
+    second, after a load with nothing new, and after a full reload of the late years."""
+    snap = snapshot_for(spark, sf_dir, SPLIT_YEAR)
+    store, first, both = _split_state(spark, sf_dir)
+    late = [y for y in snap.years if y > SPLIT_YEAR]
+    again = Store(spark, new_work_dir(spark, "reload"))
+    load(spark, again.root, snap.landing, snap.years, log=lambda _: None)
+    same = again.state()["batches"]
+    load(spark, again.root, snap.landing, snap.years, log=lambda _: None)
+    republished = again.state()["batches"]
+    load(spark, again.root, snap.landing, late, full_reload=True, log=lambda _: None)
+    steps = [("empty", store, []), ("first", store, first), ("second", store, both), ("one_load", again, same),
+             ("nothing_new", again, republished), ("full_reload", again, again.state()["batches"])]
+    out = None
+    for name, of, batches in steps:
+        files = of.table("elt_file", batches).where(F.col("filename").startswith(RAW_FILE_WORD)).agg(F.count("loaded_at"))
+        row = of.table("mutation", batches).agg(F.count(F.lit(1)).alias("sales")) \
+            .select(F.lit(name).alias("step"), "sales", files.scalar().alias("files"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _chosen_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A selector's "all" entries mean no filter, its others one; the KPI as display
+    texts, the years of the evolution as labels."""
+    t = _tables(spark, sf_dir)
+    out = None
+    for picked in ("Toutes", str(KPI_YEAR)):
+        kpi = R.kpi(t, R.choice(picked, "Toutes", int), R.choice("Tous", "Tous"))
+        row = kpi.select(F.lit(picked).alias("part"), *kpi_text(*[F.col(c) for c in kpi.columns]))
+        out = row if out is None else out.unionByName(row)
+    labels = Ly.year_labels(R.price_evolution(t)).groupBy("annee").agg(F.count(F.lit(1)).cast("string").alias("n"))
+    absent = [F.lit(None).cast("string").alias(c) for c in out.columns[2:]]
+    return out.unionByName(labels.select(F.col("annee").alias("part"), F.col("n").alias(out.columns[1]), *absent))
+
+
 def _incremental_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three reports of a store filled by two loads, from the derived tables that the second
     load added to: year and type, or commune, with sales and mean price per m2."""
@@ -155,6 +228,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["kpi_hot"] = lambda s, d: R.kpi(_hot_tables(s, d))
     q["kpi_hot_empty"] = lambda s, d: R.kpi(_hot_tables(s, d), EMPTY_YEAR)
     q["incremental_reports"] = _incremental_reports
+    q["rejects"] = _rejects
+    q["centres_two_sources"] = _centres_two_sources
+    q["source_files"] = _source_files
+    q["snapshot_steps"] = _snapshot_steps
+    q["chosen_reports"] = _chosen_reports
     q["price_evolution"] = _report(R.price_evolution)
     q["sales_per_year"] = _report(R.sales_per_year)
     q["type_shares"] = _report(R.type_shares)

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landsales.operators.hot_join import hot_join
+
 
 def _dbl(c: str) -> Column:
     return F.col(c).cast("double")
@@ -37,7 +39,7 @@ def qualifying_premises(t: dict[str, DataFrame], property_type: str | None = Non
     cond = F.col("surface_reelle_bati") > 0
     if property_type is not None:
         cond = cond & (F.col("type_local") == F.lit(property_type))
-    return t["local"].where(cond).select("id_parcelle", "type_local", "surface_reelle_bati")
+    return t["local"].where(cond).select("id_local", "id_parcelle", "type_local", "surface_reelle_bati")
 
 
 def sale_parcels(t: dict[str, DataFrame], year: int | None = None) -> DataFrame:
@@ -54,8 +56,9 @@ def parcel_types(surfaces: DataFrame, parcelle: DataFrame) -> DataFrame:
     return per_type.join(parcelle, "id_parcelle")
 
 
-def _with_pair_sums(sold: DataFrame, types: DataFrame) -> DataFrame:
-    return sold.join(types, "id_parcelle").select(
+def _with_pair_sums(sold: DataFrame, types: DataFrame, links: DataFrame) -> DataFrame:
+    """``links`` holds the parcels of the sales, to tell busy ones by."""
+    return hot_join(sold, types, "id_parcelle", "id_mutation", "type_local", left_keys=links).select(
         "id_mutation", "annee", "valeur_fonciere", "id_parcelle", "code_commune", "type_local",
         (_dbl("valeur_fonciere") * F.col("inv_surf")).alias("pair_sum"),
         F.col("n_prem").cast("long").alias("pair_n"))
@@ -80,15 +83,18 @@ def sale_parcel_types(t: dict[str, DataFrame], year: int | None = None,
     surfaces = parcel_surfaces(t)
     if property_type is not None:
         surfaces = surfaces.where(F.col("type_local") == F.lit(property_type))
-    return _with_pair_sums(sale_parcels(t, year), parcel_types(surfaces, t["parcelle"]))
+    return _with_pair_sums(sale_parcels(t, year), parcel_types(surfaces, t["parcelle"]),
+                           t["mutation_parcelle"])
 
 
 def pairs(t: dict[str, DataFrame], year: int | None = None,
           property_type: str | None = None) -> DataFrame:
-    """The qualifying pairs themselves (output-sized by definition)."""
-    sp = sale_parcels(t, year)
-    prem = qualifying_premises(t, property_type).join(t["parcelle"], "id_parcelle")
-    return sp.join(prem, "id_parcelle").select(
+    """The qualifying pairs themselves (output-sized by definition). A busy parcel's sales
+    and premises meet in blocks, not in one task."""
+    premises = qualifying_premises(t, property_type)
+    placed = premises.join(t["parcelle"], "id_parcelle")
+    return hot_join(sale_parcels(t, year), placed, "id_parcelle", "id_mutation", "id_local",
+                    t["mutation_parcelle"], premises).select(
         "id_mutation", "annee", "valeur_fonciere", "type_local", "surface_reelle_bati",
         "code_commune")
 
@@ -131,6 +137,6 @@ def derived_changes(before: dict[str, DataFrame], added: dict[str, DataFrame], k
     return {
         "parcel_surfaces": surfaces,
         "parcel_sale_values": _sale_values(sold),
-        "sale_parcel_types": _with_pair_sums(sold, types(surfaces.unionByName(met)))
-        .unionByName(_with_pair_sums(old_sold, types(surfaces))),
+        "sale_parcel_types": _with_pair_sums(sold, types(surfaces.unionByName(met)), added["mutation_parcelle"])
+        .unionByName(_with_pair_sums(old_sold, types(surfaces), old_links)),
     }

@@ -35,6 +35,7 @@ class DriverSnapshot:
     landing: str
     years: list[int]
     centres: str
+    more_centres: str
     outlines: str
     store: Store            # all years in one load
     split_year: int
@@ -100,7 +101,7 @@ def snapshot_for(spark: SparkSession, sf_dir: str, split_year: int = 1998) -> Dr
             info["work"] = work
             fs.write_text_atomic(pointer, json.dumps(info))
         snap = DriverSnapshot(spark, work, f"{work}/landing", info["years"], info["centres"],
-                              info["outlines"], Store(spark, f"{work}/store"), split_year)
+                              info["more_centres"], info["outlines"], Store(spark, f"{work}/store"), split_year)
         _CACHE[key] = snap
         return snap
 

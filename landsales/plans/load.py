@@ -22,7 +22,7 @@ from landsales.operators.keyed import new_rows
 from landsales.plans.sql_surface import register_views
 from landsales.schemas import ENTITY_TABLES, KEYS, PUBLISHED, YEAR
 from landsales.sources.geo import first_source_wins, read_commune_centres
-from landsales.sources.raw_files import collect_year_files, read_raw_files, year_marker
+from landsales.sources.raw_files import FILE, LINE, REASON, collect_year_files, read_lines, year_marker
 from landsales.session import new_work_dir
 from landsales.sources import fs
 from landsales.store import ConcurrentPublication, Store, new_batch
@@ -35,6 +35,10 @@ class CentreSource:
     json_array: bool = True
 
 
+class RejectedLines(RuntimeError):
+    """More raw lines than allowed can't be read."""
+
+
 @dataclass
 class LoadResult:
     snapshot: int
@@ -80,10 +84,13 @@ ATTEMPTS = 5
 
 def load(spark: SparkSession, store_root: str, landing: str, years: list[int],
          centres: list[CentreSource] = (), full_reload: bool = False,
-         quote: str | None = None, log=print) -> LoadResult:
-    """Load what the manifest lacks and publish. If another load publishes meanwhile, this one
-    starts anew from the new snapshot: what it had written is not visible to anybody."""
-    return retried(lambda: _load(spark, store_root, landing, years, centres, full_reload, quote, log), log)
+         quote: str | None = None, log=print, max_rejected: int | None = None) -> LoadResult:
+    """Load what the manifest lacks and publish. Raw lines that can't be read are set aside in
+    ``Store.rejected_lines``; more than ``max_rejected`` of them (0: any) are an error. If
+    another load publishes meanwhile, this one starts anew from the new snapshot: what it
+    had written is not visible to anybody."""
+    return retried(lambda: _load(spark, store_root, landing, years, centres, full_reload, quote, log,
+                                 max_rejected), log)
 
 
 def retried(run, log=print):
@@ -97,7 +104,7 @@ def retried(run, log=print):
 
 
 def _load(spark: SparkSession, store_root: str, landing: str, years: list[int], centres: list[CentreSource],
-          full_reload: bool, quote: str | None, log) -> LoadResult:
+          full_reload: bool, quote: str | None, log, max_rejected: int | None) -> LoadResult:
     store = Store(spark, store_root)
     state = store.state()
     visible = [] if full_reload else list(state["batches"])
@@ -122,9 +129,10 @@ def _load(spark: SparkSession, store_root: str, landing: str, years: list[int],
     if todo_centres:
         geo = first_source_wins([read_commune_centres(spark, c.path, c.json_array)
                                  for c in todo_centres])
-    raw = read_raw_files(spark, list(paths.values()), quote) if paths else None
-    markers = [c.marker for c in todo_centres] + [year_marker(y) for y in paths]
-    result = append_batch(spark, store, state, visible, raw, geo, markers, log)
+    files, parts = unread_parts(spark, manifest, paths)
+    raw = read_lines(spark, files, quote) if files else None
+    markers = [c.marker for c in todo_centres] + parts + [year_marker(y) for y in paths]
+    result = append_batch(spark, store, state, visible, raw, geo, markers, log, max_rejected)
     t0 = time.monotonic()
     register_views(spark, store)
     result.seconds["register_views"] = time.monotonic() - t0
@@ -133,11 +141,29 @@ def _load(spark: SparkSession, store_root: str, landing: str, years: list[int],
     return result
 
 
+def unread_parts(spark: SparkSession, manifest: DataFrame, paths: dict[int, str]) -> tuple[list[str], list[str]]:
+    """Files to read for the years, and their manifest names where a year's folder has been read
+    in part (by a stream): its other parts only. A year is in the manifest when all its parts are."""
+    begun = {r[0] for r in manifest.where(F.col("filename").contains("/")).select(
+        F.substring_index("filename", "/", 1)).distinct().collect()}
+    files, names = [], []
+    for path in paths.values():
+        if fs.base_name(path) not in begun:
+            files.append(path)
+            continue
+        parts = {fs.part_name(e.path): e.path for e in fs.data_files(path)}
+        todo = pending_markers(spark, manifest, list(parts))
+        files += [parts[n] for n in todo]
+        names += todo
+    return files, names
+
+
 def append_batch(spark: SparkSession, store: Store, state: dict, visible: list[str], raw: DataFrame | None,
-                 centres: DataFrame | None, markers: list[str], log=print) -> LoadResult:
+                 centres: DataFrame | None, markers: list[str], log=print,
+                 max_rejected: int | None = None) -> LoadResult:
     """Clean, derive, append by key and publish one batch (K1, K2, K4, K6).
 
-    ``raw`` holds raw text rows (with a ``_rejected`` flag), ``centres`` the
+    ``raw`` holds raw text rows with the lines set aside (``read_lines``), ``centres`` the
     (code_commune, latitude, longitude) rows; either may be None. ``state`` is the snapshot
     that the batch follows, ``visible`` the batches it adds to. Replaying a batch is
     harmless: every table is appended by key, existing rows win.
@@ -159,19 +185,27 @@ def append_batch(spark: SparkSession, store: Store, state: dict, visible: list[s
     if raw is not None:
         t0 = time.monotonic()
         obs = Observation("raw")
-        raw = raw.observe(obs, F.count(F.lit(1)).alias("rows"),
-                          F.sum(F.col("_rejected").cast("long")).alias("rejected"))
+        raw = raw.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(REASON).alias("rejected"))
         # The clean rows feed five entities: parse and hash them once into a
         # staged Parquet table in the shared checkpoint folder (one pass that
-        # also yields the K9 counts). Each entity then reads only its columns,
-        # and a lost executor re-reads files instead of re-parsing raw text.
+        # also yields the K9 counts and the lines set aside). Each entity then
+        # reads only its columns, and a lost executor re-reads files instead of
+        # re-parsing raw text.
         staging = new_work_dir(spark, "staging")
-        clean_rows(raw).write.mode("overwrite").parquet(staging)
-        clean = spark.read.parquet(staging)
+        rows = clean_rows(raw).withColumn("_aside", F.col(REASON).isNotNull().cast("int"))
+        rows.write.partitionBy("_aside").parquet(staging)
+        staged = spark.read.schema(rows.schema).parquet(staging)
+        clean = staged.where("_aside = 0").drop(REASON, FILE, LINE, "_aside")
         result.seconds["load"] = time.monotonic() - t0
         metrics = obs.get
-        result.raw_rows = int(metrics.get("rows") or 0)
         result.rejected_rows = int(metrics.get("rejected") or 0)
+        result.raw_rows = int(metrics.get("rows") or 0) - result.rejected_rows
+        if max_rejected is not None and result.rejected_rows > max_rejected:
+            fs.delete_tree(staging)
+            raise RejectedLines(f"{result.rejected_rows:,} raw lines can't be read ({max_rejected:,} allowed); nothing was published")
+        if result.rejected_rows:
+            store.write_rejected(staged.where("_aside = 1").select(F.col(FILE).alias("file"), F.col(REASON).alias("reason"),
+                                                               F.col(LINE).alias("line")), batch)
         # Keys of sales hold their year: only published rows of these years can have them.
         years = [r[0] for r in clean.select(YEAR).distinct().collect()]
         built = entities.derive(clean)

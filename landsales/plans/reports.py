@@ -36,7 +36,7 @@ def sale_premises(t: Tables, year: int | None = None, property_type: str | None
     return P.pairs(t, year, property_type)
 
 
-def kpi_text(pairs: str, values: str, surfaces: str, year: str = "NULL", property_type: str = "NULL") -> str:
+def kpi_sql(pairs: str, values: str, surfaces: str, year: str = "NULL", property_type: str = "NULL") -> str:
     """R1 as one SELECT. ``pairs``, ``values`` and ``surfaces`` name the relations
     sale_parcel_types, parcel_sale_values and parcel_surfaces; ``year`` and ``property_type``
     are SQL literals or parameters, NULL for all."""
@@ -72,7 +72,7 @@ def kpi(t: Tables, year: int | None = None, property_type: str | None = None) ->
         vals = vals.where(F.col("annee") == F.lit(year))
     if property_type is not None:
         surf = surf.where(F.col("type_local") == F.lit(property_type))
-    return vals.sparkSession.sql(kpi_text("{pairs}", "{vals}", "{surf}"), vals=vals, surf=surf,
+    return vals.sparkSession.sql(kpi_sql("{pairs}", "{vals}", "{surf}"), vals=vals, surf=surf,
                                  pairs=P.sale_parcel_types(t, year, property_type))
 
 

@@ -22,7 +22,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landsales.plans.reports import kpi_text
+from landsales.operators.pairs import pairs
+from landsales.plans.reports import kpi_sql
 
 BASE_VIEWS = {
     "ls_sales": """
@@ -50,9 +51,6 @@ SELECT id_parcelle, annee, valeur_fonciere, count(*) AS a FROM ls_sale_parcels G
     "ls_parcel_surfaces": """
 SELECT id_parcelle, type_local, surface_reelle_bati, count(*) AS b FROM ls_premises
 GROUP BY id_parcelle, type_local, surface_reelle_bati""",
-    "v_vente_local": """
-SELECT sp.id_mutation, sp.annee, sp.valeur_fonciere, p.type_local, p.surface_reelle_bati, p.code_commune
-FROM ls_sale_parcels sp JOIN ls_premises p ON sp.id_parcelle = p.id_parcelle""",
     "v_prix_m2_evolution": """
 SELECT annee, type_local AS type_bien, round(sum(s) / sum(n), 0) AS prix_m2_moyen, count(*) AS nb_ventes
 FROM (SELECT annee, type_local, id_mutation, sum(pair_sum) AS s, sum(pair_n) AS n
@@ -72,7 +70,7 @@ FUNCTIONS = {
     "kpi_ventes": ("p_annee INT DEFAULT NULL, p_type STRING DEFAULT NULL",
                    "nb_ventes BIGINT, volume_total_eur DECIMAL(38,2), prix_median_eur DECIMAL(15,2), "
                    "prix_m2_median_eur DOUBLE",
-                   kpi_text("ls_sale_parcel_types", "ls_parcel_sale_values", "ls_parcel_surfaces", "p_annee", "p_type")),
+                   kpi_sql("ls_sale_parcel_types", "ls_parcel_sale_values", "ls_parcel_surfaces", "p_annee", "p_type")),
     "repartition_types": ("p_annee INT DEFAULT NULL",
                           "type_bien STRING, nb_transactions BIGINT, part_pct DOUBLE",
                           """
@@ -143,10 +141,11 @@ def register(spark: SparkSession, tables: dict[str, DataFrame]) -> list[str]:
             tables[DERIVED_VIEWS[name]].createOrReplaceTempView(name)   # materialised
             continue
         spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS {body}")
+    pairs(tables).createOrReplaceTempView("v_vente_local")
     for name, (params, returns, body) in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) "
                   f"RETURNS TABLE ({returns}) RETURN {body}")
-    return list(tables) + list(BASE_VIEWS) + list(FUNCTIONS)
+    return list(tables) + list(BASE_VIEWS) + ["v_vente_local"] + list(FUNCTIONS)
 
 
 def register_views(spark: SparkSession, store) -> list[str]:

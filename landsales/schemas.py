@@ -119,6 +119,13 @@ def empty_table(spark, name: str):
     return spark.createDataFrame([], PUBLISHED[name])
 
 
+# Lines of raw files that were set aside: their file, why, and their text.
+REJECTED = {"rejected_lines": T.StructType([
+    T.StructField("file", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("line", T.StringType()),
+])}
+
 # Derived tables: each load appends what it adds; counts and sums of a key are added up.
 DERIVED = {
     "sale_parcel_types": T.StructType([

@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landsales.schemas import RAW_COLUMNS
 from landsales.sources.raw_files import year_marker
 
 
@@ -28,7 +29,10 @@ def _pad(col, width: int):
 
 
 def adapter_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw line per lineitem, with the 18 raw columns and ``_year``."""
+    """One raw line per lineitem, with the 18 raw columns and ``_year``.
+
+    Some hold what the cleaning must cope with: no-break spaces around a name, one-digit
+    dates and dates that don't exist, amounts and surfaces beyond their type, half rooms."""
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
                                               "l_linenumber", "l_quantity")
     od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
@@ -44,15 +48,19 @@ def adapter_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit("."), F.lit(","))
     return j.select(
         F.col("l_orderkey").cast("string").alias("No disposition"),
-        F.date_format("o_orderdate", "dd/MM/yyyy").alias("Date mutation"),
+        F.when(F.col("o_orderkey") % 103 == 0, F.concat(F.lit("31/02/"), F.year("o_orderdate").cast("string")))
+         .when(F.col("o_orderkey") % 19 == 0, F.date_format("o_orderdate", "d/M/yyyy"))
+         .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("Date mutation"),
         F.when(F.col("o_orderstatus") == "P", "Echange").otherwise("Vente").alias("Nature mutation"),
-        F.when(F.col("o_orderkey") % 97 == 0, "").otherwise(price).alias("Valeur fonciere"),
+        F.when(F.col("o_orderkey") % 97 == 0, "").when(F.col("o_orderkey") % 107 == 0, "123456789012345,67")
+         .otherwise(price).alias("Valeur fonciere"),
         F.col("l_linenumber").cast("string").alias("No voie"),
         F.when(F.col("l_linenumber") % 3 == 0, "B").otherwise("").alias("B/T/Q"),
         F.when(F.col("l_suppkey") % 2 == 0, "RUE").otherwise("AV").alias("Type de voie"),
         F.col("p_name").alias("Voie"),
         F.concat(dept, F.lit("000")).alias("Code postal"),
-        F.concat(F.lit("COMMUNE "), dept, comm).alias("Commune"),
+        F.when(F.col("l_suppkey") % 3 == 0, F.concat(F.lit("\u00a0COMMUNE "), dept, comm, F.lit("\u2003 ")))
+         .otherwise(F.concat(F.lit("COMMUNE "), dept, comm)).alias("Commune"),
         dept.alias("Code departement"),
         comm.alias("Code commune"),
         F.when(F.col("l_suppkey") % 5 == 0, " 101 ").otherwise("").alias("Prefixe de section"),
@@ -61,9 +69,10 @@ def adapter_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_partkey") % 5 + 1).cast("string").alias("No plan"),
         F.when(F.col("l_partkey") % 11 == 0, "").otherwise(F.col("p_type")).alias("Type local"),
         F.when(F.col("l_orderkey") % 13 == 0, "")
-         .when(F.col("l_orderkey") % 17 == 0, "0")
+         .when(F.col("l_orderkey") % 17 == 0, "0").when(F.col("l_orderkey") % 37 == 0, "123456789.5")
          .otherwise(F.col("l_quantity").cast("int").cast("string")).alias("Surface reelle bati"),
         F.when(F.col("l_orderkey") % 13 == 0, "")
+         .when(F.col("l_orderkey") % 23 == 0, F.concat(F.col("l_linenumber").cast("string"), F.lit(".5")))
          .otherwise(F.col("l_linenumber").cast("string")).alias("Nombre pieces principales"),
         F.year("o_orderdate").alias("_year"),
     )
@@ -86,6 +95,16 @@ def adapter_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_code.select("code", centre.alias("centre"))
 
 
+def adapter_more_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second source of centres: every commune, one degree further north."""
+    cu = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    k = F.col("c_custkey") % 1000
+    moved = cu.groupBy(F.concat(_pad(F.col("c_nationkey"), 2), _pad(k, 3)).alias("code")).agg(
+        (F.max((k % 512).cast("double") / 64.0) + 42.0).alias("lat"), F.max((k % 256).cast("double") / 64.0).alias("lon"))
+    point = F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates"))
+    return moved.select("code", point.alias("centre"))
+
+
 def adapter_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A FeatureCollection with one square feature per nation (= département).
 
@@ -105,24 +124,35 @@ def adapter_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select(F.lit("FeatureCollection").alias("type"), "features")
 
 
-CSV_WRITE = {"sep": "|", "header": "true", "quote": "", "emptyValue": "",
-             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+def adapter_lines(rows: DataFrame) -> DataFrame:
+    """Raw rows as lines of a file: of some, the line comes once more cut short after three
+    fields, of some once more with a byte that is no UTF-8. Neither may be loaded."""
+    fields = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in RAW_COLUMNS]
+    line = F.concat_ws("|", *fields)
+    order, number = F.col("`No disposition`").cast("long"), F.col("`No voie`")
+    bad = F.concat_ws("|", *fields[:7]).cast("binary")
+    bad = F.concat(bad, F.unhex(F.lit("7CFF7C")), F.concat_ws("|", *fields[8:]).cast("binary")).cast("string")
+    lines = F.array_compact(F.array(
+        line, F.when((order % 29 == 0) & (number == "1"), F.concat_ws("|", *fields[:3])),
+        F.when((order % 31 == 0) & (number == "1"), bad)))
+    header = F.lit("|".join(RAW_COLUMNS))
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0       # of its file
+    return rows.select(F.explode(F.when(first, F.concat(F.array(header), lines)).otherwise(lines)).alias("value"))
 
 
 def stage_landing(spark: SparkSession, sf_dir: str, landing: str) -> dict:
     """Write the production-shaped inputs under ``landing``.
 
-    Returns {"years": [...], "centres": path, "outlines": path}. The raw rows
-    are persisted once and written as one `valeursfoncieres-<year>.txt` folder
-    per calendar year.
+    Returns {"years": [...], "centres": path, "more_centres": path, "outlines": path}. The raw
+    rows are persisted once and written as one `valeursfoncieres-<year>.txt` folder per
+    calendar year.
     """
     rows = adapter_raw_rows(spark, sf_dir).persist()
     try:
         years = sorted(r[0] for r in rows.select("_year").distinct().collect() if r[0] is not None)
 
         def write_year(year: int) -> None:
-            (rows.where(F.col("_year") == year).drop("_year")
-             .write.mode("overwrite").options(**CSV_WRITE).csv(f"{landing}/{year_marker(year)}"))
+            adapter_lines(rows.where(F.col("_year") == year)).write.mode("overwrite").text(f"{landing}/{year_marker(year)}")
 
         # One Spark job per year, submitted together so they share the cluster.
         with ThreadPoolExecutor(max_workers=max(1, len(years))) as pool:
@@ -133,4 +163,6 @@ def stage_landing(spark: SparkSession, sf_dir: str, landing: str) -> dict:
     adapter_centres(spark, sf_dir).write.mode("overwrite").json(centres)
     outlines = f"{landing}/departements.geojson"
     adapter_outlines(spark, sf_dir).coalesce(1).write.mode("overwrite").json(outlines)
-    return {"years": years, "centres": centres, "outlines": outlines}
+    more = f"{landing}/more-centres.json"
+    adapter_more_centres(spark, sf_dir).write.mode("overwrite").json(more)
+    return {"years": years, "centres": centres, "more_centres": more, "outlines": outlines}

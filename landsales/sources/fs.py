@@ -69,6 +69,21 @@ def files_below(uri: str) -> list[Entry]:
     return sorted(out, key=lambda e: e.path)
 
 
+def data_files(uri: str) -> list[Entry]:
+    """The files of a folder that hold data (names with '_' or '.' first are bookkeeping)."""
+    return [e for e in files_below(uri) if not e.name.startswith(("_", "."))]
+
+
+def base_name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def part_name(path: str) -> str:
+    """Manifest name of a file: its own, with its folder's if it is a part of a ``*.txt`` folder."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{base_name(folder)}/{name}" if folder.endswith(".txt") else name
+
+
 def exists(uri: str) -> bool:
     fs, path, _ = _open(uri)
     return fs.exists(path)
@@ -146,7 +161,7 @@ def first_line(uri: str) -> str | None:
     if not fs.exists(path):
         return None
     if fs.getFileStatus(path).isDirectory():
-        data = [e.path for e in files_below(uri) if not e.name.startswith(("_", "."))]
+        data = [e.path for e in data_files(uri)]
         if not data:
             return None
         path = sc._jvm.org.apache.hadoop.fs.Path(data[0])

@@ -1,21 +1,26 @@
 """Locate and scan the yearly `|`-delimited raw files.
 
-Every column is read as text so that leading zeros in codes survive. Each file
-is scanned on its own and its columns are selected **by name**, then the files
-are unioned by name: a single multi-path CSV read would map columns by position
-from the first file's header.
+Every column is read as text so that leading zeros in codes survive. Files are read as
+lines of bytes: a line that is no UTF-8, or has another number of fields than its header,
+is set aside with its file and the reason, and no part of it is loaded. Files with equal
+headers are one scan, however many they are; columns are taken by name, so files may
+order them differently.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landsales.schemas import RAW_COLUMNS
 from landsales.sources.fs import first_line, list_dir
 
-CORRUPT = "_corrupt_record"
+# Columns of a line that is set aside: why, its file, and its text (bad bytes as U+FFFD).
+REASON, FILE, LINE = "_reason", "_file", "_line"
+BAD_BYTES, BAD_FIELDS = "encoding", "fields"
 
 # Fixed value: the word every yearly raw file name contains (any case).
 RAW_FILE_WORD = "valeursfoncieres"
@@ -47,50 +52,78 @@ def collect_year_files(folder: str, years: list[int], log=print) -> dict[int, st
     return found
 
 
-def _reader(spark: SparkSession, quote: str | None):
-    # quote=None means "unquoted": a lone '"' inside a field stays text.
-    return (spark.read.option("sep", "|").option("header", True)
-            .option("quote", quote if quote is not None else "")
-            .option("escape", "\\").option("mode", "PERMISSIVE")
-            .option("encoding", "UTF-8"))
-
-
-def file_header(spark: SparkSession, path: str, quote: str | None = None) -> list[str]:
-    """Column names from the file's first line (read on the driver: one line).
-
-    Falls back to Spark's own header parsing for quoted headers."""
+def header_of(path: str, quote: str | None = None) -> list[str]:
+    """Column names from a file's first line (read on the driver: one line)."""
     line = first_line(path)
     if line is None:
         raise FileNotFoundError(path)
-    if quote is None or quote == "" or quote not in line:
-        return line.split("|")
-    return _reader(spark, quote).csv(path).columns
-
-
-def read_raw_file(spark: SparkSession, path: str, quote: str | None = None) -> DataFrame:
-    """S1+S2 for one file: its 18 used columns by name, plus a reject flag.
-
-    The schema is taken from the file's own header (all text) with a corrupt
-    record column appended, so ragged lines are kept and counted, not dropped.
-    """
-    header = file_header(spark, path, quote)
-    missing = [c for c in RAW_COLUMNS if c not in header]
+    names = line.split("|")
+    if quote:
+        names = [n[1:-1] if len(n) > 1 and n[0] == n[-1] == quote else n for n in names]
+    missing = [c for c in RAW_COLUMNS if c not in names]
     if missing:
         raise ValueError(f"{path}: missing required column(s) {missing}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
-                          + [T.StructField(CORRUPT, T.StringType())])
-    df = (_reader(spark, quote).schema(schema)
-          .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    return df.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS],
-                     F.col(CORRUPT).isNotNull().alias("_rejected"))
-
-
-def read_raw_files(spark: SparkSession, paths: list[str], quote: str | None = None) -> DataFrame:
-    """S1 + U1: all files, unioned by column name."""
+    return names
+
+
+def by_header(paths: list[str], quote: str | None = None) -> dict[tuple[str, ...], list[str]]:
+    """Paths grouped by their header."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = list(pool.map(lambda p: tuple(header_of(p, quote)), paths))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, header in zip(paths, headers):
+        groups.setdefault(header, []).append(path)
+    return groups
+
+
+def with_file(lines: DataFrame) -> DataFrame:
+    """Lines (value) with the file that each comes from."""
+    return lines.select("value", F.col("_metadata.file_path").alias(FILE))
+
+
+def parse_lines(lines: DataFrame, header: list[str], quote: str | None = None) -> DataFrame:
+    """S1+S2: the 18 used columns by name, and REASON, FILE and LINE of lines set aside (null
+    otherwise). ``lines`` has value and FILE. Header and blank lines are no rows."""
+    text = F.when(F.col("value").startswith("\ufeff"), F.expr("substring(value, 2)")).otherwise(F.col("value"))
+    names = "|".join(header)
+    quoted = "|".join(f"{quote}{n}{quote}" for n in header) if quote else names
+    rows = lines.where(~text.isin(names, quoted) & (F.trim("value") != ""))
+    if quote:
+        schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(header))]
+                              + [T.StructField("bad", T.StringType())])
+        options = {"sep": "|", "quote": quote, "escape": "\\", "columnNameOfCorruptRecord": "bad"}
+        rows = rows.withColumn("_f", F.from_csv(text, schema.simpleString()[7:-1].replace(":", " "), options))
+        ragged = F.col("_f.bad").isNotNull()
+
+        def field(k: int) -> Column:
+            return F.col(f"_f.c{k}")
+    else:
+        rows = rows.withColumn("_f", F.split(text, r"\|", -1))
+        ragged = F.size("_f") != len(header)
+
+        def field(k: int) -> Column:
+            return F.nullif(F.get(F.col("_f"), F.lit(k)), F.lit(""))
+
+    reason = F.when(~F.is_valid_utf8("value"), BAD_BYTES).when(ragged, BAD_FIELDS)
+    rows = rows.withColumn(REASON, reason)
+    good = F.col(REASON).isNull()
+    return rows.select(*[F.when(good, field(header.index(c))).alias(c) for c in RAW_COLUMNS], REASON,
+                       F.when(~good, F.col(FILE)).alias(FILE),
+                       F.when(~good, F.make_valid_utf8("value")).alias(LINE))
+
+
+def read_lines(spark: SparkSession, paths: list[str], quote: str | None = None) -> DataFrame:
+    """S1 + U1: all files, one scan per group of equal headers, unioned by column name, with
+    the lines set aside (see ``parse_lines``)."""
     if not paths:
         raise ValueError("no raw file to read")
-    frames = [read_raw_file(spark, p, quote) for p in paths]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
+    out = None
+    for header, group in by_header(paths, quote).items():
+        frame = parse_lines(with_file(spark.read.text(group)), list(header), quote)
+        out = frame if out is None else out.unionByName(frame)
     return out
+
+
+def read_raw_files(spark: SparkSession, paths: list[str], quote: str | None = None) -> DataFrame:
+    """The raw rows of all files, without the lines set aside."""
+    return read_lines(spark, paths, quote).where(F.col(REASON).isNull()).select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])

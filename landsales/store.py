@@ -4,6 +4,7 @@ Layout under ``root``::
 
     tables/<table>/batch=<name>/[annee=<year>/]part-*.parquet    one folder per load
     derived/<table>/batch=<name>/[annee=<year>/]part-*.parquet   what the load adds to the derived tables
+    rejects/rejected_lines/batch=<name>/part-*.parquet           raw lines that the load set aside
     snapshots/<number>.json                                      {"snapshot": s, "batches": [..]}
 
 A load writes only its *new* rows, below a batch name that no other load has, and then
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landsales.schemas import DERIVED, KEYS, LAYOUT, PUBLISHED, YEAR, empty_table
+from landsales.schemas import DERIVED, KEYS, LAYOUT, PUBLISHED, REJECTED, YEAR, empty_table
 from landsales.sources import fs
 
 SNAPSHOTS = "snapshots"
@@ -132,6 +133,15 @@ class Store:
     def write_derived(self, name: str, rows: DataFrame, batch: str) -> None:
         self._write("derived", name, rows.select(*DERIVED[name].names), batch)
 
+    def rejected_lines(self, batches: list[str] | None = None) -> DataFrame:
+        """Raw lines that the visible loads set aside: file, reason, line."""
+        name, schema = next(iter(REJECTED.items()))
+        rows = self._read("rejects", schema, name, self.state()["batches"] if batches is None else batches)
+        return self.spark.createDataFrame([], schema) if rows is None else rows.select(*schema.names)
+
+    def write_rejected(self, rows: DataFrame, batch: str) -> None:
+        self._write("rejects", "rejected_lines", rows, batch)
+
     def tables(self, batches: list[str] | None = None) -> dict[str, DataFrame]:
         """Published tables; for the current snapshot also its derived tables."""
         visible = self.state()["batches"] if batches is None else batches

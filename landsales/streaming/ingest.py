@@ -5,88 +5,78 @@ files arrive continuously in a landing folder, Structured Streaming's file
 source does that bookkeeping itself: its checkpoint records every file
 already read, and ``trigger(availableNow=True)`` processes all files present
 at start, then stops (run it on a schedule, or use ``processingTime`` to keep
-it running). Each micro-batch goes through the same clean -> entities ->
-keyed append -> publish steps as the batch load (``append_batch``), so each
+it running). Each micro-batch goes through the same parse -> clean -> entities
+-> keyed append -> publish steps as the batch load (``append_batch``), so each
 one becomes a new snapshot. A replayed micro-batch (after a crash between
 publish and checkpoint commit) is harmless: appends are keyed, existing rows
 win.
 
-The stream reads a fixed schema, so every file must carry the header of the
-first file found (checked with ``enforceSchema=false``).
+Stream and batch share the manifest. A file of a year's folder is entered as a
+part of it, and the year itself once all files of the folder are in: a batch load
+reads the missing parts of a half-streamed year only. The files of a micro-batch
+may differ in their headers; those of equal headers are parsed together.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from landsales.plans.load import append_batch, retried
-from landsales.schemas import RAW_COLUMNS
-from landsales.sources.fs import first_line, list_dir
-from landsales.sources.raw_files import CORRUPT, RAW_FILE_WORD
+from landsales.plans.load import append_batch, pending_markers, retried
+from landsales.sources import fs
+from landsales.sources.raw_files import FILE, RAW_FILE_WORD, by_header, parse_lines, with_file
 from landsales.store import Store
 
 
-def _marker(path: str) -> str:
-    """Manifest name of a streamed file: its own name, with its folder's if it is one
-    part of a ``*.txt`` folder. A part never claims the whole year: a batch load still
-    reads the folder, and appending by key makes that harmless."""
-    parent, name = os.path.split(path.rstrip("/"))
-    folder = os.path.basename(parent)
-    return f"{folder}/{name}" if folder.endswith(".txt") else name
-
-
-def _header(landing: str) -> list[str]:
-    for entry in list_dir(landing):
-        if entry.name.endswith(".txt") and RAW_FILE_WORD in entry.name.lower():
-            line = first_line(entry.path)
-            if line:
-                return line.split("|")
-    raise FileNotFoundError(f"no raw file in {landing} to take the header from")
-
-
-def raw_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    header = _header(landing)
-    missing = [c for c in RAW_COLUMNS if c not in header]
-    if missing:
-        raise ValueError(f"landing files lack required column(s) {missing}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
-                          + [T.StructField(CORRUPT, T.StringType())])
-    reader = (spark.readStream.schema(schema).option("sep", "|").option("header", True)
-              .option("quote", "").option("enforceSchema", False)
-              .option("columnNameOfCorruptRecord", CORRUPT))
+def line_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Lines (value) of the raw files, with their file."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(f"{landing.rstrip('/')}/*{RAW_FILE_WORD}*.txt")
-    return stream.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS],
-                         F.col(CORRUPT).isNotNull().alias("_rejected"),
-                         F.col("_metadata.file_path").alias("_file"))
+    return with_file(reader.text(f"{landing.rstrip('/')}/*{RAW_FILE_WORD}*.txt"))
+
+
+def _parsed(lines: DataFrame, files: list[str]) -> DataFrame:
+    out = None
+    for header, group in by_header(files).items():
+        frame = parse_lines(lines.where(F.col(FILE).isin(group)), list(header))
+        out = frame if out is None else out.unionByName(frame)
+    return out
+
+
+def _markers(spark: SparkSession, store: Store, visible: list[str], files: list[str]) -> list[str]:
+    """Manifest names of the files, and of the folders that are complete with them."""
+    names = {fs.part_name(f) for f in files}
+    manifest = store.table("elt_file", visible)
+    for folder in sorted({f.rsplit("/", 1)[0] for f in files if f.rsplit("/", 1)[0].endswith(".txt")}):
+        others = [n for e in fs.data_files(folder) if (n := fs.part_name(e.path)) not in names]
+        if not pending_markers(spark, manifest, others):
+            names.add(fs.base_name(folder))
+    return sorted(names)
 
 
 def ingest_available(spark: SparkSession, landing: str, store_root: str, checkpoint: str,
-                     max_files_per_trigger: int | None = None, log=print) -> int:
-    """Process every file not yet seen, then stop; returns micro-batches run."""
+                     max_files_per_trigger: int | None = None, log=print, max_rejected: int | None = None) -> int:
+    """Process every file not yet seen, then stop; returns micro-batches run. Lines that can't be
+    read are set aside as in ``load``."""
     store = Store(spark, store_root)
     done = []
 
-    def process(batch: DataFrame, epoch: int) -> None:
+    def process(lines: DataFrame, epoch: int) -> None:
         # Files of this micro-batch (bounded by maxFilesPerTrigger).
-        files = [r[0] for r in batch.select("_file").distinct().collect()]
+        files = [r[0] for r in lines.select(FILE).distinct().collect()]
         if not files:
             return
-        markers = sorted({_marker(f) for f in files})
 
         def append():
             state = store.state()
-            return append_batch(spark, store, state, list(state["batches"]), batch.drop("_file"), None, markers, log)
+            visible = list(state["batches"])
+            return append_batch(spark, store, state, visible, _parsed(lines, files), None,
+                                _markers(spark, store, visible, files), log, max_rejected)
 
-        res = retried(append, log)
-        done.append((epoch, res.snapshot))
+        done.append((epoch, retried(append, log).snapshot))
 
-    query = (raw_stream(spark, landing, max_files_per_trigger).writeStream
+    query = (line_stream(spark, landing, max_files_per_trigger).writeStream
              .foreachBatch(process).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()

@@ -2,12 +2,13 @@
 
 import json
 import os
+import time
 
 import pytest
 
 from landsales.schemas import RAW_COLUMNS
 from landsales.sources.geo import first_source_wins, read_commune_centres, read_outlines
-from landsales.sources.raw_files import find_year_file, read_raw_files
+from landsales.sources.raw_files import FILE, LINE, REASON, find_year_file, read_lines, read_raw_files
 
 
 def _write_raw(path, columns, rows):
@@ -55,9 +56,45 @@ def test_ragged_line_is_flagged(spark, work):
         f.write("|".join(cols) + "\n")
         f.write("|".join(["x"] * len(cols)) + "\n")
         f.write("|".join(["y"] * 3) + "\n")
-    df = read_raw_files(spark, [f"{work}/r.txt"])
-    flags = sorted(r["_rejected"] for r in df.collect())
-    assert flags == [False, True]
+    rows = read_lines(spark, [f"{work}/r.txt"]).collect()
+    assert [(r[REASON], r[LINE]) for r in rows] == [(None, None), ("fields", "y|y|y")]
+    assert rows[1][FILE].endswith("/r.txt") and rows[1]["Section"] is None
+    assert read_raw_files(spark, [f"{work}/r.txt"]).count() == 1
+
+
+def test_bytes_that_are_no_text_are_set_aside(spark, work):
+    cols = list(RAW_COLUMNS)
+    with open(f"{work}/b.txt", "wb") as f:
+        f.write("\ufeff".encode() + "|".join(cols).encode() + b"\r\n")
+        f.write("|".join(["é"] * len(cols)).encode() + b"\r\n\r\n")
+        f.write(b"\xe9|" + "|".join(["x"] * (len(cols) - 1)).encode() + b"\n")
+    rows = read_lines(spark, [f"{work}/b.txt"]).collect()
+    assert [r[REASON] for r in rows] == [None, "encoding"] and rows[0]["Section"] == "é" and rows[0][cols[-1]] == "é"
+    assert rows[1][LINE].startswith("\ufffd|x")
+
+
+def test_a_quoted_file(spark, work):
+    cols = list(RAW_COLUMNS)
+    with open(f"{work}/q.txt", "w") as f:
+        f.write("|".join(f'"{c}"' for c in cols) + "\n")
+        f.write("|".join(['"a|b"'] + [f'"{k}"' for k in range(1, len(cols))]) + "\n")
+        f.write('"a"|"b"\n')
+    rows = read_lines(spark, [f"{work}/q.txt"], quote='"').collect()
+    assert rows[0][cols[0]] == "a|b" and rows[0][cols[5]] == "5" and [r[REASON] for r in rows] == [None, "fields"]
+
+
+def test_many_files_are_one_scan_per_header(spark, work):
+    cols = list(RAW_COLUMNS)
+    paths = []
+    for k in range(1000):
+        order = cols if k % 2 else cols[::-1]
+        _write_raw(f"{work}/f{k}.txt", order, [_row(order, **{"No plan": str(k)})])
+        paths.append(f"{work}/f{k}.txt")
+    began = time.monotonic()
+    df = read_raw_files(spark, paths)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert time.monotonic() - began < 60 and plan.count("FileScan text") == 2
+    assert df.selectExpr("count(*) AS n", "sum(CAST(`No plan` AS INT)) AS s").first() == (1000, 499500)
 
 
 def test_find_year_file(work):
