@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landsales.schemas import RAW_COLUMNS
-from landsales.sources.fs import first_line, list_dir
+from landsales.sources.fs import data_files, exists, first_line, list_dir
 
 # Columns of a line that is set aside: why, its file, and its text (bad bytes as U+FFFD).
 REASON, FILE, LINE = "_reason", "_file", "_line"
@@ -67,12 +67,19 @@ def header_of(path: str, quote: str | None = None) -> list[str]:
 
 
 def by_header(paths: list[str], quote: str | None = None) -> dict[tuple[str, ...], list[str]]:
-    """Paths grouped by their header."""
+    """Files grouped by their header; a folder is its files, or stands for them if they agree."""
+    files = {path: [e.path for e in data_files(path) if e.size] for path in paths}
+    missing = [path for path in paths if not files[path] and not exists(path)]
+    if missing:
+        raise FileNotFoundError(missing[0])
     with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(lambda p: tuple(header_of(p, quote)), paths))
+        each = [f for found in files.values() for f in found]
+        headers = dict(zip(each, pool.map(lambda f: tuple(header_of(f, quote)), each)))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(paths, headers):
-        groups.setdefault(header, []).append(path)
+    for path, found in files.items():
+        own = {headers[f] for f in found}
+        for f in [path] if len(own) == 1 else found:
+            groups.setdefault(next(iter(own)) if len(own) == 1 else headers[f], []).append(f)
     return groups
 
 
