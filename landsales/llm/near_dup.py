@@ -29,6 +29,7 @@ an empty result. Only doc_id and text are read: other columns play no part.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -126,13 +127,28 @@ def probability_jaccard(keys_a, weights_a, keys_b, weights_b) -> float:
     return float((1 / (more_x[at] / x + less_y[at] / y)).sum())
 
 
+def _of_signs(batch: pa.RecordBatch, wordless: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of texts that have signs but no word."""
+    some = [k for k, t in zip(wordless.tolist(), batch.column(1).take(pa.array(wordless)).to_pylist()) if t.encode().strip()]
+    if some:
+        part = batch.take(pa.array(some))
+        prints = np.array([np.frombuffer(hashlib.blake2b(t.encode(), digest_size=16).digest(), "<i8")
+                           for t in part.column(1).to_pylist()])
+        none = pa.array([[]] * len(some), pa.list_(pa.int64()))
+        columns = [part.column(0), pa.array(prints[:, 0]), pa.array(prints[:, 1]), none, pa.array([b""] * len(some), pa.binary()),
+                   part.column(1)]
+        yield pa.RecordBatch.from_arrays(columns[:len(names)], names=names)
+
+
 SKETCH = "doc_id long, print1 long, print2 long, buckets array<long>, bytes binary"
 
 
 def sketches(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, a 128-bit print of the word sequence, band keys and one byte per slot (and the
-    text, if wanted), of every row with an id and at least one word."""
+    text, if wanted), of every row with an id and at least one word; of texts of signs only a
+    print of their bytes, without bands."""
     more = ["text"] if with_text else []
+    names = ["doc_id", "print1", "print2", "buckets", "bytes", *more]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,6 +156,8 @@ def sketches(docs: DataFrame, with_text: bool = False) -> DataFrame:
             for a, b in slices(offsets, 1 << 20):
                 hashes, first = words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], ALNUM)
                 some = np.flatnonzero(np.diff(first) > 0)
+                if some.size < b - a:
+                    yield from _of_signs(batch.slice(a, b - a), np.flatnonzero(np.diff(first) == 0), names)
                 if not some.size:
                     continue
                 sketch = prob_minhash(*shingles(hashes, first))[some]
@@ -158,7 +176,7 @@ def sketches(docs: DataFrame, with_text: bool = False) -> DataFrame:
                                               pa.array(band.reshape(-1).view(np.int64))),
                      pa.array([row.tobytes() for row in low], pa.binary()),
                      *(batch.column(1)[a:b].take(pa.array(some)) for _ in more)],
-                    names=["doc_id", "print1", "print2", "buckets", "bytes", *more])
+                    names=names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .where("doc_id IS NOT NULL AND text IS NOT NULL")
@@ -324,19 +342,10 @@ def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
         .select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct()
 
 
-def _sign_copies(docs: DataFrame) -> DataFrame:
-    """Links a > b from each id of a text that has signs but no word to the least id of the text."""
-    signs = docs.select(F.col("doc_id").cast("long").alias("a"), F.col("text").cast("string").alias("text")) \
-        .where("a IS NOT NULL").where(F.col("text").rlike(r"[^\x20\x09-\x0D]") & ~F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]")) \
-        .select("a", F.sha2("text", 256).alias("print"))
-    least = signs.groupBy("print").agg(F.min("a").alias("b"), F.max("a").alias("most")).where("b < most").select("print", "b")
-    return signs.join(least, "print").where("a > b").select("a", "b").distinct()
-
-
-def _own_ids(first: DataFrame, docs: DataFrame) -> DataFrame:
-    """Nodes of ids that name several (rows that repeat an id with other texts): id, print1,
-    print2 and node, the id for one of them and a number that no doc_id has for the others."""
-    again = first.groupBy("id").count().where("count > 1").select("id")
+def _own_ids(first: DataFrame, again: DataFrame, docs: DataFrame) -> DataFrame:
+    """Nodes of the ids in ``again``, which name several (rows that repeat an id with other
+    texts): id, print1, print2 and node, the id for one of them and a number that no doc_id has
+    for the others."""
     several = first.select("id", "print1", "print2").join(again, "id", "left_semi")
     kept = several.groupBy("id").agg(F.min(F.struct("print1", "print2")).alias("kept"))
     several = several.join(kept, "id").withColumn("is_kept", F.col("kept") == F.struct("print1", "print2"))
@@ -362,25 +371,23 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                                        F.first("bytes").alias("bytes"))
     first = stored(first, "near-nodes")
     copies = drawn.select("doc_id", *prints).join(first.select("id", *prints), prints) \
-        .where(F.col("doc_id") != F.col("id")).select(F.greatest("doc_id", "id").alias("a"), F.least("doc_id", "id").alias("b")) \
-        .unionByName(_sign_copies(docs)).distinct()
+        .where(F.col("doc_id") != F.col("id")).select(F.greatest("doc_id", "id").alias("a"), F.least("doc_id", "id").alias("b")).distinct()
     nodes = first.select("id", "buckets", "bytes")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")) \
         .where("id IS NOT NULL AND text IS NOT NULL")
-    # an id with several texts: as many nodes, each with its own text, linked to the id
-    repeated = stored(drawn.select("doc_id", *prints).distinct().groupBy("doc_id").count().where("count > 1")
-                      .select(F.col("doc_id").alias("id")), "near-repeated")
-    extra = not repeated.isEmpty()
+    # an id that names several nodes: all but one get a number, their own text, and a link to the id.
+    # (The id's own node may be compared by any text of the id: what is alike to one is of its class.)
+    again = first.groupBy("id").count().where("count > 1").select("id")
+    extra = bool(again.take(1))
     if extra:
-        own = stored(_own_ids(first, docs), "near-own")
+        own = stored(_own_ids(first, again, docs).where("id <> node"), "near-own")
         named = first.join(own, ["id", *prints], "left").withColumn("node", F.coalesce("node", "id"))
         nodes = stored(named.select(F.col("node").alias("id"), "buckets", "bytes"), "near-distinct")
-        rows = sketches(docs.join(repeated, F.col("doc_id").cast("long") == F.col("id"), "left_semi"), with_text=True)
-        of_node = rows.select("doc_id", "text", *prints).join(named.select("id", "node", *prints), prints) \
-            .where(F.col("doc_id") == F.col("id")).groupBy("node").agg(F.min("text").alias("text"))
-        texts = texts.join(repeated, "id", "left_anti").unionByName(of_node.select(F.col("node").alias("id"), "text"))
-        links = own.where("id <> node").select(F.greatest("id", "node").alias("a"), F.least("id", "node").alias("b"))
-        copies = copies.unionByName(links)
+        rows = sketches(docs.join(own.select("id").distinct(), F.col("doc_id").cast("long") == F.col("id"), "left_semi"), True)
+        of_node = rows.withColumnRenamed("doc_id", "id").join(own, ["id", *prints]) \
+            .groupBy("node").agg(F.min("text").alias("text"))
+        texts = texts.unionByName(of_node.select(F.col("node").alias("id"), "text"))
+        copies = copies.unionByName(own.select(F.greatest("id", "node").alias("a"), F.least("id", "node").alias("b")))
     meets = nodes.select(F.explode("buckets").alias("bucket"), "id")
     shared = meets.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")) \
         .where("least < most").select("bucket", "least")
