@@ -254,9 +254,12 @@ class Merger:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _known(self, word: bytes) -> int | None:
-        """The id of a word that needs no merging."""
-        return None
+        self.plain = np.array_equal(single, last)         # a pair of bytes has one rank wherever it stands
+        self.byte_pairs = self._rank(np.repeat(single, 256), np.tile(single, 256)).reshape(256, 256)
+
+    def _whole(self, words: set[bytes]) -> dict[bytes, int]:
+        """Ids of the words that need no merging."""
+        return {}
 
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair; a negative id has none."""
@@ -267,15 +270,20 @@ class Merger:
 
     def _merge_side_by_side(self, words: list[bytes]) -> None:
         """Words of one length class: one merge of each word a round, until none has a pair."""
-        counts = np.array([len(w) for w in words])
+        counts = np.fromiter(map(len, words), np.int64, len(words))
         width = int(counts.max())
-        padded = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width)
+        padded = np.array(words, f"S{width}").view(np.uint8).reshape(len(words), width)
         ids = np.full((len(words), width + 1), -1, np.int32)
         ids[:, :width] = self.single[padded]
         ids[np.arange(width + 1) >= counts[:, None]] = -1
         ends = np.arange(len(words)), counts - 1
         ids[ends] = self.last[padded[ends]]
-        rank = self._rank(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(words), width)
+        if self.plain:
+            rank = np.full((len(words), width), _NONE, np.int32)
+            rank[:, :-1] = self.byte_pairs[padded[:, :-1], padded[:, 1:]]
+            rank[np.arange(1, width + 1) >= counts[:, None]] = _NONE
+        else:
+            rank = self._rank(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(words), width)
         left = np.arange(len(words))                      # rows that still merge
         done = ids.copy()
         while True:
@@ -303,9 +311,9 @@ class Merger:
             rank[rows[inner], at[inner]] = self._rank(ids[rows[inner], at[inner]], ids[rows[inner], at[inner] + 1])
             inner = at > 0
             rank[rows[inner], at[inner] - 1] = self._rank(ids[rows[inner], at[inner] - 1], ids[rows[inner], at[inner]])
-        raw, kept = done.astype("<u4"), (done >= 0).sum(axis=1).tolist()
-        for word, row, n in zip(words, raw, kept):
-            self.young[word] = row[:n].tobytes()
+        raw = done[done >= 0].astype("<u4").tobytes()
+        ends = np.cumsum((done >= 0).sum(axis=1) * 4).tolist()
+        self.young.update(zip(words, _slices(raw, [0, *ends])))
 
     def _merge_long(self, word: bytes) -> bytes:
         """One word with a heap of its pairs; linked places, each merge adds two pairs at most."""
@@ -331,18 +339,15 @@ class Merger:
         return np.array([x for x in ids if x >= 0], "<u4").tobytes()
 
     def _learn(self, words: set[bytes]) -> None:
-        new: list[bytes] = []
-        for word in words:
-            known = self.old.get(word)
-            if known is None and (rank := self._known(word)) is not None:
-                known = rank.to_bytes(4, "little")
-            if known is None and len(word) > SHORT_BYTES:
-                known = self._merge_long(word)
-            if known is None:
-                new.append(word)
-            else:
-                self.young[word] = known
-        new.sort(key=len)
+        again = words & self.old.keys()
+        self.young.update(zip(again, map(self.old.__getitem__, again)))
+        words = words - again
+        whole = self._whole(words)
+        self.young.update((w, n.to_bytes(4, "little")) for w, n in whole.items())
+        new = sorted(words - whole.keys(), key=len)
+        while new and len(new[-1]) > SHORT_BYTES:
+            word = new.pop()
+            self.young[word] = self._merge_long(word)
         while new:                                        # words of about the same length
             group = [w for w in new[:4096] if len(w) <= max(8, 2 * len(new[0]))]
             self._merge_side_by_side(group)
@@ -385,8 +390,9 @@ class Vocabulary(Merger):
         self.places = np.cumsum(lengths)
         self.blob = np.frombuffer(b"".join(word for word, _ in by_rank), np.uint8)
 
-    def _known(self, word: bytes) -> int | None:
-        return self.ranks.get(word)
+    def _whole(self, words: set[bytes]) -> dict[bytes, int]:
+        known = words & self.ranks.keys()
+        return dict(zip(known, map(self.ranks.__getitem__, known)))
 
     def offsets(self, ids: np.ndarray) -> np.ndarray:
         """Byte place of every token in its text, and the text's length in bytes."""
