@@ -68,3 +68,72 @@ def test_parts_are_made_when_asked_for(spark, work):
     assert snap.years and parts() == {"driver-x-places.json", "driver-x-raw.json"}
     assert all(e.name.endswith(".gz") for e in fs.data_files(f"{snap.landing}/valeursfoncieres-{snap.years[0]}.txt"))
     assert not fs.exists(f"{snap.landing}.rows")
+
+
+
+def test_busy_keys_cost_no_shuffle_of_the_sides(spark, monkeypatch):
+    from landsales.operators import hot_join
+    monkeypatch.setattr(hot_join, "SHARE_ROWS", 3)
+    left = spark.createDataFrame([(k % 4 and "a" or "b", k) for k in range(40)], "k string, x long")
+    right = spark.createDataFrame([("a", 100 + k) for k in range(7)] + [("b", 200), (None, 300)], "k string, y long")
+    joined = hot_join.hot_join(left, right, "k", "x", "y")
+    shuffled = [line for line in joined._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line]
+    assert sum("BroadcastHashJoin" in line and "LeftOuter" in line for line in shuffled) == 2
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, left.join(right, "k").select("k", "x", "y").collect()))
+
+
+def test_tables_without_rows_are_known_to_be_empty(spark, work):
+    store = Store(spark, f"{work}/empty")
+    for rows in (store.table("mutation", []), store.derived("parcel_surfaces", []), store.rejected_lines([])):
+        assert "LocalTableScan <empty>" in rows._jdf.queryExecution().executedPlan().toString() and rows.count() == 0
+    assert store.table("mutation", []).dtypes == [("id_mutation", "string"), ("annee", "smallint"), ("date_mutation", "date"),
+                                                  ("nature_mutation", "string"), ("valeur_fonciere", "decimal(15,2)")]
+
+
+def test_links_of_a_sale_are_dealt_together(spark):
+    from landsales.operators import entities
+    clean = spark.createDataFrame([(f"s{k % 5}", f"p{k % 9}", 2022) for k in range(90)] + [(None, "p1", 2022), ("s1", None, 2022)],
+                                  "id_mutation string, id_parcelle string, annee long")
+    links = entities.mutation_parcelle(clean)
+    assert links.count() == 45
+    spread = links.select("id_mutation", F.spark_partition_id().alias("p")).distinct()
+    assert spread.count() == 5
+    # one shuffle, by the sale
+    assert links._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(id_mutation") == 1
+
+
+def test_a_load_joins_sales_and_links_once(spark, work, monkeypatch):
+    from landsales.operators import pairs
+    calls = []
+    real = pairs.sale_parcels
+    monkeypatch.setattr(pairs, "sale_parcels", lambda *a, **k: calls.append(a) or real(*a, **k))
+    read = []
+    changes = pairs.derived_changes
+    monkeypatch.setattr(pairs, "derived_changes", lambda before, added, known, sold, surfaces: read.extend(
+        r._jdf.queryExecution().optimizedPlan().toString() for r in (sold, surfaces)) or changes(before, added, known, sold, surfaces))
+    _write_year(f"{work}/landing", 2022, [_sale("1", "01/02/2022", "100000"), _sale("1", "01/02/2022", "100000", plan="2"),
+                                          _sale("2", "03/02/2022", "500", plan="2")])
+    _write_year(f"{work}/landing", 2023, [_sale("3", "03/02/2023", "700", plan="2", surf="44")])
+    store = Store(spark, f"{work}/two")
+    for years in ([2022], [2022, 2023]):
+        L.load(spark, store.root, f"{work}/landing", years, log=lambda m: None)
+    assert len(read) == 4 and not any("Join" in plan for plan in read)       # both are read back
+    t = store.tables()
+    whole = {name: t[name] for name in ("mutation", "mutation_parcelle", "parcelle", "local", "commune")}
+    for name, again in (("parcel_sale_values", pairs.parcel_sale_values(whole)), ("parcel_surfaces", pairs.parcel_surfaces(whole))):
+        assert sorted(map(str, t[name].collect())) == sorted(map(str, again.select(*t[name].columns).collect()))
+    assert t["sale_parcel_types"].agg(F.sum("pair_n")).first()[0] == R.sale_premises(whole).count()
+    assert t["mutation"].where("id_mutation rlike '^[0-9a-f]{32}$'").count() == 3
+    assert not [e.name for e in fs.list_dir(f"{spark.conf.get('spark.checkpoint.dir')}/landsales") if e.name.startswith("sold-")]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_lines_of_an_order_lie_together(spark, work):
+    from landsales.sources.driver_tables import adapter_sales, stage_years
+    rows = adapter_sales(spark, SF)
+    joins = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert "l_orderkey" in joins[0] and "l_partkey" in "".join(joins[1:])      # the last join deals rows by order
+    years = stage_years(spark, SF, f"{work}/landing")
+    lines = spark.read.text(f"{work}/landing/valeursfoncieres-{years[0]}.txt") \
+        .select(F.split("value", r"\|")[0].alias("o"), F.input_file_name().alias("f"))
+    assert lines.where("o rlike '^[0-9]+$'").distinct().groupBy("o").count().where("count > 1").count() == 0
