@@ -40,7 +40,7 @@ ORDER = 5
 MAX_GRAMS = 2_000_000
 HEAD_WORDS = 1_000_000
 MERGE_ROWS = 2_000_000       # partial counts a task holds before it hands them on
-SLICE = 1 << 20              # bytes worked on at a time
+SLICE = 1 << 18              # bytes worked on at a time: some twenty times as much memory
 START, END = 0xFE, 0xFF      # no byte of UTF-8 text
 ALPHABET = 255               # all bytes but START
 FOLDS = 10
@@ -51,23 +51,24 @@ _FOLD_CASE[0x41:0x5B] += 32
 
 
 class Lookup:
-    """Open-addressing table from 64-bit keys to numbers, probed many keys at once."""
+    """Open-addressing table from 64-bit keys to numbers, probed many keys at once. The slots
+    hold places in the keys and values, which are kept once and as they come: every task has
+    a copy of the table."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.bits = max(4, int(2 * len(keys)).bit_length())
         size = 1 << self.bits
-        self.keys, self.values = np.zeros(size, U), np.zeros(size, values.dtype)
-        self.used = np.zeros(size, bool)
+        self.keys, self.values = keys, values
+        self.slots = np.full(size, -1, np.int32 if len(keys) < 1 << 31 else np.int64)
         at, left = self._slot(keys), np.arange(len(keys))
         while left.size:
-            free = ~self.used[at]
+            free = self.slots[at] < 0
             slot, first = np.unique(at[free], return_index=True)
-            placed = left[free][first]
-            self.used[slot], self.keys[slot], self.values[slot] = True, keys[placed], values[placed]
+            self.slots[slot] = left[free][first]
             rest = np.ones(len(left), bool)
             rest[np.flatnonzero(free)[first]] = False
             left, at = left[rest], at[rest]
-            at = np.where(self.used[at], (at + 1) & (size - 1), at)
+            at = np.where(self.slots[at] >= 0, (at + 1) & (size - 1), at)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -75,20 +76,23 @@ class Lookup:
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(values, is the key known); values of unknown keys are 0."""
-        at = self._slot(keys)
-        known = self.used[at] & (self.keys[at] == keys)
-        out = np.where(known, self.values[at], self.values.dtype.type(0))
-        left = np.flatnonzero(~known & self.used[at])
-        at = at[left]
+        out, known = np.zeros(len(keys), self.values.dtype), np.zeros(len(keys), bool)
+        at, left = self._slot(keys), np.arange(len(keys))
         while left.size:
-            at = (at + 1) & (len(self.keys) - 1)
-            same = self.used[at] & (self.keys[at] == keys[left])
-            out[left[same]], known[left[same]] = self.values[at[same]], True
-            more = self.used[at] & ~same
-            left, at = left[more], at[more]
+            place = self.slots[at]
+            there = place >= 0
+            at, left, place = at[there], left[there], place[there]
+            same = self.keys[place] == keys[left]
+            out[left[same]], known[left[same]] = self.values[place[same]], True
+            left, at = left[~same], (at[~same] + 1) & (len(self.slots) - 1)
         return out, known
 
 
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """Whole numbers in 32 bits if they fit."""
+    return numbers.astype(np.int32) if not len(numbers) or numbers.max() < 1 << 31 else numbers
+
+
 class Trie:
     """Contexts of orders 0..ORDER with what coding needs. Keys: context bytes, then the byte."""
 
@@ -113,6 +117,8 @@ class Trie:
         else:
             logs = np.zeros(0)
         self.known = Lookup(self.keys[-1], logs)
+        for numbers in (self.counts, self.total, self.distinct, self.excluded):
+            numbers[:] = map(_narrow, numbers)
 
     @staticmethod
     def _at(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
