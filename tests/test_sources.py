@@ -129,3 +129,13 @@ def test_outlines(spark, work):
     rows = read_outlines(spark, f"{work}/d.geojson").collect()
     assert [(r.code, r.nom) for r in rows] == [("01", "Ain"), ("2A", "Corse-du-Sud")]
     assert json.loads(rows[0].geometry)["type"] == "Polygon"
+
+
+def test_a_line_is_split_once(spark, work):
+    """The filter on lines set aside is pushed to the scan: it must not split each line there too."""
+    _write_raw(f"{work}/s.txt", RAW_COLUMNS, [_row(RAW_COLUMNS, Voie="A"), ["cut", "short"], _row(RAW_COLUMNS) + [""]])
+    rows = read_raw_files(spark, [f"{work}/s.txt"])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+    assert [r["Voie"] for r in rows.collect()] == ["A"]
+    assert [r[REASON] for r in read_lines(spark, [f"{work}/s.txt"]).collect()] == [None, "fields", "fields"]
