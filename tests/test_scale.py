@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landsales.functions.cleaning import clean_rows
+from landsales.operators import pairs as P
 from landsales.plans import load as L
 from landsales.plans import reports as R
 from landsales.plans.driver_snapshot import DriverSnapshot
@@ -137,3 +138,20 @@ def test_lines_of_an_order_lie_together(spark, work):
     lines = spark.read.text(f"{work}/landing/valeursfoncieres-{years[0]}.txt") \
         .select(F.split("value", r"\|")[0].alias("o"), F.input_file_name().alias("f"))
     assert lines.where("o rlike '^[0-9]+$'").distinct().groupBy("o").count().where("count > 1").count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_hot_kpi_reads_links_and_premises_once(spark):
+    import __spark_entry__ as E
+    hot = E._hot_tables(spark, SF)
+    # the links are dealt by their sale, whose id is 16 bytes, and not once more to join them to sales
+    plan = P.sale_parcels(hot)._jdf.queryExecution().executedPlan().toString()
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert shuffles and not any("id_parcelle" in s for s in shuffles) and dict(hot["mutation_parcelle"].dtypes)["id_mutation"] == "binary"
+    asked = E.queries()["kpi_hot"](spark, SF)
+    plan = asked._jdf.queryExecution().optimizedPlan().toString()
+    assert "id_local" not in plan and "nature_mutation" not in plan      # no scan of published sales or premises is left
+    assert asked.collect() == R.kpi(hot).collect()
+    of_year = L.with_derived(spark, hot)
+    assert R.kpi(of_year, 1998, "ECONOMY").collect() == R.kpi(hot, 1998, "ECONOMY").collect()
+    assert R.kpi(of_year, 1998).collect() == R.kpi(hot, 1998).collect()
