@@ -71,3 +71,18 @@ def test_remainders_of_keys_make_the_same_raw_lines(spark, tmp_path):
     whole = whole.join(spark.createDataFrame(*tables["part"]), F.col("l_partkey") == F.col("p_partkey")).crossJoin(order)
     made, wanted = (sorted(map(repr, adapter_raw_rows(x).collect())) for x in (sales, whole))
     assert made == wanted and len(made) == 36
+
+
+def test_rows_of_ascii_alone_are_trimmed_alike(spark):
+    from landsales.functions import cleaning
+    texts = ["", " ", "  a ", "a", "\ta\t", "\u00a0a\u2003 ", "\u00e9t\u00e9 ", " \u3000", None, "a  b", "\n a\n "]
+    rows = spark.createDataFrame([tuple(texts[(i + k) % len(texts)] if k % 3 else texts[i] for k in range(len(RAW_COLUMNS)))
+                                  for i in range(len(texts))] + [(t,) * len(RAW_COLUMNS) for t in texts],
+                                 ", ".join(f"`{c}` string" for c in RAW_COLUMNS))
+    staged = staged_rows(rows)
+    assert cleaning.PLAIN not in staged.columns
+    assert "octet_length" in staged._jdf.queryExecution().optimizedPlan().toString()     # told by the whole row
+    same = [c for c in staged.columns if c not in ("id_mutation", cleaning.AREA, cleaning.ROOMS)]
+    assert list(map(str, staged.select(same).collect())) == list(map(str, clean_rows(rows).select(same).collect()))
+    marked = rows.withColumn("p", F.lit(False))
+    assert cleaning.normalise(rows).collect() == cleaning.normalise(marked, F.col("p")).drop("p").select(*cleaning.normalise(rows).columns).collect()

@@ -155,3 +155,49 @@ def test_hot_kpi_reads_links_and_premises_once(spark):
     of_year = L.with_derived(spark, hot)
     assert R.kpi(of_year, 1998, "ECONOMY").collect() == R.kpi(hot, 1998, "ECONOMY").collect()
     assert R.kpi(of_year, 1998).collect() == R.kpi(hot, 1998).collect()
+
+
+def test_repeated_rows_of_a_key_are_not_sorted(spark):
+    from landsales.operators import entities
+    clean = spark.createDataFrame([(f"p{k % 9}", f"c{k % 3}", "town" if k % 2 else "TOWN", "01", "01000") for k in range(90)] + [(None,) * 5],
+                                  "id_parcelle string, code_commune string, nom_commune string, code_departement string, code_postal string")
+    for rows, key, n in ((entities.parcelle(clean), "id_parcelle", 9), (entities.commune(clean), "code_commune", 3)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert re.search(rf"HashAggregate\(keys=\[{key}#\d+, ", plan)      # different rows first, by hash
+        assert plan.index("SortAggregate") < plan.index("HashAggregate")    # and above it the greatest of each key
+        assert rows.count() == n == rows.select(key).distinct().count()
+    assert {r.nom_commune for r in entities.commune(clean).collect()} == {"town"}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_lines_are_made_without_a_generator(spark, work):
+    from landsales.sources import driver_tables as D
+    lines = D.adapter_lines(D.adapter_raw_rows(D.adapter_sales(spark, SF).limit(500)))
+    assert "Generate" not in lines._jdf.queryExecution().executedPlan().toString()
+    lines.coalesce(1).write.text(f"{work}/lines")
+    got = [r.value for r in spark.read.text(f"{work}/lines").collect()]
+    header = "|".join(RAW_COLUMNS)
+    assert got[0] == header and got.count(header) == 1
+    whole = [g for g in got if g.count("|") == header.count("|") and g != header]
+    cut = [g for g in got if g.count("|") == 2]
+    assert len([g for g in whole if "\ufffd" not in g]) == 500 and len(whole) + len(cut) + 1 == len(got)
+    orders = lambda of: sorted(g.split("|")[0] for g in whole if "\ufffd" not in g and g.split("|")[4] == "1"
+                               and int(g.split("|")[0]) % of == 0)
+    assert sorted(g.split("|")[0] for g in cut) == orders(29)
+    assert sorted(g.split("|")[0] for g in whole if "\ufffd" in g) == orders(31)
+
+
+def test_lines_set_aside_are_staged_unsorted(spark, work, monkeypatch):
+    _write_year(f"{work}/landing", 2022, [_sale("1", "01/02/2022", "100000"), _sale("2", "03/02/2022", "500", plan="2")])
+    with open(f"{work}/landing/valeursfoncieres-2022.txt", "a", encoding="utf-8") as f:
+        f.write("cut|short\n")
+    seen = []
+    staged = L.staged_rows
+    monkeypatch.setattr(L, "staged_rows", lambda raw: seen.append(staged(raw)) or seen[-1])
+    layout = []
+    real = L.with_premises
+    monkeypatch.setattr(L, "with_premises", lambda rows: layout.extend(rows.inputFiles()) or real(rows))
+    store = Store(spark, f"{work}/aside")
+    assert L.load(spark, store.root, f"{work}/landing", [2022], log=lambda m: None).rejected_rows == 1
+    assert layout and not any("=" in f.split("staging-", 1)[1] for f in layout)      # laid out by no column
+    assert [r.line for r in store.rejected_lines().collect()] == ["cut|short"] and store.tables()["mutation"].count() == 2
